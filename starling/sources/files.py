@@ -38,14 +38,20 @@ def read_files_glob(spark: SparkSession, paths: str | Sequence[str], formats: Se
     paths = [paths] if isinstance(paths, str) else list(paths)
     frames = []
     for fmt in formats:
-        try:
-            df = _reader(spark, fmt, csv_schema if fmt == "csv" else None) \
-                .option("pathGlobFilter", _EXT[fmt]).load(paths)
-        except AnalysisException:
-            continue
-        if not df.columns:
-            continue
-        frames.append(df.toDF(*[c.strip() for c in df.columns]))
+        # Parquet files carry their schema: one scan, schemas merged by name.  CSV headers
+        # can differ per path, so each path is its own scan.
+        groups = [paths] if fmt == "parquet" else [[p] for p in paths]
+        for group in groups:
+            r = _reader(spark, fmt, csv_schema if fmt == "csv" else None).option("pathGlobFilter", _EXT[fmt])
+            if fmt == "parquet":
+                r = r.option("mergeSchema", True)
+            try:
+                df = r.load(group)
+            except AnalysisException:
+                continue
+            if not df.columns:
+                continue
+            frames.append(df.toDF(*[c.strip() for c in df.columns]))
     if not frames:
         raise NoInputFilesError(f"no {'/'.join(formats)} files under {paths}")
     return union_by_name(frames)
