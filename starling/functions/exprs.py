@@ -19,9 +19,15 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip_ws(c: ColumnOrName) -> Column:
+    """Leading/trailing whitespace removed (spaces, tabs, newlines; ``str.strip``).
+    Spark's ``trim`` removes spaces only."""
+    return F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+
+
 def blank_to_null(c: ColumnOrName) -> Column:
-    """Trimmed text, with '' turned into NULL (B08 + the landing-zone rule)."""
-    return F.nullif(F.trim(_col(c).cast("string")), F.lit(""))
+    """Stripped text, with '' turned into NULL (B08 + the landing-zone rule)."""
+    return F.nullif(strip_ws(c), F.lit(""))
 
 
 def try_number(c: ColumnOrName, to: str = "double") -> Column:
@@ -54,7 +60,7 @@ def iso_date(c: ColumnOrName) -> Column:
 
 def slug(c: ColumnOrName, sep: str = "_") -> Column:
     """strip + lower + spaces -> ``sep`` (B01 header rule, UI status slug)."""
-    return F.replace(F.lower(F.trim(_col(c).cast("string"))), F.lit(" "), F.lit(sep))
+    return F.replace(F.lower(strip_ws(c)), F.lit(" "), F.lit(sep))
 
 
 def null_label(c: ColumnOrName, label: str = "Unknown") -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import (
-    blank_to_null, contains_ci, iso_date, map_values as _map_values, null_label as _null_label,
+    blank_to_null, contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
     safe_ratio as _safe_ratio, try_date, try_integer, try_number,
 )
 from starling.operators.aggregates import exact_percentiles
@@ -87,7 +87,7 @@ def _string_cols(df: DataFrame) -> list[str]:
 def trim_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Strip every string column (or the given ones)."""
     cols = list(cols) if cols is not None else _string_cols(df)
-    return df.withColumns({c: F.trim(F.col(c)) for c in cols}) if cols else df
+    return df.withColumns({c: strip_ws(c) for c in cols}) if cols else df
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str], to: str = "double") -> DataFrame:
