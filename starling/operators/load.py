@@ -190,3 +190,15 @@ def fact_by_natural_keys(raw: DataFrame, lookups: Sequence[tuple[DataFrame, Sequ
     for dim, natural, id_col in lookups:
         out = join_null_safe(out, dim.select(id_col, *natural), list(natural), how)
     return out
+
+
+def load_dimension_mode(store, table: str, cand: DataFrame, key_cols: Sequence[str], order_by: Sequence[str],
+                        refresh: bool) -> DataFrame:
+    """Refresh -> the table becomes this batch (keys still enforced, Q4);
+    incremental -> insert-or-ignore into the current table.  Writes a new version and
+    returns the published table."""
+    target = None if refresh else store.read_or_none(table)
+    new = insert_or_ignore(target, cand, key_cols, order_by)
+    result = new if target is None else target.unionByName(new.select(*target.columns))
+    store.replace(table, result)
+    return store.read(table)
