@@ -107,12 +107,14 @@ def build_bridge(raw: DataFrame, facts: DataFrame, case_col: str, sk_col: str, m
 
 
 def insert_or_ignore(target: DataFrame | None, batch: DataFrame, key_cols: Sequence[str],
-                     order_by: Sequence[str]) -> DataFrame:
+                     order_by: Sequence[str], unique_batch: bool = False) -> DataFrame:
     """Rows of ``batch`` to append under INSERT OR IGNORE with one unique key.
 
     First row per key wins inside the batch (explicit order, Q1); keys already in
-    ``target`` are ignored; rows with a NULL key part never conflict (SQL UNIQUE, Q3)."""
-    cand = first_per_key(batch, key_cols, order_by, null_keys_distinct=True)
+    ``target`` are ignored; rows with a NULL key part never conflict (SQL UNIQUE, Q3).
+    ``unique_batch=True`` skips the in-batch pick when the caller guarantees one row per
+    key (e.g. the output of :func:`build_fact`)."""
+    cand = batch if unique_batch else first_per_key(batch, key_cols, order_by, null_keys_distinct=True)
     if target is None:
         return cand
     return anti_join(cand, target, [(k, k) for k in key_cols])

@@ -147,47 +147,86 @@ def q_run_repairs(spark, sf):
 
 # ------------------------------------------------------------------ I: reports over a TPC-H star
 
-def tpch_star(spark, sf) -> dict:
+class TpchStar:
     """A star in the clinic layout built from the test tables: case = order, patient =
     customer, partner = nation, doctor = (segment, priority), outcome = (status,
-    priority), transfer = line item."""
-    o, c, n, li = (table(spark, sf, t) for t in ("orders", "customer", "nation", "lineitem"))
-    dim_time = build_dim_time(o, "o_orderdate")
-    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
-    doctor = dense_surrogate_key(oc, ["c_mktsegment", "o_orderpriority"], "doctor_id")
-    dim_doctor = doctor.select("doctor_id", F.col("c_mktsegment").alias("doctor_name"),
-                               F.col("o_orderpriority").alias("doctor_recommendation"))
-    outcome_id = F.concat(F.col("o_orderstatus"), F.lit("|"), F.col("o_orderpriority"))
-    dim_outcome = o.select(outcome_id.alias("outcome_id"),
-                           F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("risk_level"),
-                           F.col("o_orderstatus").alias("response_type")).distinct()
-    cyc = date_to_time_key(oc.join(doctor, ["c_mktsegment", "o_orderpriority"], "left"), "o_orderdate", dim_time,
-                           "cycle_start_time_id")
-    fact_cycle = cyc.select(F.col("o_orderkey").alias("cycle_sk"), F.col("o_orderkey").cast("string").alias("case_id"),
-                            F.col("o_custkey").cast("string").alias("female_id"),
-                            F.col("c_nationkey").cast("string").alias("male_id"), "doctor_id",
-                            outcome_id.alias("outcome_id"), "cycle_start_time_id",
-                            F.month("o_orderdate").alias("retrieved_oocytes"),
-                            F.dayofmonth("o_orderdate").alias("blastocyst_d5"))
-    lines = li.join(o.select("o_orderkey", "o_orderstatus", "o_orderpriority"), li["l_orderkey"] == o["o_orderkey"])
-    lines = row_index(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "transfer_sk")
-    lines = date_to_time_key(lines, "l_shipdate", dim_time, "transfer_time_fk")
-    fact_transfer = lines.select("transfer_sk", F.col("l_orderkey").cast("string").alias("case_id"), "transfer_time_fk",
-                                 F.col("l_quantity").cast("int").alias("embryos_transferred"),
-                                 F.col("l_returnflag").alias("pregnancy_test_result"),
-                                 F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("live_birth"),
-                                 outcome_id.alias("outcome_id"))
-    return {
-        "dim_time": dim_time,
-        "dim_female": c.select(F.col("c_custkey").cast("string").alias("female_id"),
-                               (F.col("c_nationkey") + 20).alias("female_age"), F.col("c_acctbal").alias("female_bmi")),
-        "dim_male": n.select(F.col("n_nationkey").cast("string").alias("male_id"),
-                             (F.col("n_regionkey") + 30).alias("male_age"), F.col("n_name").alias("male_factor")),
-        "dim_doctor": dim_doctor, "dim_outcome": dim_outcome,
-        "dim_protocol": c.select(F.col("c_mktsegment").alias("protocol_id"),
-                                 F.col("c_mktsegment").alias("protocol_type")).distinct(),
-        "fact_ivf_cycle": fact_cycle, "fact_transfer": fact_transfer,
-    }
+    priority), transfer = line item.  Tables are built on first use, so a report only
+    pays for the tables it reads."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf, self._built = spark, sf, {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = getattr(self, "_" + name)()
+        return self._built[name]
+
+    def _t(self, name):
+        return table(self.spark, self.sf, name)
+
+    @staticmethod
+    def _outcome_id():
+        return F.concat(F.col("o_orderstatus"), F.lit("|"), F.col("o_orderpriority"))
+
+    def _oc(self):
+        o, c = self._t("orders"), self._t("customer")
+        return o.join(c, o["o_custkey"] == c["c_custkey"])
+
+    def _dim_time(self):
+        return build_dim_time(self._t("orders"), "o_orderdate")
+
+    def _doctor(self):
+        return dense_surrogate_key(self["oc"], ["c_mktsegment", "o_orderpriority"], "doctor_id")
+
+    def _dim_doctor(self):
+        return self["doctor"].select("doctor_id", F.col("c_mktsegment").alias("doctor_name"),
+                                     F.col("o_orderpriority").alias("doctor_recommendation"))
+
+    def _dim_outcome(self):
+        return self._t("orders").select(
+            self._outcome_id().alias("outcome_id"),
+            F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("risk_level"),
+            F.col("o_orderstatus").alias("response_type")).distinct()
+
+    def _dim_female(self):
+        return self._t("customer").select(F.col("c_custkey").cast("string").alias("female_id"),
+                                          (F.col("c_nationkey") + 20).alias("female_age"),
+                                          F.col("c_acctbal").alias("female_bmi"))
+
+    def _dim_male(self):
+        return self._t("nation").select(F.col("n_nationkey").cast("string").alias("male_id"),
+                                        (F.col("n_regionkey") + 30).alias("male_age"),
+                                        F.col("n_name").alias("male_factor"))
+
+    def _dim_protocol(self):
+        return self._t("customer").select(F.col("c_mktsegment").alias("protocol_id"),
+                                          F.col("c_mktsegment").alias("protocol_type")).distinct()
+
+    def _fact_ivf_cycle(self):
+        cyc = self["oc"].join(self["doctor"], ["c_mktsegment", "o_orderpriority"], "left")
+        cyc = date_to_time_key(cyc, "o_orderdate", self["dim_time"], "cycle_start_time_id")
+        return cyc.select(F.col("o_orderkey").alias("cycle_sk"), F.col("o_orderkey").cast("string").alias("case_id"),
+                          F.col("o_custkey").cast("string").alias("female_id"),
+                          F.col("c_nationkey").cast("string").alias("male_id"), "doctor_id",
+                          self._outcome_id().alias("outcome_id"), "cycle_start_time_id",
+                          F.month("o_orderdate").alias("retrieved_oocytes"),
+                          F.dayofmonth("o_orderdate").alias("blastocyst_d5"))
+
+    def _fact_transfer(self):
+        li, o = self._t("lineitem"), self._t("orders")
+        lines = li.join(o.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+                        li["l_orderkey"] == o["o_orderkey"])
+        lines = row_index(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "transfer_sk")
+        lines = date_to_time_key(lines, "l_shipdate", self["dim_time"], "transfer_time_fk")
+        return lines.select("transfer_sk", F.col("l_orderkey").cast("string").alias("case_id"), "transfer_time_fk",
+                            F.col("l_quantity").cast("int").alias("embryos_transferred"),
+                            F.col("l_returnflag").alias("pregnancy_test_result"),
+                            F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("live_birth"),
+                            self._outcome_id().alias("outcome_id"))
+
+
+def tpch_star(spark, sf) -> TpchStar:
+    return TpchStar(spark, sf)
 
 
 STAR_SQL = f"""WITH dim_time AS ({_DIM_TIME_SQL}),

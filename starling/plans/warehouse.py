@@ -19,8 +19,9 @@ from starling.functions.exprs import blank_to_null, try_integer, try_number
 from starling.operators.clean import drop_exact_duplicates, normalize_columns, rename_aliases, require_columns
 from starling.operators.keys import assign_incremental_keys, fill_missing_ids, row_index
 from starling.operators.load import (
-    build_bridge, build_dim_time, build_fact, date_to_time_key, insert_or_ignore, insert_or_ignore_multi,
+    build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
 )
+from starling.operators.windows import first_per_key
 from starling.operators.quality import (
     repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls, validate,
 )
@@ -93,7 +94,7 @@ def _dimension_candidates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _insert_dimension(store: TableStore, spec, df: DataFrame) -> tuple[int, int]:
-    cand = _dimension_candidates(df, spec.columns)
+    cand = _dimension_candidates(df, spec.columns).checkpoint(eager=True)
     target = store.read(spec.name)
     keys = spec.unique_keys()
     if len(keys) <= 1:
@@ -109,14 +110,20 @@ def _insert_dimension(store: TableStore, spec, df: DataFrame) -> tuple[int, int]
 
 
 def _append_fact(store: TableStore, spec, cand: DataFrame, sk_col: str | None) -> tuple[int, int]:
+    """Insert-or-ignore ``cand`` (already unique on the fact's key) and append it, with
+    surrogate keys continuing after the table's max."""
+    cand = cand.checkpoint(eager=True)
     target = store.read(spec.name)
     key = list(spec.natural_key or spec.key)
     order = [ORDER_COL] if ORDER_COL in cand.columns else key
-    new = insert_or_ignore(target, cand, key, order)
+    new = insert_or_ignore(target, cand, key, order, unique_batch=True)
     if sk_col is not None:
         base = target.agg(F.max(sk_col)).first()[0] or 0
+        # row_index materialises its input (checkpoint), so the count below is cheap
         new = row_index(new.drop(sk_col), order, sk_col, start=int(base) + 1)
-    new = new.select(*spec.columns).checkpoint(eager=True)
+    else:
+        new = new.checkpoint(eager=True)
+    new = new.select(*spec.columns)
     inserted = new.count()
     if inserted:
         store.append(spec.name, new)
@@ -137,13 +144,14 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
 
     # doctors: incremental integer ids on the null-safe natural key
     doc = reg["dim_doctor"]
-    df, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key), "doctor_id")
+    # only the facts carry doctor_id: the mapped frame stays lazy and is used there
+    with_doctor, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key),
+                                                       "doctor_id")
     new_doctors = new_doctors.checkpoint(eager=True)
     n_doc = new_doctors.count()
     if n_doc:
         store.replace("dim_doctor", store.read("dim_doctor").unionByName(new_doctors.select(*doc.columns)))
     summary.append(("dim_doctor", n_doc, n_doc))
-    df = df.checkpoint(eager=True)
 
     for name in ("dim_female", "dim_male", "dim_protocol", "dim_outcome", "dim_embryo"):
         summary.append((name, *_insert_dimension(store, reg[name], df)))
@@ -157,17 +165,20 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     summary.append(("dim_time", n_time, n_time))
     dim_time = store.read("dim_time")
 
-    keyed = date_to_time_key(df, "et_date", dim_time, "cycle_start_time_id")
+    keyed = date_to_time_key(with_doctor, "et_date", dim_time, "cycle_start_time_id")
     keyed = keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id"))
-    fc = reg["fact_ivf_cycle"]
-    cyc = build_fact(keyed, "case_id", [ORDER_COL], fc.columns + [ORDER_COL], fc.schema,
-                     defaults={c: 0 for c in ("e2_on_trigger", "endometrium_thickness", "follicles_18mm",
-                                              "gv_count", "injected_m2", "fertilized_oocytes", "cleavage_d3",
-                                              "blastocyst_d5", "good_embryos")})
+    fc, ft = reg["fact_ivf_cycle"], reg["fact_transfer"]
+    # both facts take the first row per case: pick it once, over the columns they use
+    needed = [c for c in dict.fromkeys(fc.columns + ft.columns) if c in keyed.columns]
+    firsts = first_per_key(keyed.select(*needed, ORDER_COL), ["case_id"], [ORDER_COL], null_keys_distinct=True)
+    firsts = firsts.checkpoint(eager=True)
+    cyc = project_fact(firsts, fc.columns + [ORDER_COL], fc.schema,
+                       defaults={c: 0 for c in ("e2_on_trigger", "endometrium_thickness", "follicles_18mm",
+                                                "gv_count", "injected_m2", "fertilized_oocytes", "cleavage_d3",
+                                                "blastocyst_d5", "good_embryos")})
     summary.append(("fact_ivf_cycle", *_append_fact(store, fc, cyc, "cycle_sk")))
 
-    ft = reg["fact_transfer"]
-    tr = build_fact(keyed, "case_id", [ORDER_COL], ft.columns + [ORDER_COL], ft.schema)
+    tr = project_fact(firsts, ft.columns + [ORDER_COL], ft.schema)
     summary.append(("fact_transfer", *_append_fact(store, ft, tr, "transfer_sk")))
 
     be = reg["fact_transfer_embryo"]

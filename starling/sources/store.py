@@ -1,8 +1,9 @@
 """Versioned Parquet table store.
 
-A table is a folder ``<root>/<name>/`` holding immutable version folders ``v-<id>/`` and
-an append-only commit log ``_log/`` (one small text file per commit, written through
-Spark's file commit protocol).  The current version is the newest log entry.
+A table is a folder ``<root>/<name>/`` of immutable version folders ``v-<id>/``.  The
+store keeps one append-only commit log ``<root>/_log/`` (one small text file per commit,
+written through Spark's file commit protocol, holding ``seq, table, version`` lines); a
+table's current version is its newest log entry.
 
 * ``replace`` writes a NEW version and then commits it, so a job may read table T and
   write T in the same plan (overwriting the path being read fails and loses data), and a
@@ -26,44 +27,68 @@ from pyspark.sql.utils import AnalysisException
 from starling.registry import Registry
 from starling.session import work_dir
 
+EMPTY = "EMPTY"   # commit-log marker: the table exists and has no rows
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str | None = None, registry: Registry | None = None):
         self.spark = spark
         self.root = (root or work_dir(spark, "warehouse")).rstrip("/")
         self.registry = registry
+        self._versions: dict[str, str] | None = None   # this job's view of the commit log
+        self._schemas: dict[str, T.StructType] = {}   # schemas of tables created empty here
 
     # -- paths / log -------------------------------------------------------------
-    def _log_dir(self, table: str) -> str:
-        return f"{self.root}/{table}/_log"
+    def _log_dir(self) -> str:
+        return f"{self.root}/_log"
 
-    def current_version(self, table: str) -> str | None:
+    def refresh_log(self) -> None:
+        """Re-read the commit log (to see commits made by other jobs since)."""
+        self._versions = None
+
+    def _load_log(self) -> dict[str, str]:
         try:
-            log = self.spark.read.text(self._log_dir(table))
+            log = self.spark.read.text(self._log_dir())
         except AnalysisException:
-            return None
-        row = (log.select(F.split("value", "\t").alias("p"))
-                  .select(F.col("p")[0].cast("long").alias("seq"), F.col("p")[1].alias("v"))
-                  .orderBy(F.col("seq").desc()).first())
-        return None if row is None else row["v"]
+            return {}
+        rows = (log.select(F.split("value", "\t").alias("p"))
+                   .select(F.col("p")[0].cast("long").alias("seq"), F.col("p")[1].alias("t"),
+                           F.col("p")[2].alias("v"))
+                   .groupBy("t").agg(F.max_by("v", "seq").alias("v")).collect())
+        return {r["t"]: r["v"] for r in rows}
+
+    def current_version(self, table: str) -> str | None:
+        if self._versions is None:
+            self._versions = self._load_log()
+        return self._versions.get(table)
 
     def path(self, table: str) -> str | None:
         v = self.current_version(table)
-        return None if v is None else f"{self.root}/{table}/{v}"
+        return None if v in (None, EMPTY) else f"{self.root}/{table}/{v}"
 
     def exists(self, table: str) -> bool:
         """A03 ``check_source_database``: the table has a committed version."""
         return self.current_version(table) is not None
 
-    def _commit(self, table: str, version: str) -> None:
-        entry = f"{time.time_ns()}\t{version}"
-        (self.spark.createDataFrame([(entry,)], "value string").coalesce(1)
-             .write.mode("append").text(self._log_dir(table)))
+    def _commit(self, entries: list[tuple[str, str]]) -> None:
+        """Publish ``(table, version)`` pairs with ONE small append to the commit log."""
+        if not entries:
+            return
+        if self._versions is None:
+            self._versions = self._load_log()
+        seq = time.time_ns()
+        lines = [(f"{seq}\t{t}\t{v}",) for t, v in entries]
+        (self.spark.createDataFrame(lines, "value string").coalesce(1)
+             .write.mode("append").text(self._log_dir()))
+        for t, v in entries:
+            self._versions[t] = v
 
     # -- reads --------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
         p = self.path(table)
         if p is None:
+            if table in self._schemas:
+                return self.spark.createDataFrame([], self._schemas[table])
             if self.registry is not None and table in self.registry.tables:
                 return self.spark.createDataFrame([], self.registry[table].schema)
             raise KeyError(f"table {table!r} does not exist in {self.root}")
@@ -80,11 +105,11 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/{table}/{version}")
-        self._commit(table, version)
+        self._commit([(table, version)])
         return version
 
     def append(self, table: str, df: DataFrame) -> None:
-        """A10: append rows to the current version (creates the table if missing)."""
+        """A10: append rows to the current version (creates the table if missing/empty)."""
         p = self.path(table)
         if p is None:
             self.replace(table, df)
@@ -92,16 +117,23 @@ class TableStore:
             df.write.mode("append").parquet(p)
 
     def create(self, table: str, schema: T.StructType, refresh: bool = False) -> bool:
-        """A13 for one table: (re)create empty; returns True if created."""
-        if self.exists(table) and not refresh:
-            return False
-        self.replace(table, self.spark.createDataFrame([], schema))
-        return True
+        """A13 for one table: (re)create empty; returns True if created.
+
+        An empty table is a commit of the ``EMPTY`` marker (no files); reads give an
+        empty frame with the registered schema."""
+        return bool(self.create_many([(table, schema)], refresh))
+
+    def create_many(self, specs: list[tuple[str, T.StructType]], refresh: bool = False) -> list[str]:
+        made = [(t, s) for t, s in specs if refresh or not self.exists(t)]
+        for t, s in made:
+            self._schemas[t] = s
+        self._commit([(t, EMPTY) for t, _ in made])
+        return [t for t, _ in made]
 
     def create_all(self, registry: Registry, refresh: bool = False) -> list[str]:
-        """drop+create every table (refresh) or create the missing ones."""
+        """drop+create every table (refresh) or create the missing ones, in one commit."""
         self.registry = registry
-        return [s.name for s in registry if self.create(s.name, s.schema, refresh)]
+        return self.create_many([(s.name, s.schema) for s in registry], refresh)
 
     def tables(self) -> dict[str, DataFrame]:
         names = self.registry.names() if self.registry is not None else []
