@@ -124,12 +124,41 @@ def null_profile(df: DataFrame, table: str, table_col: str = "table_name",
                                                F.col("v").cast("long").alias(count_col))
 
 
+ROW_HASH = "__row_hash"
+
+
+def with_repeated_hash_flag(df: DataFrame) -> DataFrame:
+    """``df`` + ``__row_hash`` (xxhash64 of the whole row) + ``__rep`` (True when another
+    row has the same hash).  Only 8-byte hashes are shuffled to find repeats (partial
+    aggregation); the flag joins back by hash, broadcast by AQE when the repeated set is
+    small.  Equal rows always share a hash, so rows with ``__rep`` NULL are unique."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumn(ROW_HASH, F.xxhash64(*cols))
+    rep = (hashed.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+           .select(ROW_HASH, F.lit(True).alias("__rep")))
+    return hashed.join(rep, ROW_HASH, "left")
+
+
 def duplicate_count(df: DataFrame, alias: str = "duplicate_rows") -> DataFrame:
-    """rows - distinct rows (pandas ``duplicated().sum()``; NULLs compare equal)."""
-    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    """rows - distinct rows (pandas ``duplicated().sum()``; NULLs compare equal).
+
+    Exact: only rows whose 64-bit hash repeats are grouped on their full content, so a
+    wide table (long texts) with few duplicates never shuffles whole rows, and hash
+    collisions cannot cause a wrong count."""
+    cand = with_repeated_hash_flag(df).where(F.col("__rep"))
+    g = cand.groupBy(ROW_HASH, *[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias(alias))
 
 
+def drop_duplicate_rows(df: DataFrame) -> DataFrame:
+    """Exact ``SELECT DISTINCT *`` that de-duplicates only rows whose hash repeats; the
+    others pass through without a full-row shuffle."""
+    flagged = with_repeated_hash_flag(df)
+    unique = flagged.where(F.col("__rep").isNull()).select(*df.columns)
+    repeated = flagged.where(F.col("__rep")).select(*df.columns).dropDuplicates()
+    return unique.unionByName(repeated)
+
+
 def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL -> column mean (one aggregate, then literal fills)."""
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()

@@ -15,7 +15,7 @@ from starling.functions.exprs import (
     blank_to_null, contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
     safe_ratio as _safe_ratio, try_date, try_integer, try_number,
 )
-from starling.operators.aggregates import exact_percentiles
+from starling.operators.aggregates import drop_duplicate_rows, exact_percentiles
 
 
 class MissingColumnsError(ValueError):
@@ -66,8 +66,9 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Remove fully identical rows (NULLs compare equal, as in pandas)."""
-    return df.dropDuplicates()
+    """Remove fully identical rows (NULLs compare equal, as in pandas).  Only rows
+    whose 64-bit row hash repeats are shuffled whole (see ``drop_duplicate_rows``)."""
+    return drop_duplicate_rows(df)
 
 
 def drop_all_null_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.operators.aggregates import duplicate_count, null_profile, table_counts
+from starling.operators.aggregates import drop_duplicate_rows, duplicate_count, null_profile, table_counts
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -98,8 +98,8 @@ def repair_required_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def repair_duplicates(df: DataFrame) -> DataFrame:
-    """Drop exact duplicate rows."""
-    return df.dropDuplicates()
+    """Drop exact duplicate rows (hash-prefiltered, exact)."""
+    return drop_duplicate_rows(df)
 
 
 def _parent_keys(parent: DataFrame, pk: str) -> DataFrame:
