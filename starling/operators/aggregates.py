@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import null_label
+from starling.operators.joins import bounded_broadcast
 from starling.operators.keys import _LOC, _PID, _ranged
 
 
@@ -73,7 +74,7 @@ def count_by_dim_attribute(fact: DataFrame, dim: DataFrame, fk: str, pk: str, at
                            label_col: str = "label", count_col: str = "value",
                            unknown: str = "Unknown") -> DataFrame:
     """fact inner-join dimension, count per attribute value, NULL label -> Unknown."""
-    d = dim.select(F.col(pk).alias("__pk"), F.col(attr).alias("__attr"))
+    d = bounded_broadcast(dim.select(F.col(pk).alias("__pk"), F.col(attr).alias("__attr")))
     j = fact.select(fk).join(d, F.col(fk) == F.col("__pk"), "inner")
     g = j.groupBy("__attr").agg(F.count(F.lit(1)).alias(count_col))
     return g.select(null_label("__attr", unknown).alias(label_col), count_col)
@@ -107,7 +108,8 @@ def bucket_histogram(df: DataFrame, col: str, buckets: Sequence[tuple[str, float
     order = spark.createDataFrame([(b[0], i) for i, b in enumerate(buckets)],
                                   T.StructType([T.StructField(label_col, T.StringType()),
                                                 T.StructField("bucket_order", T.IntegerType())]))
-    return (F.broadcast(order).join(counted, F.col(label_col) == F.col("__b"), "left")
+    # ``counted`` has at most len(buckets) + 1 rows (one per label, plus "no bucket")
+    return (order.join(F.broadcast(counted), F.col(label_col) == F.col("__b"), "left")
             .select(label_col, F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias(count_col),
                     "bucket_order"))
 

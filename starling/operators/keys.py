@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.functions.exprs import blank_to_null, hash_id, natural_key_text, text_key  # noqa: F401
+from starling.operators.joins import bounded_broadcast
 from starling.session import ensure_checkpoint_dir
 
 _PID, _LOC = "__pid", "__loc"
@@ -128,7 +129,9 @@ def assign_incremental_keys(batch: DataFrame, dim: DataFrame | None, natural_col
         base = existing.agg(F.max(id_col)).first()[0] or 0
     new_rows = row_index(new_keys, list(natural_cols), id_col, start=int(base) + 1).select(id_col, *natural_cols)
     mapping = new_rows if existing is None else existing.unionByName(new_rows)
-    m = mapping.select(id_col, *[F.col(c).alias("__nk_" + c) for c in natural_cols])
+    # the key map has one row per natural key: broadcast it after a bounded count, so the
+    # batch (facts) is not shuffled for a small dimension; shuffle join beyond the bound
+    m = bounded_broadcast(mapping.select(id_col, *[F.col(c).alias("__nk_" + c) for c in natural_cols]))
     cond = None
     for c in natural_cols:
         e = batch[c].eqNullSafe(m["__nk_" + c])

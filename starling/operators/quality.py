@@ -2,9 +2,10 @@
 
 Validation reads each table once per check family and returns small DataFrames (one row
 per table / column / FK); nothing is collected to decide the status, which is itself an
-aggregate (H05).  Foreign-key checks pre-aggregate the child side to (fk, count) before
-the anti-join, so the shuffle carries distinct keys, not rows, and a hot key costs one
-row per map task.
+aggregate (H05).  Foreign-key checks count orphans per distinct key: when the parent
+broadcasts, Catalyst runs the anti-join map-side below the partial aggregate (no row
+shuffle at all); otherwise the child is reduced to (fk, count) before the shuffle, so a
+hot key costs one row per map task.
 """
 
 from __future__ import annotations

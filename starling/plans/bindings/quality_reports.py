@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starling.operators import quality as Q
 from starling.operators.aggregates import table_counts
+from starling.operators.joins import bounded_broadcast
 from starling.operators.keys import dense_surrogate_key, row_index
 from starling.operators.load import build_dim_time, date_to_time_key
 from starling.plans import reports as R
@@ -203,7 +204,7 @@ class TpchStar:
                                           F.col("c_mktsegment").alias("protocol_type")).distinct()
 
     def _fact_ivf_cycle(self):
-        cyc = self["oc"].join(self["doctor"], ["c_mktsegment", "o_orderpriority"], "left")
+        cyc = self["oc"].join(bounded_broadcast(self["doctor"]), ["c_mktsegment", "o_orderpriority"], "left")
         cyc = date_to_time_key(cyc, "o_orderdate", self["dim_time"], "cycle_start_time_id")
         return cyc.select(F.col("o_orderkey").alias("cycle_sk"), F.col("o_orderkey").cast("string").alias("case_id"),
                           F.col("o_custkey").cast("string").alias("female_id"),
