@@ -10,6 +10,7 @@ loading it is safe, and loading the same input twice leaves every table unchange
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -153,16 +154,21 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
         store.replace("dim_doctor", store.read("dim_doctor").unionByName(new_doctors.select(*doc.columns)))
     summary.append(("dim_doctor", n_doc, n_doc))
 
-    for name in ("dim_female", "dim_male", "dim_protocol", "dim_outcome", "dim_embryo"):
-        summary.append((name, *_insert_dimension(store, reg[name], df)))
-
-    # calendar
-    old_time = store.read("dim_time")
-    new_time = build_dim_time(df, "et_date", old_time).checkpoint(eager=True)
-    n_time = new_time.count()
-    if n_time:
-        store.replace("dim_time", old_time.unionByName(new_time))
-    summary.append(("dim_time", n_time, n_time))
+    def load_calendar():
+        old_time = store.read("dim_time")
+        new_time = build_dim_time(df, "et_date", old_time).checkpoint(eager=True)
+        n_time = new_time.count()
+        if n_time:
+            store.replace("dim_time", old_time.unionByName(new_time))
+        return ("dim_time", n_time, n_time)
+
+    # the dimensions and the calendar are independent: submit them as concurrent Spark
+    # jobs so small per-table jobs share the executors instead of running back to back
+    dims = ("dim_female", "dim_male", "dim_protocol", "dim_outcome", "dim_embryo")
+    with ThreadPoolExecutor(max_workers=len(dims) + 1) as pool:
+        futures = [pool.submit(lambda n=n: (n, *_insert_dimension(store, reg[n], df))) for n in dims]
+        futures.append(pool.submit(load_calendar))
+        summary.extend(f.result() for f in futures)
     dim_time = store.read("dim_time")
 
     keyed = date_to_time_key(with_doctor, "et_date", dim_time, "cycle_start_time_id")

@@ -16,6 +16,7 @@ the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 
@@ -37,6 +38,9 @@ class TableStore:
         self.registry = registry
         self._versions: dict[str, str] | None = None   # this job's view of the commit log
         self._schemas: dict[str, T.StructType] = {}   # schemas of tables created empty here
+        # loads may publish from several threads (concurrent Spark jobs); appends into the
+        # one log folder must not overlap in the file committer
+        self._lock = threading.Lock()
 
     # -- paths / log -------------------------------------------------------------
     def _log_dir(self) -> str:
@@ -74,14 +78,15 @@ class TableStore:
         """Publish ``(table, version)`` pairs with ONE small append to the commit log."""
         if not entries:
             return
-        if self._versions is None:
-            self._versions = self._load_log()
-        seq = time.time_ns()
-        lines = [(f"{seq}\t{t}\t{v}",) for t, v in entries]
-        (self.spark.createDataFrame(lines, "value string").coalesce(1)
-             .write.mode("append").text(self._log_dir()))
-        for t, v in entries:
-            self._versions[t] = v
+        with self._lock:
+            if self._versions is None:
+                self._versions = self._load_log()
+            seq = time.time_ns()
+            lines = [(f"{seq}\t{t}\t{v}",) for t, v in entries]
+            (self.spark.createDataFrame(lines, "value string").coalesce(1)
+                 .write.mode("append").text(self._log_dir()))
+            for t, v in entries:
+                self._versions[t] = v
 
     # -- reads --------------------------------------------------------------------
     def read(self, table: str) -> DataFrame:
