@@ -3,8 +3,8 @@ from Spark for free, so a hot key is combined inside each map task before the sh
 
 Exact quantiles: ``F.percentile`` keeps a value->count map per group and merges all of it
 in one task, which does not hold for a continuous column at 100 TB.  ``exact_percentiles``
-ranks values with one range shuffle instead (same machinery as the dense ids) and
-fetches only the 2 rows per quantile that bracket the target rank.
+counts distinct values, ranks them with one range shuffle (same machinery as the dense
+ids) and fetches only the values whose count interval holds a target rank.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +74,12 @@ def count_by_dim_attribute(fact: DataFrame, dim: DataFrame, fk: str, pk: str, at
                            label_col: str = "label", count_col: str = "value",
                            unknown: str = "Unknown") -> DataFrame:
     """fact inner-join dimension, count per attribute value, NULL label -> Unknown."""
+    # pre-aggregate the fact to one row per key before the join: a hot key is reduced
+    # map-side and never shuffled row by row
+    per_key = fact.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
     d = bounded_broadcast(dim.select(F.col(pk).alias("__pk"), F.col(attr).alias("__attr")))
-    j = fact.select(fk).join(d, F.col(fk) == F.col("__pk"), "inner")
-    g = j.groupBy("__attr").agg(F.count(F.lit(1)).alias(count_col))
+    j = per_key.join(d, F.col("__fk") == F.col("__pk"), "inner")
+    g = j.groupBy("__attr").agg(F.sum("__n").cast("long").alias(count_col))
     return g.select(null_label("__attr", unknown).alias(label_col), count_col)
 
 
@@ -172,27 +175,32 @@ def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- exact quantiles
 
 def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
-    """Exact ``quantile_cont`` (linear interpolation) of every column, all in one shuffle.
-
-    Values are unpivoted to (column, value), range-partitioned and ranked; the driver only
-    receives per-partition counts and the <= 2*len(cols)*len(probs) bracketing rows.
+    """Exact ``quantile_cont`` (linear interpolation) of every column, all in one pass.
+
+    1. unpivot to (column, value) and count each distinct pair: partial aggregation turns
+       a value held by a third of all rows into ONE row with a large count;
+    2. range-partition the distinct pairs (balanced: no pair can be hot) and take running
+       counts inside each partition (a window per range partition);
+    3. the driver receives only per-partition and per-column totals (bounded by the
+       partition and column counts) and fetches the <= 2*len(cols)*len(probs) pairs whose
+       count interval holds a target rank.
     """
     if not cols:
         return {}
-    spark = df.sparkSession
     pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
-    long = (df.select(F.inline(pairs))
-              .where(F.col("v").isNotNull() & ~F.isnan(F.col("v"))))
-    ranged = _ranged(long, ["k", "v"], None)
-    per_key = {r["k"]: r["n"] for r in ranged.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
-    part_counts = sorted((r[_PID], r["c"]) for r in
-                         ranged.groupBy(_PID).agg((F.max(_LOC) + 1).alias("c")).collect())
-    # global rank -> (partition, local position)
-    starts, acc = [], 0
-    for pid, c in part_counts:
+    counts = (df.select(F.inline(pairs))
+                .where(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
+                .groupBy("k", "v").agg(F.count(F.lit(1)).alias("__c")))
+    ranged = _ranged(counts, ["k", "v"], None)
+    w = Window.partitionBy(_PID).orderBy(_LOC).rowsBetween(Window.unboundedPreceding, -1)
+    cum = ranged.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+    per_key = {r["k"]: r["n"] for r in ranged.groupBy("k").agg(F.sum("__c").alias("n")).collect()}
+    part_tot = sorted((r[_PID], r["n"]) for r in ranged.groupBy(_PID).agg(F.sum("__c").alias("n")).collect())
+    starts, acc = [], 0                       # global rank where each range partition starts
+    for pid, n in part_tot:
         starts.append((acc, pid))
-        acc += c
-    key_base, acc = {}, 0
+        acc += n
+    key_base, acc = {}, 0                     # global rank where each column starts
     for k in sorted(per_key):
         key_base[k] = acc
         acc += per_key[k]
@@ -207,8 +215,7 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
                 hi_i = mid - 1
         return starts[lo_i][1], g - starts[lo_i][0]
 
-    wanted = set()
-    plan = {}
+    wanted, plan = set(), {}
     for c in cols:
         n = per_key.get(c, 0)
         plan[c] = []
@@ -218,17 +225,26 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
                 continue
             pos = p * (n - 1)
             lo, hi = math.floor(pos), math.ceil(pos)
-            glo, ghi = key_base[c] + lo, key_base[c] + hi
-            wanted.update([locate(glo), locate(ghi)])
-            plan[c].append((pos - lo, locate(glo), locate(ghi)))
-    values = {}
+            a, b = locate(key_base[c] + lo), locate(key_base[c] + hi)
+            wanted.update([a, b])
+            plan[c].append((pos - lo, a, b))
+    rows_by_pid: dict = {}
     if wanted:
         cond = None
-        for pid, loc in wanted:
-            e = (F.col(_PID) == pid) & (F.col(_LOC) == loc)
+        for pid, local in wanted:
+            e = ((F.col(_PID) == pid) & (F.col("__before") <= local)
+                 & (F.col("__before") + F.col("__c") > local))
             cond = e if cond is None else cond | e
-        for r in ranged.where(cond).select(_PID, _LOC, "v").collect():
-            values[(r[_PID], r[_LOC])] = r["v"]
+        for r in cum.where(cond).select(_PID, "__before", "__c", "v").collect():
+            rows_by_pid.setdefault(r[_PID], []).append((r["__before"], r["__c"], r["v"]))
+
+    def value_at(loc):
+        pid, local = loc
+        for before, c, v in rows_by_pid[pid]:
+            if before <= local < before + c:
+                return v
+        raise AssertionError("rank not found")
+
     out = {}
     for c in cols:
         res = []
@@ -237,7 +253,7 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
                 res.append(None)
                 continue
             frac, a, b = item
-            va, vb = values[a], values[b]
+            va, vb = value_at(a), value_at(b)
             res.append(va if frac == 0 else va + frac * (vb - va))
         out[c] = res
     return out

@@ -34,7 +34,10 @@ def _ranged(df: DataFrame, order_by: Sequence[Column | str], num_partitions: int
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    exprs = _order_exprs(order_by)
+    # tie-breaker: a content hash, so a hot group of equal order keys (one value held by a
+    # third of the rows) is spread over several range partitions instead of landing in one;
+    # deterministic, so a recomputed task places every row in the same partition again
+    exprs = _order_exprs(order_by) + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
     pid = F.spark_partition_id().cast("long")
     return (df.repartitionByRange(n, *exprs)
               .sortWithinPartitions(*exprs)

@@ -101,7 +101,9 @@ def build_fact(raw: DataFrame, case_col: str, order_by: Sequence[str], columns:
 
 def build_bridge(raw: DataFrame, facts: DataFrame, case_col: str, sk_col: str, member_col: str) -> DataFrame:
     """Raw rows joined to their fact on the case -> distinct (sk, member) pairs."""
-    r = raw.select(case_col, member_col)
+    # de-duplicate (case, member) first: partial aggregation shrinks a hot case before
+    # the join shuffles it
+    r = raw.select(case_col, member_col).distinct()
     f = facts.select(case_col, sk_col)
     return r.join(f, case_col, "inner").select(sk_col, member_col).distinct()
 

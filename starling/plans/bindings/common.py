@@ -107,6 +107,11 @@ DIRTY_EVENTS_SQL = """(SELECT event_id, ts, user_id, event_type,
   CASE WHEN event_id % 11 <> 0 THEN props END AS props FROM events)"""
 
 
+# A total order of line items (no two rows tie unless identical): "first line" picks and
+# line numbering are deterministic at every scale.
+LINE_TIEBREAK = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LINE_TIEBREAK_SQL = "l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+
 ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
               "embeddings", "pages", "benchmark", "labels", "conversations"]
 

@@ -9,7 +9,7 @@ from starling.operators import joins as J
 from starling.operators import windows as W
 from starling.operators.load import insert_or_ignore
 from starling.plans.bindings.common import (
-    DIRTY_CUSTOMER_SQL, DIRTY_LINEITEM_SQL, DIRTY_ORDERS_SQL, bind, dirty_customer, dirty_lineitem,
+    DIRTY_CUSTOMER_SQL, DIRTY_LINEITEM_SQL, DIRTY_ORDERS_SQL, LINE_TIEBREAK, bind, dirty_customer, dirty_lineitem,
     dirty_orders, table,
 )
 
@@ -200,9 +200,10 @@ def q_quantile_stats(spark, sf):
 
 
 @bind("keep_min_per_key", """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey
-  ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""")
+  ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""")
 def q_keep_min_per_key(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("__rowid", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
+    li = table(spark, sf, "lineitem").withColumn("__rowid", F.struct("l_linenumber", "l_partkey", "l_suppkey",
+                                                                          *LINE_TIEBREAK))
     return A.keep_min_per_key(li, ["l_orderkey"], "__rowid").drop("__rowid")
 
 

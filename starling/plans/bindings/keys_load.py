@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from starling.operators import keys as K
 from starling.operators import load as L
 from starling.operators.windows import first_per_key, latest_per_key, row_number_all
-from starling.plans.bindings.common import bind, table
+from starling.plans.bindings.common import LINE_TIEBREAK, bind, table
 from starling.plans.warehouse import run_full_etl
 from starling.operators.aggregates import table_counts
 from starling.sources.store import TableStore
@@ -174,7 +174,8 @@ def _raw_lines(spark, sf):
 
 _FIRST_LINE_SQL = f"""WITH t AS ({_DIM_TIME_SQL}),
 r AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+  l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1)"""
 
 
 @bind("build_fact_cycle", _FIRST_LINE_SQL + """ SELECT r.o_orderkey, r.o_custkey, t.time_id AS cycle_start_time_id,
@@ -185,7 +186,7 @@ def q_build_fact_cycle(spark, sf):
                         defaults={"good_embryos": 0})
 
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]   # (orderkey, linenumber) alone has ties
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", *LINE_TIEBREAK]   # (orderkey, linenumber) has ties
 FACT_TRANSFER_COLS = ["o_orderkey", "transfer_time_fk", "embryos_transferred", "live_birth"]
 
 

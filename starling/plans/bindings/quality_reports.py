@@ -11,7 +11,7 @@ from starling.operators.keys import dense_surrogate_key, row_index
 from starling.operators.load import build_dim_time, date_to_time_key
 from starling.plans import reports as R
 from starling.plans.bindings.common import (
-    ALL_TABLES, DIRTY_LINEITEM_SQL, DIRTY_ORDERS_SQL, bind, dirty_lineitem, dirty_orders, table, all_tables,
+    ALL_TABLES, DIRTY_LINEITEM_SQL, DIRTY_ORDERS_SQL, LINE_TIEBREAK, bind, dirty_lineitem, dirty_orders, table, all_tables,
 )
 from starling.plans.bindings.keys_load import STAR_COUNTS_SQL, _DIM_TIME_SQL, load_clinic_star
 from starling.plans.bindings.sources import _null_sheet_sql
@@ -217,7 +217,8 @@ class TpchStar:
         li, o = self._t("lineitem"), self._t("orders")
         lines = li.join(o.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
                         li["l_orderkey"] == o["o_orderkey"])
-        lines = row_index(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "transfer_sk")
+        lines = row_index(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *LINE_TIEBREAK],
+                          "transfer_sk")
         lines = date_to_time_key(lines, "l_shipdate", self["dim_time"], "transfer_time_fk")
         return lines.select("transfer_sk", F.col("l_orderkey").cast("string").alias("case_id"), "transfer_time_fk",
                             F.col("l_quantity").cast("int").alias("embryos_transferred"),
@@ -248,7 +249,8 @@ fact_ivf_cycle AS (SELECT oc.o_orderkey AS cycle_sk, CAST(oc.o_orderkey AS VARCH
   CAST(month(oc.o_orderdate) AS INTEGER) AS retrieved_oocytes, CAST(day(oc.o_orderdate) AS INTEGER) AS blastocyst_d5
   FROM oc LEFT JOIN dim_doctor d ON oc.c_mktsegment = d.doctor_name AND oc.o_orderpriority = d.doctor_recommendation
   LEFT JOIN dim_time t ON strftime(oc.o_orderdate, '%Y-%m-%d') = t.full_date),
-fact_transfer AS (SELECT row_number() OVER (ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey)
+fact_transfer AS (SELECT row_number() OVER (ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+  l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate)
   AS transfer_sk, CAST(l.l_orderkey AS VARCHAR) AS case_id, t.time_id AS transfer_time_fk,
   CAST(l.l_quantity AS INTEGER) AS embryos_transferred, l.l_returnflag AS pregnancy_test_result,
   CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END AS live_birth, o.o_orderstatus || '|' || o.o_orderpriority AS outcome_id

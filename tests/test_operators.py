@@ -152,3 +152,22 @@ def test_quality_checks_and_repairs(spark):
     assert sorted(r["pk"] for r in placeholders.where("pk is not null").collect()) == [10, 11, 99]
     desc = Q.schema_describe(child, "child").collect()
     assert [(r["cid"], r["column_name"], r["data_type"]) for r in desc] == [(0, "id", "bigint"), (1, "fk", "bigint")]
+
+
+def test_exact_percentiles_with_hot_value(spark):
+    # one value holds a third of all rows: it is counted once, never shuffled as raw rows
+    rng = np.random.default_rng(11)
+    vals = [0.0] * 700 + [float(x) for x in rng.uniform(-5, 5, 1400)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(8)
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    assert A.exact_percentiles(df, ["x"], probs)["x"] == pytest.approx(list(np.quantile(np.array(vals), probs)),
+                                                                         rel=1e-12, abs=1e-12)
+
+
+def test_row_index_with_hot_order_key(spark):
+    # 1/3 of the rows share one order value: ids stay dense 1..n and respect the order
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, payload long")
+    out = sorted((r["rn"], r["k"]) for r in K.row_index(df, ["k"], "rn", num_partitions=6).collect())
+    assert [r for r, _ in out] == list(range(1, 3001))
+    assert [k for _, k in out] == sorted(k for k, _ in rows)
