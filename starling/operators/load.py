@@ -109,16 +109,25 @@ def build_bridge(raw: DataFrame, facts: DataFrame, case_col: str, sk_col: str, m
 
 
 def insert_or_ignore(target: DataFrame | None, batch: DataFrame, key_cols: Sequence[str],
-                     order_by: Sequence[str], unique_batch: bool = False) -> DataFrame:
+                     order_by: Sequence[str], unique_batch: bool = False,
+                     small_batch_keys: int | None = None) -> DataFrame:
     """Rows of ``batch`` to append under INSERT OR IGNORE with one unique key.
 
     First row per key wins inside the batch (explicit order, Q1); keys already in
     ``target`` are ignored; rows with a NULL key part never conflict (SQL UNIQUE, Q3).
     ``unique_batch=True`` skips the in-batch pick when the caller guarantees one row per
-    key (e.g. the output of :func:`build_fact`)."""
+    key (e.g. the output of :func:`build_fact`).
+
+    ``small_batch_keys=N`` (micro-batches against a large table): when the batch has at
+    most N distinct keys, they are broadcast to semi-filter the target map-side, so the
+    large target is scanned but never shuffled; above N the plain anti-join is used."""
     cand = batch if unique_batch else first_per_key(batch, key_cols, order_by, null_keys_distinct=True)
     if target is None:
         return cand
+    if small_batch_keys:
+        keys = cand.select(*key_cols).distinct()
+        if keys.limit(small_batch_keys + 1).count() <= small_batch_keys:
+            target = target.select(*key_cols).join(F.broadcast(keys), list(key_cols), "left_semi")
     return anti_join(cand, target, [(k, k) for k in key_cols])
 
 

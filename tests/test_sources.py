@@ -82,3 +82,24 @@ def test_stream_ingest_equals_batch(spark, tmp_root):
     again = stream_landing_ingest(spark, landing, typed, tmp_root + "/staging", tmp_root + "/ckpt",
                                   required=["female_id"], multiline=True, partitioned=False)
     assert again.count() == len(want)
+
+
+def test_stream_incremental_load_is_idempotent(spark, tmp_root):
+    from starling.streaming.landing_stream import stream_incremental_load
+    landing = tmp_root + "/landing"
+    os.makedirs(landing)
+    for i in range(8):
+        # case c1 arrives twice: first submission wins, later copies are ignored
+        _write(landing, f"{i}_20240101.json", {"case_id": f"c{i % 5}", "female_age": str(20 + i)})
+    typed = T.StructType([T.StructField("case_id", T.StringType()), T.StructField("female_age", T.IntegerType())])
+    store = TableStore(spark, tmp_root + "/wh")
+    out = stream_incremental_load(spark, landing, typed, store, "cases", ["case_id"], ["female_age"],
+                                  tmp_root + "/ckpt", max_files_per_trigger=2, multiline=True, partitioned=False)
+    assert out.count() == 5 and out.select("case_id").distinct().count() == 5
+    # a new file for a known case and one for a new case: only the new case is added
+    _write(landing, "9_20240102.json", {"case_id": "c2", "female_age": "99"})
+    _write(landing, "10_20240102.json", {"case_id": "c7", "female_age": "40"})
+    out = stream_incremental_load(spark, landing, typed, store, "cases", ["case_id"], ["female_age"],
+                                  tmp_root + "/ckpt", max_files_per_trigger=2, multiline=True, partitioned=False)
+    assert sorted(r["case_id"] for r in out.collect()) == ["c0", "c1", "c2", "c3", "c4", "c7"]
+    assert out.where("case_id = 'c2'").first()["female_age"] != 99
