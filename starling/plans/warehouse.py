@@ -22,6 +22,7 @@ from starling.operators.keys import assign_incremental_keys, fill_missing_ids, r
 from starling.operators.load import (
     build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
 )
+from starling.operators.joins import anti_join
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
     repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls, validate,
@@ -94,12 +95,18 @@ def _dimension_candidates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.min(ORDER_COL).alias(ORDER_COL))
 
 
-def _insert_dimension(store: TableStore, spec, df: DataFrame) -> tuple[int, int]:
+def _insert_dimension(store: TableStore, spec, df: DataFrame, id_from_natural_key: bool = False
+                      ) -> tuple[int, int]:
     cand = _dimension_candidates(df, spec.columns).checkpoint(eager=True)
     target = store.read(spec.name)
     keys = spec.unique_keys()
-    if len(keys) <= 1:
+    if len(keys) <= 1 or id_from_natural_key:
+        # one key, or ids hashed from the natural key: inside the batch equal natural keys
+        # have equal ids, so picking the first row per id is the greedy result; against
+        # the table every unique key is still checked
         new = insert_or_ignore(target, cand, list(keys[0]), [ORDER_COL])
+        for extra in keys[1:]:
+            new = anti_join(new, target, [(k, k) for k in extra])
     else:
         ranked = row_index(cand, [ORDER_COL], "__seq")
         new = insert_or_ignore_multi(target, ranked, keys, "__seq").drop("__seq")
@@ -140,6 +147,7 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     spark = raw.sparkSession
     reg = registry or clinic_registry()
     store.create_all(reg, refresh)
+    raw_columns = set(rename_aliases(normalize_columns(raw), RAW_ALIASES).columns)
     df = prepare_raw(raw, reg, order_by).checkpoint(eager=True)
     summary = []
 
@@ -165,8 +173,9 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     # the dimensions and the calendar are independent: submit them as concurrent Spark
     # jobs so small per-table jobs share the executors instead of running back to back
     dims = ("dim_female", "dim_male", "dim_protocol", "dim_outcome", "dim_embryo")
+    hashed = {n for n in HASHED_DIMENSIONS if reg[n].key[0] not in raw_columns}
     with ThreadPoolExecutor(max_workers=len(dims) + 1) as pool:
-        futures = [pool.submit(lambda n=n: (n, *_insert_dimension(store, reg[n], df))) for n in dims]
+        futures = [pool.submit(lambda n=n: (n, *_insert_dimension(store, reg[n], df, n in hashed))) for n in dims]
         futures.append(pool.submit(load_calendar))
         summary.extend(f.result() for f in futures)
     dim_time = store.read("dim_time")

@@ -61,11 +61,15 @@ class Registry:
         return list(self.tables)
 
 
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
+
+
 def _schema(spec: str) -> T.StructType:
+    """``"name type, ..."`` -> StructType (no Spark session needed)."""
     fields = []
     for part in spec.split(","):
         name, typ = part.split()
-        fields.append(T.StructField(name, T._parse_datatype_string(typ), True))
+        fields.append(T.StructField(name, _TYPES[typ], True))
     return T.StructType(fields)
 
 
