@@ -25,7 +25,8 @@ from starling.operators.load import (
 from starling.operators.joins import anti_join
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
-    repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls, validate,
+    fk_orphan_count, repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls,
+    validate,
 )
 from starling.registry import CLINIC_FK_CHECKS, Registry, clinic_registry
 from starling.sources.store import TableStore
@@ -219,24 +220,48 @@ def run_validation(store: TableStore, registry: Registry | None = None,
 
 
 def run_repairs(store: TableStore, registry: Registry | None = None) -> DataFrame:
-    """Skip when validation passes; else H06 -> H07 -> H08 -> H09, each step
-    writing a new table version; returns the status frame of a final validation."""
+    """Skip when validation passes; else H06 -> H07 -> H08 -> H09 in order.
+
+    Each step rewrites (as a new version) only the tables found dirty: rewriting a clean
+    100 TB fact would be pure waste.  The decisions come from one validation pass whose
+    sheets are small (one row per table / column / check): removing rows (H06, H07)
+    cannot create duplicates or FK orphans in facts, so only the bridge is re-checked
+    after its parent fact changed, plus the one FK the validator does not cover.
+    Returns the status frame of a final validation."""
     reg = registry or clinic_registry()
-    status = run_validation(store, reg)["status"].first()["status"]
-    if status == 1:
-        return run_validation(store, reg)["status"]
-    for spec in reg:                                   # H06 required NULLs
-        if spec.required:
+    sheets = run_validation(store, reg)
+    if sheets["status"].first()["status"] == 1:
+        return sheets["status"]
+    req = {r["table_name"] for r in sheets["required"].where("null_count > 0").collect()}
+    dups = {r["table_name"] for r in sheets["duplicates"].where("duplicate_rows > 0").collect()}
+    bad_fk = {r["check_name"] for r in sheets["fk_checks"].where("invalid_count > 0").collect()}
+    changed = set()
+    for spec in reg:                                                            # H06
+        if spec.name in req:
             store.replace(spec.name, repair_required_nulls(store.read(spec.name), spec.required))
-    for spec in reg:                                   # H07 exact duplicates
-        store.replace(spec.name, repair_duplicates(store.read(spec.name)))
-    for child, fk, parent, pk in (("fact_ivf_cycle", "cycle_start_time_id", "dim_time", "time_id"),
-                                  ("fact_transfer", "transfer_time_fk", "dim_time", "time_id"),
-                                  ("fact_ivf_cycle", "doctor_id", "dim_doctor", "doctor_id"),
-                                  ("fact_transfer", "doctor_id", "dim_doctor", "doctor_id")):
-        store.replace(child, repair_orphan_fk_to_null(store.read(child), fk, store.read(parent), pk))  # H08
-    b = store.read("fact_transfer_embryo")                                                   # H09
-    b = repair_delete_orphans(b, "transfer_sk", store.read("fact_transfer"), "transfer_sk", keep_null=False)
-    b = repair_delete_orphans(b, "embryo_id", store.read("dim_embryo"), "embryo_id", keep_null=True)
-    store.replace("fact_transfer_embryo", b)
+            changed.add(spec.name)
+    for spec in reg:                                                            # H07
+        if spec.name in dups:
+            store.replace(spec.name, repair_duplicates(store.read(spec.name)))
+            changed.add(spec.name)
+    for child, fk, parent, pk in (("fact_transfer", "transfer_time_fk", "dim_time", "time_id"),    # H08
+                                  ("fact_ivf_cycle", "cycle_start_time_id", "dim_time", "time_id"),
+                                  ("fact_transfer", "doctor_id", "dim_doctor", "doctor_id"),
+                                  ("fact_ivf_cycle", "doctor_id", "dim_doctor", "doctor_id")):
+        name = f"{child}.{fk} -> {parent}.{pk}"
+        checked = (child, fk, parent, pk) in CLINIC_FK_CHECKS
+        dirty = name in bad_fk if checked else \
+            fk_orphan_count(store.read(child), fk, store.read(parent), pk).first()[0] > 0
+        if dirty:
+            store.replace(child, repair_orphan_fk_to_null(store.read(child), fk, store.read(parent), pk))
+    b = store.read("fact_transfer_embryo")                                      # H09
+    dirty = any(n.startswith("fact_transfer_embryo.") for n in bad_fk)
+    if not dirty and "fact_transfer" in changed:
+        dirty = fk_orphan_count(b, "transfer_sk", store.read("fact_transfer"), "transfer_sk").first()[0] > 0
+    if dirty:
+        # ``NOT IN`` semantics: a NULL key is not deleted (NULL transfer_sk rows were
+        # already removed as required-column NULLs by H06)
+        b = repair_delete_orphans(b, "transfer_sk", store.read("fact_transfer"), "transfer_sk", keep_null=True)
+        b = repair_delete_orphans(b, "embryo_id", store.read("dim_embryo"), "embryo_id", keep_null=True)
+        store.replace("fact_transfer_embryo", b)
     return run_validation(store, reg)["status"]

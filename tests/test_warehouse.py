@@ -63,3 +63,28 @@ def test_validation_and_dashboard(spark, tmp_root):
                                 store.read("dim_outcome"), store.read("dim_time"))
     assert p.count() == 3
     assert p.where(F.col("case_id") == "CASE_TEST_002").first()["risk_level"] == "Medium"
+
+
+def test_repair_pass_on_dirty_star(spark, tmp_root):
+    from starling.plans.warehouse import run_repairs
+    _, store, _ = _load(spark, tmp_root)
+    ft = store.read("fact_transfer")
+    one = ft.orderBy("transfer_sk").limit(1)
+    store.append("fact_transfer", one)                                          # duplicate row
+    store.append("fact_transfer", one.withColumn("transfer_sk", F.lit(900).cast("long"))
+                 .withColumn("case_id", F.lit(None).cast("string")))            # NULL required case_id
+    cyc = store.read("fact_ivf_cycle")
+    store.replace("fact_ivf_cycle", cyc.withColumn(                             # orphan time key
+        "cycle_start_time_id", F.when(F.col("case_id") == "CASE_TEST_002", F.lit(77).cast("long"))
+        .otherwise(F.col("cycle_start_time_id"))))
+    sk = ft.agg(F.min("transfer_sk")).first()[0]
+    extra = spark.createDataFrame([(999, "emb_x"), (sk, "emb_missing"), (sk, None)],
+                                  "transfer_sk bigint, embryo_id string")
+    store.append("fact_transfer_embryo", extra)
+    assert run_validation(store)["status"].first()["status"] == -1
+    assert run_repairs(store).first()["status"] == 1
+    assert store.read("fact_transfer").count() == 3
+    assert store.read("fact_ivf_cycle").where("case_id = 'CASE_TEST_002'").first()["cycle_start_time_id"] is None
+    bridge = {(r["transfer_sk"], r["embryo_id"]) for r in store.read("fact_transfer_embryo").collect()}
+    assert (999, "emb_x") not in bridge and (sk, "emb_missing") not in bridge and (sk, None) in bridge
+    assert len(bridge) == 4
