@@ -132,33 +132,49 @@ def null_profile(df: DataFrame, table: str, table_col: str = "table_name",
 ROW_HASH = "__row_hash"
 
 
-def with_repeated_hash_flag(df: DataFrame) -> DataFrame:
-    """``df`` + ``__row_hash`` (xxhash64 of the whole row) + ``__rep`` (True when another
-    row has the same hash).  Only 8-byte hashes are shuffled to find repeats (partial
-    aggregation); the flag joins back by hash, broadcast by AQE when the repeated set is
-    small.  Equal rows always share a hash, so rows with ``__rep`` NULL are unique."""
+def repeated_row_hashes(df: DataFrame) -> DataFrame | None:
+    """Materialised set of 64-bit row hashes (xxhash64 of the whole row) that occur more
+    than once, or None when every hash is unique - then the table has no duplicate row,
+    since equal rows always share a hash.  Only 8-byte hashes are shuffled (with partial
+    aggregation, so a row repeated a billion times is one partial count per task)."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    rep = (df.select(F.xxhash64(*cols).alias(ROW_HASH)).groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("__n"))
+             .where(F.col("__n") > 1).select(ROW_HASH).checkpoint(eager=True))
+    return None if rep.isEmpty() else rep
+
+
+def _rows_with_repeated_hash(df: DataFrame, rep: DataFrame) -> DataFrame:
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.withColumn(ROW_HASH, F.xxhash64(*cols))
-    rep = (hashed.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
-           .select(ROW_HASH, F.lit(True).alias("__rep")))
-    return hashed.join(rep, ROW_HASH, "left")
+    # the repeated set is broadcast after a bounded count; beyond the bound, a shuffle join
+    return hashed.join(bounded_broadcast(rep), ROW_HASH, "left_semi")
 
 
 def duplicate_count(df: DataFrame, alias: str = "duplicate_rows") -> DataFrame:
     """rows - distinct rows (pandas ``duplicated().sum()``; NULLs compare equal).
 
-    Exact: only rows whose 64-bit hash repeats are grouped on their full content, so a
-    wide table (long texts) with few duplicates never shuffles whole rows, and hash
-    collisions cannot cause a wrong count."""
-    cand = with_repeated_hash_flag(df).where(F.col("__rep"))
+    Exact.  A clean table costs one scan and an 8-byte-per-row shuffle; only rows whose
+    hash repeats are then grouped on their full content, so hash collisions cannot
+    cause a wrong count and wide rows (long texts) are never shuffled whole."""
+    rep = repeated_row_hashes(df)
+    if rep is None:
+        return df.sparkSession.createDataFrame([(0,)], f"{alias} long")
+    cand = _rows_with_repeated_hash(df, rep)
     g = cand.groupBy(ROW_HASH, *[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias(alias))
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Exact ``SELECT DISTINCT *`` that de-duplicates only rows whose hash repeats; the
-    others pass through without a full-row shuffle."""
-    flagged = with_repeated_hash_flag(df)
+    """Exact ``SELECT DISTINCT *``.  When no row hash repeats, the input is returned as
+    is (no row shuffle at all); otherwise only rows with a repeated hash are
+    de-duplicated and the others pass through."""
+    rep = repeated_row_hashes(df)
+    if rep is None:
+        return df
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumn(ROW_HASH, F.xxhash64(*cols))
+    flag = bounded_broadcast(rep.withColumn("__rep", F.lit(True)))
+    flagged = hashed.join(flag, ROW_HASH, "left")
     unique = flagged.where(F.col("__rep").isNull()).select(*df.columns)
     repeated = flagged.where(F.col("__rep")).select(*df.columns).dropDuplicates()
     return unique.unionByName(repeated)

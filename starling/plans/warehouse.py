@@ -22,6 +22,7 @@ from starling.operators.keys import assign_incremental_keys, fill_missing_ids, r
 from starling.operators.load import (
     build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
 )
+from starling.operators.aggregates import duplicate_count, null_profile
 from starling.operators.joins import anti_join
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
@@ -223,25 +224,31 @@ def run_repairs(store: TableStore, registry: Registry | None = None) -> DataFram
     """Skip when validation passes; else H06 -> H07 -> H08 -> H09 in order.
 
     Each step rewrites (as a new version) only the tables found dirty: rewriting a clean
-    100 TB fact would be pure waste.  The decisions come from one validation pass whose
-    sheets are small (one row per table / column / check): removing rows (H06, H07)
-    cannot create duplicates or FK orphans in facts, so only the bridge is re-checked
-    after its parent fact changed, plus the one FK the validator does not cover.
-    Returns the status frame of a final validation."""
+    100 TB fact would be pure waste.  Decisions come from one validation pass whose
+    sheets are small (one row per table / required column / FK check) and are collected
+    once.  Removing rows (H06, H07) cannot create duplicates or fact FK orphans, so only
+    the bridge is re-checked after its parent fact changed, plus the one FK the validator
+    does not cover.  The final status re-checks only rewritten tables and the FK checks
+    that touch them; everything else keeps its first-pass count."""
     reg = registry or clinic_registry()
     sheets = run_validation(store, reg)
-    if sheets["status"].first()["status"] == 1:
-        return sheets["status"]
-    req = {r["table_name"] for r in sheets["required"].where("null_count > 0").collect()}
-    dups = {r["table_name"] for r in sheets["duplicates"].where("duplicate_rows > 0").collect()}
-    bad_fk = {r["check_name"] for r in sheets["fk_checks"].where("invalid_count > 0").collect()}
+    req = {(r["table_name"], r["column_name"]): r["null_count"] for r in sheets["required"].collect()}
+    dups = {r["table_name"]: r["duplicate_rows"] for r in sheets["duplicates"].collect()}
+    fks = {r["check_name"]: r["invalid_count"] for r in sheets["fk_checks"].collect()}
+
+    def status() -> DataFrame:
+        ok = not any(req.values()) and not any(dups.values()) and not any(fks.values())
+        return store.spark.createDataFrame([(1 if ok else -1,)], "status int")
+
+    if not (any(req.values()) or any(dups.values()) or any(fks.values())):
+        return status()
     changed = set()
     for spec in reg:                                                            # H06
-        if spec.name in req:
+        if any(n for (t, _), n in req.items() if t == spec.name):
             store.replace(spec.name, repair_required_nulls(store.read(spec.name), spec.required))
             changed.add(spec.name)
     for spec in reg:                                                            # H07
-        if spec.name in dups:
+        if dups.get(spec.name):
             store.replace(spec.name, repair_duplicates(store.read(spec.name)))
             changed.add(spec.name)
     for child, fk, parent, pk in (("fact_transfer", "transfer_time_fk", "dim_time", "time_id"),    # H08
@@ -249,13 +256,13 @@ def run_repairs(store: TableStore, registry: Registry | None = None) -> DataFram
                                   ("fact_transfer", "doctor_id", "dim_doctor", "doctor_id"),
                                   ("fact_ivf_cycle", "doctor_id", "dim_doctor", "doctor_id")):
         name = f"{child}.{fk} -> {parent}.{pk}"
-        checked = (child, fk, parent, pk) in CLINIC_FK_CHECKS
-        dirty = name in bad_fk if checked else \
+        dirty = fks[name] > 0 if name in fks else \
             fk_orphan_count(store.read(child), fk, store.read(parent), pk).first()[0] > 0
         if dirty:
             store.replace(child, repair_orphan_fk_to_null(store.read(child), fk, store.read(parent), pk))
+            changed.add(child)
     b = store.read("fact_transfer_embryo")                                      # H09
-    dirty = any(n.startswith("fact_transfer_embryo.") for n in bad_fk)
+    dirty = any(n and k.startswith("fact_transfer_embryo.") for k, n in fks.items())
     if not dirty and "fact_transfer" in changed:
         dirty = fk_orphan_count(b, "transfer_sk", store.read("fact_transfer"), "transfer_sk").first()[0] > 0
     if dirty:
@@ -264,4 +271,17 @@ def run_repairs(store: TableStore, registry: Registry | None = None) -> DataFram
         b = repair_delete_orphans(b, "transfer_sk", store.read("fact_transfer"), "transfer_sk", keep_null=True)
         b = repair_delete_orphans(b, "embryo_id", store.read("dim_embryo"), "embryo_id", keep_null=True)
         store.replace("fact_transfer_embryo", b)
-    return run_validation(store, reg)["status"]
+        changed.add("fact_transfer_embryo")
+    # final status: re-check what was rewritten
+    for t in changed:
+        df = store.read(t)
+        dups[t] = duplicate_count(df).first()[0]
+        spec = reg[t]
+        if spec.required:
+            for r in null_profile(df.select(*[c for c in spec.required if c in df.columns]), t).collect():
+                req[(t, r["column_name"])] = r["null_count"]
+    for child, fk, parent, pk in CLINIC_FK_CHECKS:
+        if child in changed or parent in changed:
+            fks[f"{child}.{fk} -> {parent}.{pk}"] = \
+                fk_orphan_count(store.read(child), fk, store.read(parent), pk).first()[0]
+    return status()
