@@ -33,13 +33,16 @@ def _order_exprs(order_by: Sequence[Column | str]) -> list[Column]:
 def _ranged(df: DataFrame, order_by: Sequence[Column | str], num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # tie-breaker: a content hash, so a hot group of equal order keys (one value held by a
     # third of the rows) is spread over several range partitions instead of landing in one;
     # deterministic, so a recomputed task places every row in the same partition again
     exprs = _order_exprs(order_by) + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc()]
     pid = F.spark_partition_id().cast("long")
-    return (df.repartitionByRange(n, *exprs)
+    # without an explicit count AQE sizes the range partitions from the data (coalescing
+    # keeps consecutive ranges, so the global order across partitions is preserved): a
+    # 1,000-row dimension is not spread over thousands of empty tasks on a cluster
+    ranged = df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs)
+    return (ranged
               .sortWithinPartitions(*exprs)
               .withColumn(_PID, pid)
               .withColumn(_LOC, F.monotonically_increasing_id() - F.shiftleft(pid, 33))
