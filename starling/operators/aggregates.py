@@ -318,6 +318,3 @@ def batch_count_summary(spark, counts: Iterable[tuple[str, int, int]]) -> DataFr
                            T.StructField("inserted", T.LongType())])
     return spark.createDataFrame([(t, int(p), int(i)) for t, p, i in counts], schema)
 
-
-def one_row(**cols: Column) -> list[Column]:
-    return [c.alias(n) for n, c in cols.items()]

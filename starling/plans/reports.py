@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.exprs import null_label
 from starling.operators.aggregates import bucket_histogram, count_by_dim_attribute
 from starling.operators.clean import filter_status_contains, search_rows_text
 from starling.operators.joins import bounded_broadcast
@@ -143,6 +142,3 @@ def warehouse_summary(dim_female: DataFrame, dim_male: DataFrame, dim_protocol:
             .unionByName(dist(dim_protocol, protocol_col, "protocol_distribution"))
             .unionByName(dist(fact_transfer, outcome_col, "outcome_counts")))
 
-
-def label_or_unknown(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, null_label(col))
