@@ -103,3 +103,21 @@ def test_stream_incremental_load_is_idempotent(spark, tmp_root):
                                   tmp_root + "/ckpt", max_files_per_trigger=2, multiline=True, partitioned=False)
     assert sorted(r["case_id"] for r in out.collect()) == ["c0", "c1", "c2", "c3", "c4", "c7"]
     assert out.where("case_id = 'c2'").first()["female_age"] != 99
+
+
+def test_read_files_glob_mixes_csv_and_parquet(spark, tmp_root):
+    import pytest
+    from starling.sources.files import NoInputFilesError, read_files_glob
+    folder = tmp_root + "/in"
+    os.makedirs(folder)
+    with open(os.path.join(folder, "part1.csv"), "w") as f:
+        f.write(" a , b \n1,x\n2,y\n")                       # header names padded with spaces
+    with open(os.path.join(folder, "notes.txt"), "w") as f:
+        f.write("not data\n")
+    spark.createDataFrame([("3", "z")], "a string, c string").write.parquet(folder + "/part2.parquet")
+    out = read_files_glob(spark, folder + "/*")
+    assert sorted(out.columns) == ["a", "b", "c"]
+    assert sorted((r["a"], r["b"], r["c"]) for r in out.collect()) == [("1", "x", None), ("2", "y", None),
+                                                                        ("3", None, "z")]
+    with pytest.raises(NoInputFilesError):
+        read_files_glob(spark, tmp_root + "/nothing-here/*")
