@@ -48,3 +48,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards(docs, ["doc_id"], shards=24, seed=7).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@bind("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
