@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -28,7 +30,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_slices(text: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text each (one row at least)."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
     for i, n in enumerate(lengths.tolist()):
         if i > start and size + n > max_bytes:
@@ -39,30 +41,37 @@ def text_slices(text: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[
         yield start, len(lengths)
 
 
-def with_columns(df: DataFrame, new: list[tuple[str, T.DataType]]) -> tuple[T.StructType, pa.Schema, list[str]]:
-    """Schema of ``df`` plus ``new`` columns (Spark and Arrow), and the names kept from
-    ``df``: a column of the input that clashes with a new one is replaced by it."""
-    names = {n.lower() for n, _ in new}
-    kept = [f for f in df.schema.fields if f.name.lower() not in names]
-    schema = T.StructType(kept + [T.StructField(n, t) for n, t in new])
-    return schema, to_arrow_schema(schema), [f.name for f in kept]
-
+def extended(df: DataFrame, inputs: list[str], new: list[tuple[str, T.DataType]], score,
+             drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` plus columns computed row by row: ``score(*arrays)`` gets the ``inputs`` columns
+    of a slice of rows (the first is the text) and returns the new columns' values, in order.
 
-def extended(df: DataFrame, text_col: str, new: list[tuple[str, T.DataType]], score) -> DataFrame:
-    """``df`` plus columns computed from its text: ``score(text: pa.Array)`` returns the new
-    columns' values (arrays or lists, in order of ``new``) for a slice of rows.  One pass, no
-    shuffle; every other column passes through."""
-    schema, arrow, kept = with_columns(df, new)
+    One pass, no shuffle.  The other columns pass through, but for those of ``drop``; an
+    input column that clashes with a new one is replaced by it.
+    """
+    gone = {n.lower() for n, _ in new} | {n.lower() for n in drop}
+    kept = [f for f in df.schema.fields if f.name.lower() not in gone]
+    schema = T.StructType(kept + [T.StructField(n, t) for n, t in new])
+    arrow = to_arrow_schema(schema)
+    # inputs go first, by position, so that repeated or clashing names cannot confuse them
+    wide = df.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs)],
+                     *[F.col(f"`{f.name}`") for f in kept])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index(text_col))
-            for a, b in text_slices(text):
-                part = batch.slice(a, b - a)
-                values = score(part.column(part.schema.get_field_index(text_col)))
-                columns = [part.column(part.schema.get_field_index(c)) for c in kept]
+            for a, b in text_slices(batch.column(0)):
+                part = batch.slice(a, b - a).columns
+                values = score(*part[:len(inputs)])
+                columns = [c.cast(arrow.field(i).type) for i, c in enumerate(part[len(inputs):])]
                 columns += [pa.array(v, type=arrow.field(len(kept) + i).type) for i, v in enumerate(values)]
-                yield pa.RecordBatch.from_arrays([c.cast(arrow.field(i).type) for i, c in enumerate(columns)],
-                                                 schema=arrow)
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return wide.mapInArrow(run, schema)
+
 
-    return df.mapInArrow(run, schema)
+def sampled_rows(df: DataFrame, key: str, about: int) -> DataFrame:
+    """About ``about`` rows of ``df`` (all of them if there are no more), picked by a hash of
+    ``key``: the same rows for the same table.  Rows without a key are not picked."""
+    n = df.where(F.col(key).isNotNull()).count()
+    rate = min(1.0, about / n) if n else 1.0
+    return df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))))

@@ -55,3 +55,32 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starling.llm.packing import pack
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def held_out() -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+
+
+@bind("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.line_crf import fit_lines, label_documents
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crf = fit_lines(docs, table(spark, sf_dir, "labels"))
+    return label_documents(docs, crf, drop=("text",))
+
+
+@bind("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.lang_id import identify, train
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+    model = train(docs.where("NOT held_out"))
+    return identify(docs.select("doc_id", "text", "held_out"), model, drop=("text",))
+
+
+@bind("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.quality_fm import score_documents, train
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+    machine = train(docs.where("NOT held_out"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return (score_documents(docs.select("doc_id", "text", "n_chars", "held_out"), machine, drop=("text", "n_chars"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -18,6 +19,9 @@ _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
+# odd multipliers of a word's place in a window
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 3, 1 << 64) for k in range(64)], dtype=np.uint64)
+
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit scrambler (xor-shift and multiply)."""
@@ -33,7 +37,7 @@ class Words:
     __slots__ = ("data", "offsets", "starts", "ends", "first")
 
     def __init__(self, text: pa.Array, lower: bool = False) -> None:
-        text = pa.compute.fill_null(text.cast(pa.large_string()), "")
+        text = pc.fill_null(text.cast(pa.large_string()), "")
         if len(text) == 0:
             self.data, self.offsets = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         else:
@@ -60,23 +64,41 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word (eight bytes a step, all words at once)."""
-        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
-        eight = np.ndarray((len(self.data) + 1,), "<u8", padded, strides=(1,))
-        size = self.ends - self.starts
-        out = size.astype(np.uint64) * _GOLD
-        todo, at = np.arange(len(size)), 0
-        while len(todo):
-            piece = eight[self.starts[todo] + at] & _TAIL[np.minimum(size[todo] - at, 8)]
-            out[todo] = mix64(out[todo] ^ piece) * _GOLD
-            at += 8
-            todo = todo[size[todo] > at]
-        return mix64(out)
+        """A 64-bit hash of every word."""
+        return span_hashes(self.data, self.starts, self.ends)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every byte span (eight bytes a step, all spans at once)."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    size = ends - starts
+    out = size.astype(np.uint64) * _GOLD
+    todo, at = np.flatnonzero(size), 0
+    while len(todo):
+        piece = eight[starts[todo] + at] & _TAIL[np.minimum(size[todo] - at, 8)]
+        out[todo] = mix64(out[todo] ^ piece) * _GOLD
+        at += 8
+        todo = todo[size[todo] > at]
+    return mix64(out)
+
+
+def class_counts(data: np.ndarray, wanted: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many bytes of each span belong to a class (``wanted``: 256 flags)."""
+    total = np.concatenate([[0], np.cumsum(wanted[data], dtype=np.int64)])
+    return total[ends] - total[starts]
+
+
+def byte_class(chars: str) -> np.ndarray:
+    """256 flags of the ASCII characters of ``chars``."""
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
 
 
 def windows(h: np.ndarray, first: np.ndarray, k: int, whole_short: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all ``k``-word windows and the windows' own ``first`` offsets by document.
-    ``whole_short``: a document of 1 to k-1 words has its whole sequence as one window."""
+    ``whole_short``: a document of 1 to k-1 words has its whole sequence as one window.  ``k`` is at most 64."""
     counts = np.diff(first)
     n = np.maximum(counts - k + 1, 0)
     if whole_short:
@@ -88,14 +110,12 @@ def windows(h: np.ndarray, first: np.ndarray, k: int, whole_short: bool = False)
     used = np.minimum(counts, k)[doc]
     padded = np.concatenate([h, np.zeros(k, np.uint64)])
     acc = used.astype(np.uint64) * _GOLD
-    factor = _M1
     short = bool(np.any(used < k))
     for j in range(k):
-        term = padded[at + j] * factor
+        term = padded[at + j] * _FACTORS[j]
         if short:
             term[used <= j] = 0
         acc = acc + term
-        factor = factor * _M2 | np.uint64(1)
     return mix64(acc), out_first
 
 
