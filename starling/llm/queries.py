@@ -84,3 +84,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = train(docs.where("NOT held_out"), table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return (score_documents(docs.select("doc_id", "text", "n_chars", "held_out"), machine, drop=("text", "n_chars"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+@bind("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.jaccard_groups import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
