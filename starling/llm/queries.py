@@ -90,3 +90,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starling.llm.jaccard_groups import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@bind("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.decontaminate import leak_pairs
+    return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

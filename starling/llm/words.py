@@ -13,6 +13,9 @@ import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# white space, control characters and ASCII punctuation: words are then letters and digits only
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
@@ -36,7 +39,7 @@ class Words:
 
     __slots__ = ("data", "offsets", "starts", "ends", "first")
 
-    def __init__(self, text: pa.Array, lower: bool = False) -> None:
+    def __init__(self, text: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> None:
         text = pc.fill_null(text.cast(pa.large_string()), "")
         if len(text) == 0:
             self.data, self.offsets = np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -49,7 +52,7 @@ class Words:
         if lower:
             self.data = LOWER[self.data]
         ink = np.empty(len(self.data) + 1, bool)
-        ink[:-1] = ~SPACE[self.data]
+        ink[:-1] = ~space[self.data]
         ink[-1] = False
         before = np.empty_like(ink)
         before[0], before[1:] = False, ink[:-1]
