@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starling.llm import license_scan
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -96,3 +98,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starling.llm.decontaminate import leak_pairs
     return leak_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@bind("op1_license_scan", license_scan.oracle_sql())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_matches(table(spark, sf_dir, "documents"))
+
+
+@bind("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.masked_lm import pseudo_likelihood
+    return pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
