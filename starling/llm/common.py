@@ -53,9 +53,9 @@ def extended(df: DataFrame, inputs: list[str], new: list[tuple[str, T.DataType]]
     kept = [f for f in df.schema.fields if f.name.lower() not in gone]
     schema = T.StructType(kept + [T.StructField(n, t) for n, t in new])
     arrow = to_arrow_schema(schema)
-    # inputs go first, by position, so that repeated or clashing names cannot confuse them
-    wide = df.select(*[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(inputs)],
-                     *[F.col(f"`{f.name}`") for f in kept])
+    # named by position, so that clashing names cannot confuse them
+    wide = df.select(*[F.col(f"`{c}`").alias(f"in{i}") for i, c in enumerate(inputs)],
+                     *[F.col(f"`{f.name}`").alias(f"kept{i}") for i, f in enumerate(kept)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
