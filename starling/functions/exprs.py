@@ -41,21 +41,28 @@ def try_number(c: ColumnOrName, to: str = "double") -> Column:
 
 
 def try_integer(c: ColumnOrName, to: str = "int") -> Column:
-    """Text -> integer through double, so '12.7' becomes 12 (truncation) instead of NULL."""
+    """Text -> integer: whole numbers exactly (ids above 2^53 keep every digit), others through
+    double, so '12.7' becomes 12 (truncation) instead of NULL."""
     d = try_number(c, "double")
     bound = 2.0 ** 63 if to in ("long", "bigint") else 2.0 ** 31
     # out-of-range and NaN fail the guard and give NULL (a bare ANSI cast would raise)
-    return F.when(F.abs(d) < bound, d.cast(to))
+    return F.coalesce(try_number(c, to), F.when(F.abs(d) < bound, d.cast(to)))
 
 
-def try_date(c: ColumnOrName, formats: Iterable[str] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
-                                                      "yyyy-MM-dd")) -> Column:
+# Accepted layouts besides ISO dates and times, as (regex, date pattern).
+OTHER_DATE_LAYOUTS = (("^[0-9]{8}$", "yyyyMMdd"), ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "yyyy/M/d"),
+                      ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"))
+
+
+def try_date(c: ColumnOrName) -> Column:
     """Text (or timestamp) -> DATE; unparsable -> NULL (B10, ``to_datetime(errors='coerce')``).
 
-    Several formats are tried in order; the first that parses wins.
+    ISO dates, alone or with a time (blank or T, any fraction of a second, zone or Z): the
+    written day, whatever the zone; then the compact and slashed layouts (month before day).
     """
     s = blank_to_null(c)
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    iso = F.when(s.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"), s.try_cast("timestamp_ntz").cast("date"))
+    return F.coalesce(iso, *[F.when(s.rlike(r), F.try_to_date(s, f)) for r, f in OTHER_DATE_LAYOUTS])
 
 
 def iso_date(c: ColumnOrName) -> Column:
@@ -90,20 +97,25 @@ def map_values(c: ColumnOrName, mapping: Mapping, default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
-def natural_key_text(*cols: ColumnOrName, sep: str = "|", null_token: str = "<null>") -> Column:
-    """Null-tolerant composite key text: trimmed parts joined by ``sep``.
+def natural_key_text(*cols: ColumnOrName, sep: str = "|") -> Column:
+    """Null-tolerant composite key text (C06): each trimmed part as ``<length>:<text>``, joined by ``sep``.
 
-    NULL and '' map to ``null_token`` so rows with missing parts still get one key.
+    NULL and '' give a part without a length, so rows with missing parts still get one key.  The
+    lengths make the text injective: parts that hold ``sep`` or look like another part cannot
+    give the text of a different tuple.
     """
-    parts = [F.coalesce(blank_to_null(c), F.lit(null_token)) for c in cols]
+    parts = []
+    for c in cols:
+        text = blank_to_null(c)
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("")))
     return F.concat_ws(sep, *parts)
 
 
-def hash_id(prefix: str, *cols: ColumnOrName, hex_digits: int = 16) -> Column:
+def hash_id(prefix: str, *cols: ColumnOrName, hex_digits: int = 32) -> Column:
     """Deterministic id ``<prefix>_<hex>`` from the natural key (C04 repaired, Q6).
 
-    16 hex digits = 64 bits: collision-free in practice at billions of keys, where the
-    8 digits of a uuid prefix would collide.
+    32 hex digits = 128 bits: the expected number of colliding pairs among n keys is
+    n^2 / 2^129, far below one even for 10^15 keys.
     """
     h = F.sha2(natural_key_text(*cols), 256)
     return F.concat(F.lit(prefix + "_"), F.substring(h, 1, hex_digits))

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import null_label
-from starling.operators.joins import bounded_broadcast
 from starling.operators.keys import _LOC, _PID, _ranged
 
 
@@ -77,7 +76,7 @@ def count_by_dim_attribute(fact: DataFrame, dim: DataFrame, fk: str, pk: str, at
     # pre-aggregate the fact to one row per key before the join: a hot key is reduced
     # map-side and never shuffled row by row
     per_key = fact.groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
-    d = bounded_broadcast(dim.select(F.col(pk).alias("__pk"), F.col(attr).alias("__attr")))
+    d = dim.select(F.col(pk).alias("__pk"), F.col(attr).alias("__attr"))
     j = per_key.join(d, F.col("__fk") == F.col("__pk"), "inner")
     g = j.groupBy("__attr").agg(F.sum("__n").cast("long").alias(count_col))
     return g.select(null_label("__attr", unknown).alias(label_col), count_col)
@@ -129,63 +128,36 @@ def null_profile(df: DataFrame, table: str, table_col: str = "table_name",
                                                F.col("v").cast("long").alias(count_col))
 
 
-ROW_HASH = "__row_hash"
-
-
-def repeated_row_hashes(df: DataFrame) -> DataFrame | None:
-    """Materialised set of 64-bit row hashes (xxhash64 of the whole row) that occur more
-    than once, or None when every hash is unique - then the table has no duplicate row,
-    since equal rows always share a hash.  Only 8-byte hashes are shuffled (with partial
-    aggregation, so a row repeated a billion times is one partial count per task)."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    rep = (df.select(F.xxhash64(*cols).alias(ROW_HASH)).groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > 1).select(ROW_HASH).checkpoint(eager=True))
-    return None if rep.isEmpty() else rep
-
-
-def _rows_with_repeated_hash(df: DataFrame, rep: DataFrame) -> DataFrame:
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn(ROW_HASH, F.xxhash64(*cols))
-    # the repeated set is broadcast after a bounded count; beyond the bound, a shuffle join
-    return hashed.join(bounded_broadcast(rep), ROW_HASH, "left_semi")
-
-
 def duplicate_count(df: DataFrame, alias: str = "duplicate_rows") -> DataFrame:
     """rows - distinct rows (pandas ``duplicated().sum()``; NULLs compare equal).
 
-    Exact.  A clean table costs one scan and an 8-byte-per-row shuffle; only rows whose
-    hash repeats are then grouped on their full content, so hash collisions cannot
-    cause a wrong count and wide rows (long texts) are never shuffled whole."""
-    rep = repeated_row_hashes(df)
-    if rep is None:
-        return df.sparkSession.createDataFrame([(0,)], f"{alias} long")
-    cand = _rows_with_repeated_hash(df, rep)
-    g = cand.groupBy(ROW_HASH, *[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    One scan and one shuffle; equal rows are counted together in the map tasks first, so a
+    row repeated a billion times is one partial count per task.  Lazy."""
+    g = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     return g.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias(alias))
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Exact ``SELECT DISTINCT *``.  When no row hash repeats, the input is returned as
-    is (no row shuffle at all); otherwise only rows with a repeated hash are
-    de-duplicated and the others pass through."""
-    rep = repeated_row_hashes(df)
-    if rep is None:
-        return df
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.withColumn(ROW_HASH, F.xxhash64(*cols))
-    flag = bounded_broadcast(rep.withColumn("__rep", F.lit(True)))
-    flagged = hashed.join(flag, ROW_HASH, "left")
-    unique = flagged.where(F.col("__rep").isNull()).select(*df.columns)
-    repeated = flagged.where(F.col("__rep")).select(*df.columns).dropDuplicates()
-    return unique.unionByName(repeated)
+    """Exact ``SELECT DISTINCT *``: one scan, one shuffle, map-side combined."""
+    return df.dropDuplicates()
+
+
+def value_or_null(df: DataFrame, col: str) -> Column:
+    """The column as double if it is fractional, with NaN as NULL; other types as they are."""
+    c = F.col(f"`{col}`")
+    return F.nullif(c, F.lit(float("nan"))) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else c
+
+
+def filled(df: DataFrame, fills: dict[str, float]) -> DataFrame:
+    """NULL and NaN -> the column's value of ``fills``.  A whole-number column becomes double,
+    as a mean or median of whole numbers may lie between two of them."""
+    done = {c: F.coalesce(value_or_null(df, c).cast("double"), F.lit(float(v))) for c, v in fills.items() if v is not None}
+    return df.withColumns(done) if done else df
 
 
 def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL -> column mean (one aggregate, then literal fills)."""
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
-    fills = {c: v for c, v in means.items() if v is not None}
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-                           for c, v in fills.items()})
+    """NULL and NaN -> column mean (one aggregate, then literal fills)."""
+    return filled(df, df.agg(*[F.avg(value_or_null(df, c)).alias(c) for c in cols]).first().asDict())
 
 
 # ---------------------------------------------------------------- exact quantiles
@@ -309,12 +281,3 @@ def keep_min_per_key(df: DataFrame, key_cols: Sequence[str], order_col: str) ->
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """SELECT DISTINCT col WHERE col IS NOT NULL."""
     return df.where(F.col(col).isNotNull()).select(col).distinct()
-
-
-def batch_count_summary(spark, counts: Iterable[tuple[str, int, int]]) -> DataFrame:
-    """(table, processed, inserted) rows from the load operators' counters."""
-    schema = T.StructType([T.StructField("table_name", T.StringType()),
-                           T.StructField("processed", T.LongType()),
-                           T.StructField("inserted", T.LongType())])
-    return spark.createDataFrame([(t, int(p), int(i)) for t, p, i in counts], schema)
-

@@ -15,7 +15,7 @@ from starling.functions.exprs import (
     blank_to_null, contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
     safe_ratio as _safe_ratio, try_date, try_integer, try_number,
 )
-from starling.operators.aggregates import drop_duplicate_rows, exact_percentiles
+from starling.operators.aggregates import drop_duplicate_rows, exact_percentiles, filled, value_or_null
 
 
 class MissingColumnsError(ValueError):
@@ -66,8 +66,7 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Remove fully identical rows (NULLs compare equal, as in pandas).  Only rows
-    whose 64-bit row hash repeats are shuffled whole (see ``drop_duplicate_rows``)."""
+    """Remove fully identical rows (NULLs compare equal, as in pandas)."""
     return drop_duplicate_rows(df)
 
 
@@ -110,20 +109,17 @@ def parse_date_coerce(df: DataFrame, cols: Sequence[str], as_text: bool = True)
 
 
 def fill_numeric_median(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """NULL -> the column's exact median (one ranked shuffle for all columns)."""
+    """NULL and NaN -> the column's exact median (one ranked shuffle for all columns); a
+    whole-number column becomes double."""
     if approx:
-        row = df.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in cols]).first().asDict()
-        med = {c: row[c] for c in cols}
-    else:
-        med = {c: v[0] for c, v in exact_percentiles(df, cols, [0.5]).items()}
-    fills = {c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-             for c, v in med.items() if v is not None}
-    return df.withColumns(fills) if fills else df
+        return filled(df, df.agg(*[F.percentile_approx(value_or_null(df, c), 0.5).alias(c) for c in cols]).first().asDict())
+    return filled(df, {c: v[0] for c, v in exact_percentiles(df, cols, [0.5]).items()})
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99,
               approx: bool = False) -> DataFrame:
-    """Clip each column into its [lower, upper] quantiles (linear interpolation)."""
+    """Clip each column into its [lower, upper] quantiles (linear interpolation); NaN
+    counts as NULL."""
     if approx:
         row = df.agg(*[F.percentile_approx(c, [lower, upper]).alias(c) for c in cols]).first().asDict()
         qs = {c: row[c] for c in cols}
@@ -134,7 +130,7 @@ def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: fl
         lo, hi = qs[c] if qs[c] is not None else (None, None)
         if lo is None:
             continue
-        x = F.col(c).cast("double")
+        x = value_or_null(df, c).cast("double")
         out[c] = F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
             F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi))))
     return df.withColumns(out) if out else df
@@ -223,9 +219,3 @@ def split_valid_rejected(df: DataFrame, rules: Mapping[str, Column],
     valid = tagged.where(F.col(reason_col).isNull()).drop(reason_col)
     rejected = tagged.where(F.col(reason_col).isNotNull())
     return valid, rejected
-
-
-def blank_strings_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Landing rule: trimmed '' -> NULL for string columns."""
-    cols = list(cols) if cols is not None else _string_cols(df)
-    return df.withColumns({c: blank_to_null(c) for c in cols}) if cols else df

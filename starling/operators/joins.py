@@ -3,33 +3,17 @@
 Strategy: equi-joins are written declaratively and Spark/AQE choose the physical join.
 AQE converts a sort-merge join to a broadcast join at runtime when the measured shuffle
 size of one side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a checked
-size), and splits skewed partitions of sort-merge joins (``skewJoin``).  An explicit
-``broadcast()`` is only placed by :func:`bounded_broadcast`, after counting the side.
+size), and splits skewed partitions of sort-merge joins (``skewJoin``).  No join here
+carries a hint, so no plan depends on a row count taken beforehand.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if ``df`` has at most ``max_rows`` rows (counted, bounded scan)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _cond(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        e = left[lc].eqNullSafe(right[rc]) if null_safe else (left[lc] == right[rc])
-        cond = e if cond is None else cond & e
-    return cond
-
 
 def join_inner_multikey(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner equi-join on several same-named columns."""
@@ -60,25 +44,12 @@ def anti_join(child: DataFrame, parent: DataFrame, pairs: Sequence[tuple[str, st
     return child.join(p, cond, "left_anti")
 
 
-def semi_join(child: DataFrame, parent: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows of ``child`` whose key is present in ``parent`` (``isin`` of known keys)."""
-    p = parent.select(*[F.col(rc).alias(f"__p{i}") for i, (_, rc) in enumerate(pairs)])
-    cond = None
-    for i, (lc, _) in enumerate(pairs):
-        e = F.col(lc) == F.col(f"__p{i}")
-        cond = e if cond is None else cond & e
-    return child.join(p, cond, "left_semi")
-
-
 def lookup_left(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, value: str,
-                out_col: str | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
+                out_col: str | None = None) -> DataFrame:
     """Dictionary lookup as a LEFT join; a miss gives NULL.
 
-    ``lookup`` must be unique on ``lookup_key`` (dimensions are).  With
-    ``max_broadcast_rows`` the lookup side is broadcast after a bounded count."""
+    ``lookup`` must be unique on ``lookup_key`` (dimensions are)."""
     lk = lookup.select(F.col(lookup_key).alias("__lk"), F.col(value).alias("__lv"))
-    if max_broadcast_rows:
-        lk = bounded_broadcast(lk, max_broadcast_rows)
     out = df.join(lk, F.col(key) == F.col("__lk"), "left").drop("__lk")
     return out.withColumnRenamed("__lv", out_col or value)
 

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starling.functions.exprs import blank_to_null, hash_id, natural_key_text, text_key  # noqa: F401
-from starling.operators.joins import bounded_broadcast
 from starling.session import ensure_checkpoint_dir
 
 _PID, _LOC = "__pid", "__loc"
@@ -92,12 +91,12 @@ def composite_text_key(df: DataFrame, id_col: str, prefix: str,
 
 def fill_missing_ids(df: DataFrame, id_col: str, prefix: str, key_cols: Sequence[str],
                      random: bool = False) -> DataFrame:
-    """NULL/blank ids become ``<prefix>_<16 hex>``; existing ids are kept.
+    """NULL/blank ids become ``<prefix>_<32 hex>``; existing ids are kept.
 
     The hash is over ``key_cols`` (deterministic: reloads give the same id, Q6).  With
     ``random=True`` a uuid is used instead, like the reference's refresh mode.
     """
-    gen = (F.concat(F.lit(prefix + "_"), F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 16))
+    gen = (F.concat(F.lit(prefix + "_"), F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 32))
            if random else hash_id(prefix, *key_cols))
     if id_col not in df.columns:
         return df.withColumn(id_col, gen)
@@ -135,9 +134,7 @@ def assign_incremental_keys(batch: DataFrame, dim: DataFrame | None, natural_col
         base = existing.agg(F.max(id_col)).first()[0] or 0
     new_rows = row_index(new_keys, list(natural_cols), id_col, start=int(base) + 1).select(id_col, *natural_cols)
     mapping = new_rows if existing is None else existing.unionByName(new_rows)
-    # the key map has one row per natural key: broadcast it after a bounded count, so the
-    # batch (facts) is not shuffled for a small dimension; shuffle join beyond the bound
-    m = bounded_broadcast(mapping.select(id_col, *[F.col(c).alias("__nk_" + c) for c in natural_cols]))
+    m = mapping.select(id_col, *[F.col(c).alias("__nk_" + c) for c in natural_cols])
     cond = None
     for c in natural_cols:
         e = batch[c].eqNullSafe(m["__nk_" + c])

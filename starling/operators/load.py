@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import iso_date, try_date
-from starling.operators.joins import anti_join, bounded_broadcast, join_null_safe
+from starling.operators.joins import anti_join, join_null_safe
 from starling.operators.keys import row_index
 from starling.operators.windows import _pick_per_key, first_per_key
 
-DIM_TIME_BROADCAST_ROWS = 1_000_000   # one row per calendar day: ~2,700 years
-
 
 def build_dimension(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
     """Project key + attributes and de-duplicate; None when a column is missing."""
@@ -66,10 +64,10 @@ def date_to_time_key(df: DataFrame, date_col: str, dim_time: DataFrame, out_col:
                      id_col: str = "time_id") -> DataFrame:
     """Map the row's date to ``time_id`` (LEFT join; unmatched/invalid -> NULL).
 
-    dim_time has one row per calendar day, so it is broadcast after a bounded count."""
+    dim_time has one row per calendar day, so the planner broadcasts it from its size."""
     key = iso_date(_as_date(df, date_col))
     lk = dim_time.select(F.col("full_date").alias("__fd"), F.col(id_col).alias(out_col))
-    lk = bounded_broadcast(lk, DIM_TIME_BROADCAST_ROWS)
+    lk = lk
     return df.withColumn("__fd_key", key).join(lk, F.col("__fd_key") == F.col("__fd"), "left") \
              .drop("__fd_key", "__fd")
 
@@ -94,8 +92,10 @@ def project_fact(df: DataFrame, columns: Sequence[str], schema: T.StructType | N
 
 def build_fact(raw: DataFrame, case_col: str, order_by: Sequence[str], columns: Sequence[str],
                schema: T.StructType | None = None, defaults: Mapping[str, object] | None = None) -> DataFrame:
-    """First row per case (explicit order), projected to the fact columns."""
-    first = first_per_key(raw, [case_col], order_by, null_keys_distinct=True)
+    """First row per case (explicit order), projected to the fact columns.  Only
+    the columns that the fact or the order needs travel through the pick."""
+    used = [c for c in dict.fromkeys([case_col, *order_by, *columns]) if c in raw.columns]
+    first = first_per_key(raw.select(*used), [case_col], order_by, null_keys_distinct=True)
     return project_fact(first, columns, schema, defaults)
 
 
@@ -109,25 +109,16 @@ def build_bridge(raw: DataFrame, facts: DataFrame, case_col: str, sk_col: str, m
 
 
 def insert_or_ignore(target: DataFrame | None, batch: DataFrame, key_cols: Sequence[str],
-                     order_by: Sequence[str], unique_batch: bool = False,
-                     small_batch_keys: int | None = None) -> DataFrame:
+                     order_by: Sequence[str], unique_batch: bool = False) -> DataFrame:
     """Rows of ``batch`` to append under INSERT OR IGNORE with one unique key.
 
     First row per key wins inside the batch (explicit order, Q1); keys already in
     ``target`` are ignored; rows with a NULL key part never conflict (SQL UNIQUE, Q3).
     ``unique_batch=True`` skips the in-batch pick when the caller guarantees one row per
-    key (e.g. the output of :func:`build_fact`).
-
-    ``small_batch_keys=N`` (micro-batches against a large table): when the batch has at
-    most N distinct keys, they are broadcast to semi-filter the target map-side, so the
-    large target is scanned but never shuffled; above N the plain anti-join is used."""
+    key (e.g. the output of :func:`build_fact`)."""
     cand = batch if unique_batch else first_per_key(batch, key_cols, order_by, null_keys_distinct=True)
     if target is None:
         return cand
-    if small_batch_keys:
-        keys = cand.select(*key_cols).distinct()
-        if keys.limit(small_batch_keys + 1).count() <= small_batch_keys:
-            target = target.select(*key_cols).join(F.broadcast(keys), list(key_cols), "left_semi")
     return anti_join(cand, target, [(k, k) for k in key_cols])
 
 

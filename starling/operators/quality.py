@@ -11,7 +11,6 @@ hot key costs one row per map task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,12 +27,8 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def check_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, duplicate_rows) for every table.  The per-table hash passes are
-    submitted as concurrent Spark jobs (independent tables share the executors)."""
-    items = list(tables.items())
-    with ThreadPoolExecutor(max_workers=min(8, len(items))) as pool:
-        counts = list(pool.map(lambda kv: duplicate_count(kv[1]), items))
-    return _union([c.select(F.lit(n).alias("table_name"), "duplicate_rows") for (n, _), c in zip(items, counts)])
+    """(table_name, duplicate_rows) for every table: one lazy plan, one scan a table."""
+    return _union([duplicate_count(df).select(F.lit(n).alias("table_name"), "duplicate_rows") for n, df in tables.items()])
 
 
 def check_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -103,7 +98,7 @@ def repair_required_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def repair_duplicates(df: DataFrame) -> DataFrame:
-    """Drop exact duplicate rows (hash-prefiltered, exact)."""
+    """Drop exact duplicate rows (one shuffle)."""
     return drop_duplicate_rows(df)
 
 

@@ -9,6 +9,7 @@ row after the order columns makes ties deterministic.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,19 +24,20 @@ def _pick_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], u
     rest = [c for c in cols if c not in keys]
     payload = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
                        *[F.col(f"`{c}`") for c in rest])
-    agg = F.max(payload) if use_max else F.min(payload)
-    src = df
-    passthrough = None
-    if null_keys_distinct and keys:
-        any_null = None
-        for k in keys:
-            e = F.col(k).isNull()
-            any_null = e if any_null is None else any_null | e
-        passthrough = df.where(any_null)
-        src = df.where(~any_null)
-    picked = src.groupBy(*keys).agg(agg.alias("__s")).select(
-        *keys, *[F.col("__s").getField(c).alias(c) for c in rest]).select(*cols)
-    return picked if passthrough is None else picked.unionByName(passthrough)
+    pick = F.max if use_max else F.min
+    if not (null_keys_distinct and keys):
+        picked = df.groupBy(*keys).agg(pick(payload).alias("__s"))
+    else:
+        # rows with a NULL key never conflict: they are grouped by their whole content (and the
+        # partition they come from, which bounds the counts) and repeated as often as they occur,
+        # so the input is read once and goes through one shuffle
+        any_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        own = F.when(any_null, F.struct(payload.alias("row"), F.spark_partition_id().alias("part")))
+        picked = (df.select(*keys, payload.alias("__s"), own.alias("__own")).groupBy(*keys, "__own")
+                  .agg(pick("__s").alias("__s"), F.count(F.lit(1)).alias("__n"))
+                  .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.when(F.col("__own").isNull(), 1)
+                                                             .otherwise(F.col("__n")).cast("int")))))
+    return picked.select(*keys, *[F.col("__s").getField(c).alias(c) for c in rest]).select(*cols)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],

@@ -87,8 +87,7 @@ def q_lookup_left(spark, sf):
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_partkey") % 10 == 0, F.col("l_suppkey") + 100000).otherwise(F.col("l_suppkey")).alias("l_suppkey"))
-    return J.lookup_left(li, table(spark, sf, "supplier"), "l_suppkey", "s_suppkey", "s_name",
-                         max_broadcast_rows=1_000_000)
+    return J.lookup_left(li, table(spark, sf, "supplier"), "l_suppkey", "s_suppkey", "s_name")
 
 
 @bind("join_null_safe", f"""WITH d AS {DIRTY_CUSTOMER_SQL},

@@ -17,8 +17,8 @@ STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 
 
 def _nk_sql(*cols: str) -> str:
-    parts = [f"coalesce(nullif({STRIP.format(f'CAST({c} AS VARCHAR)')}, ''), '<null>')" for c in cols]
-    return "concat_ws('|', " + ", ".join(parts) + ")"
+    texts = [f"nullif({STRIP.format(f'CAST({c} AS VARCHAR)')}, '')" for c in cols]
+    return "concat_ws('|', " + ", ".join(f"coalesce(length({t}) || ':' || {t}, '')" for t in texts) + ")"
 
 
 def _slug_sql(c: str) -> str:
@@ -58,7 +58,7 @@ def q_positional_id(spark, sf):
 @bind("fill_missing_ids", f"""WITH d AS (SELECT c_custkey, c_nationkey,
   CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 4 = 1 THEN ' ' ELSE c_name END AS c_name FROM customer)
 SELECT c_custkey, c_nationkey, CASE WHEN nullif({STRIP.format('c_name')}, '') IS NULL
-  THEN concat('cust_', substr(sha256({_nk_sql('c_custkey', 'c_nationkey')}), 1, 16)) ELSE c_name END AS c_name FROM d""")
+  THEN concat('cust_', substr(sha256({_nk_sql('c_custkey', 'c_nationkey')}), 1, 32)) ELSE c_name END AS c_name FROM d""")
 def q_fill_missing_ids(spark, sf):
     c = table(spark, sf, "customer")
     k = F.col("c_custkey") % 4
@@ -73,16 +73,21 @@ def q_natural_key_text(spark, sf):
     return K.natural_key(p, "natural_key", ["p_brand", "p_type", "p_size"]).select("p_partkey", "natural_key")
 
 
+def _halves(df, first):
+    """Rows where ``first`` holds, and all others (those where it is NULL too)."""
+    return df.where(first), df.where(~F.coalesce(first, F.lit(False)))
+
+
 def _two_batches(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("o_year"))
-    return o.where(F.col("o_year") < 1998), o.where(F.col("o_year") >= 1998)
+    return _halves(o, F.col("o_year") < 1998)
 
 
 _INCR_SQL = """WITH o AS (SELECT o_orderkey, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders),
 k1 AS (SELECT DISTINCT o_orderpriority, o_year FROM o WHERE o_year < 1998),
 d1 AS (SELECT row_number() OVER (ORDER BY o_orderpriority NULLS FIRST, o_year NULLS FIRST) AS key_id,
   o_orderpriority, o_year FROM k1),
-k2 AS (SELECT DISTINCT o_orderpriority, o_year FROM o WHERE o_year >= 1998),
+k2 AS (SELECT DISTINCT o_orderpriority, o_year FROM o WHERE (o_year < 1998) IS NOT TRUE),
 n2 AS (SELECT * FROM k2 WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.o_orderpriority IS NOT DISTINCT FROM
   k2.o_orderpriority AND d1.o_year IS NOT DISTINCT FROM k2.o_year)),
 d2 AS (SELECT coalesce((SELECT max(key_id) FROM d1), 0) + row_number() OVER (ORDER BY o_orderpriority NULLS FIRST,
@@ -101,7 +106,7 @@ def q_assign_incremental_keys(spark, sf):
 
 @bind("resolve_dimension_ids", _INCR_SQL + """ SELECT o.o_orderkey, dim.key_id FROM o JOIN dim
   ON o.o_orderpriority IS NOT DISTINCT FROM dim.o_orderpriority AND o.o_year IS NOT DISTINCT FROM dim.o_year
-  WHERE o.o_year >= 1998""")
+  WHERE (o.o_year < 1998) IS NOT TRUE""")
 def q_resolve_dimension_ids(spark, sf):
     b1, b2 = _two_batches(spark, sf)
     nk = ["o_orderpriority", "o_year"]
@@ -120,7 +125,7 @@ def q_build_dimension(spark, sf):
 @bind("load_dimension_mode", """WITH o AS (SELECT *, year(o_orderdate) AS y FROM orders),
 c1 AS (SELECT o_orderpriority, o_orderstatus, min(o_orderkey) AS first_order FROM o WHERE y < 1997 GROUP BY 1, 2),
 t1 AS (SELECT * FROM c1 QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY first_order) = 1),
-c2 AS (SELECT o_orderpriority, o_orderstatus, min(o_orderkey) AS first_order FROM o WHERE y >= 1997 GROUP BY 1, 2),
+c2 AS (SELECT o_orderpriority, o_orderstatus, min(o_orderkey) AS first_order FROM o WHERE (y < 1997) IS NOT TRUE GROUP BY 1, 2),
 f2 AS (SELECT * FROM c2 QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY first_order) = 1)
 SELECT * FROM t1 UNION ALL SELECT * FROM f2 WHERE NOT EXISTS
   (SELECT 1 FROM t1 WHERE t1.o_orderpriority = f2.o_orderpriority)""")
@@ -131,10 +136,9 @@ def q_load_dimension_mode(spark, sf):
         return df.groupBy("o_orderpriority", "o_orderstatus").agg(F.min("o_orderkey").alias("first_order"))
     store = TableStore(spark)
     y = F.year("o_orderdate")
-    L.load_dimension_mode(store, "dim_priority", cand(o.where(y < 1997)), ["o_orderpriority"], ["first_order"],
-                          refresh=True)
-    return L.load_dimension_mode(store, "dim_priority", cand(o.where(y >= 1997)), ["o_orderpriority"],
-                                 ["first_order"], refresh=False)
+    early, late = _halves(o, y < 1997)
+    L.load_dimension_mode(store, "dim_priority", cand(early), ["o_orderpriority"], ["first_order"], refresh=True)
+    return L.load_dimension_mode(store, "dim_priority", cand(late), ["o_orderpriority"], ["first_order"], refresh=False)
 
 
 _DIM_TIME_SQL = """SELECT row_number() OVER (ORDER BY d) AS time_id, strftime(d, '%Y-%m-%d') AS full_date,
@@ -212,14 +216,15 @@ def q_build_bridge(spark, sf):
 
 
 @bind("insert_or_ignore", """WITH t AS (SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) < 1997),
-b AS (SELECT * FROM orders WHERE year(o_orderdate) >= 1997
+b AS (SELECT * FROM orders WHERE (year(o_orderdate) < 1997) IS NOT TRUE
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
 SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey = b.o_custkey)""")
 def q_insert_or_ignore(spark, sf):
     o = table(spark, sf, "orders")
     y = F.year("o_orderdate")
-    target = first_per_key(o.where(y < 1997), ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    return L.insert_or_ignore(target, o.where(y >= 1997), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    early, late = _halves(o, y < 1997)
+    target = first_per_key(early, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return L.insert_or_ignore(target, late, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 @bind("insert_or_ignore_multi")
@@ -233,14 +238,15 @@ def q_insert_or_ignore_multi(spark, sf):
 @bind("upsert_last_wins", """WITH o AS (SELECT * FROM orders),
 t AS (SELECT * FROM o WHERE year(o_orderdate) < 1998
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
-b AS (SELECT * FROM o WHERE year(o_orderdate) >= 1998
+b AS (SELECT * FROM o WHERE (year(o_orderdate) < 1998) IS NOT TRUE
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_custkey = t.o_custkey) UNION ALL SELECT * FROM b""")
 def q_upsert_last_wins(spark, sf):
     o = table(spark, sf, "orders")
     y = F.year("o_orderdate")
-    target = latest_per_key(o.where(y < 1998), ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    return L.upsert_last_wins(target, o.where(y >= 1998), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    early, late = _halves(o, y < 1998)
+    target = latest_per_key(early, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return L.upsert_last_wins(target, late, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 @bind("fact_by_natural_keys", """WITH a AS (SELECT row_number() OVER (ORDER BY o_orderpriority NULLS FIRST,

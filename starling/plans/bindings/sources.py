@@ -42,9 +42,22 @@ def _landing_schema():
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-@bind("read_files_glob", "SELECT * FROM nation UNION ALL BY NAME SELECT * FROM region")
+@bind("read_files_glob", """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR)
+  AS n_regionkey, NULL AS s_suppkey, NULL AS s_name, NULL AS r_regionkey, NULL AS r_name FROM nation
+UNION ALL SELECT CAST(s_nationkey AS VARCHAR), NULL, NULL, CAST(s_suppkey AS VARCHAR), s_name, NULL, NULL FROM supplier
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, r_regionkey, r_name FROM region""")
 def q_read_files_glob(spark, sf):
-    return read_files_glob(spark, [f"{sf}/nation.parquet", f"{sf}/region.parquet"])
+    """One folder of CSV files with three headers (columns in another order, padded names,
+    other columns) and Parquet files."""
+    folder = work_dir(spark, "glob")
+    n, key = table(spark, sf, "nation"), F.col("n_nationkey")
+    even = F.coalesce(key % 2 == 0, F.lit(False))
+    write_csv(n.where(even), folder, "append")
+    write_csv(n.where(~even).select("n_regionkey", key.alias(" n_nationkey "), "n_name"), folder, "append")
+    write_csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey")),
+              folder, "append")
+    table(spark, sf, "region").write.mode("append").parquet(folder)
+    return read_files_glob(spark, folder)
 
 
 @bind("csv_to_table", "SELECT * FROM customer")
@@ -121,7 +134,7 @@ def q_write_append(spark, sf):
     store = TableStore(spark)
     o = table(spark, sf, "orders")
     store.replace("orders", o.where(F.col("o_orderstatus") == "F"))
-    store.append("orders", o.where(F.col("o_orderstatus") != "F"))
+    store.append("orders", o.where(~F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))))
     return store.read("orders")
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from starling.operators.aggregates import bucket_histogram, count_by_dim_attribute
 from starling.operators.clean import filter_status_contains, search_rows_text
-from starling.operators.joins import bounded_broadcast
 from starling.operators.windows import latest_per_key, sort_limit
 
 # The dashboard's five age buckets (label, lower bound incl., upper bound excl.).
@@ -43,8 +42,8 @@ def dashboard_monthly(fact: DataFrame, dim_time: DataFrame, fk: str = "cycle_sta
                       limit: int | None = 6, latest: bool = False) -> DataFrame:
     """Distinct patients per 'YYYY-MM' of the cycle date; first ``limit`` months
     ascending (the reference's ``ORDER BY month LIMIT 6``), or the newest with ``latest``."""
-    t = bounded_broadcast(dim_time.select(F.col(pk).alias("__pk"),
-                                          F.substring(F.col(date_col).cast("string"), 1, 7).alias("month")))
+    t = dim_time.select(F.col(pk).alias("__pk"),
+                                          F.substring(F.col(date_col).cast("string"), 1, 7).alias("month"))
     j = fact.select(fk, patient_col).join(t, F.col(fk) == F.col("__pk"), "inner")
     g = j.groupBy("month").agg(F.count_distinct(patient_col).alias("cnt"))
     if limit is None:
@@ -86,11 +85,10 @@ def patient_profile(fact_cycle: DataFrame, fact_transfer: DataFrame, dim_female:
                            "cycle_start_time_id", "retrieved_oocytes", "blastocyst_d5")
     latest = latest_per_key(fc.where(F.col("female_id").isNotNull()), ["female_id"], ["cycle_sk"])
     f = dim_female.select(F.col("female_id").alias("__fid"), "female_age", "female_bmi")
-    # dimension lookups: broadcast after a bounded count, shuffle join beyond the bound
-    m = bounded_broadcast(dim_male.select(F.col("male_id").alias("dm_male_id"), "male_age", "male_factor"))
-    d = bounded_broadcast(dim_doctor.select(F.col("doctor_id").alias("__did"), "doctor_recommendation"))
-    o = bounded_broadcast(dim_outcome.select(F.col("outcome_id").alias("__oid"), "risk_level", "response_type"))
-    t = bounded_broadcast(dim_time.select(F.col("time_id").alias("__tid"), F.col("full_date").alias("cycle_date")))
+    m = dim_male.select(F.col("male_id").alias("dm_male_id"), "male_age", "male_factor")
+    d = dim_doctor.select(F.col("doctor_id").alias("__did"), "doctor_recommendation")
+    o = dim_outcome.select(F.col("outcome_id").alias("__oid"), "risk_level", "response_type")
+    t = dim_time.select(F.col("time_id").alias("__tid"), F.col("full_date").alias("cycle_date"))
     basic = (latest.join(f, F.col("female_id") == F.col("__fid"), "inner")
                    .join(m, F.col("male_id") == F.col("dm_male_id"), "left")
                    .join(d, F.col("doctor_id") == F.col("__did"), "left")

@@ -5,6 +5,8 @@ DataFrame; actions happen only at the sinks.  Each table is written as a new ver
 (dimensions: old rows + inserted rows) or appended (facts), so re-reading a table while
 loading it is safe, and loading the same input twice leaves every table unchanged
 (keys: deterministic hashes of natural keys / case ids; inserts: insert-or-ignore).
+Raw rows without a case id have no key to be ignored by: they go to the table
+``rejected_raw`` (each distinct row once) and nowhere else.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.functions.exprs import blank_to_null, try_integer, try_number
+from starling.functions.exprs import blank_to_null, natural_key_text, try_integer, try_number
 from starling.operators.clean import drop_exact_duplicates, normalize_columns, rename_aliases, require_columns
 from starling.operators.keys import assign_incremental_keys, fill_missing_ids, row_index
 from starling.operators.load import (
@@ -39,6 +41,12 @@ HASHED_DIMENSIONS = {"dim_protocol": "prot", "dim_outcome": "out", "dim_embryo":
 # Person dimensions whose id is derived from the case id when absent.
 PERSON_IDS = {"female_id": "f", "male_id": "m"}
 REQUIRED_RAW = ["case_id"]
+# Cycle measures that are 0 where the raw data has no such column.
+ZERO_MEASURES = ("e2_on_trigger", "endometrium_thickness", "follicles_18mm", "gv_count", "injected_m2",
+                 "fertilized_oocytes", "cleavage_d3", "blastocyst_d5", "good_embryos")
+# Without these raw columns there is no transfer to load.
+TRANSFER_INPUTS = ("et_date", "embryos_transferred")
+REJECTED = "rejected_raw"
 ORDER_COL = "__row_ord"
 # columns the load computes itself (never taken from the raw input)
 DERIVED_COLUMNS = ("doctor_id", "time_id", "cycle_start_time_id", "transfer_time_fk")
@@ -141,6 +149,30 @@ def _append_fact(store: TableStore, spec, cand: DataFrame, sk_col: str | None) -
     return cand.count(), inserted
 
 
+def _quarantine(store: TableStore, rows: DataFrame, refresh: bool) -> int:
+    """Adds the distinct rows to ``rejected_raw`` (refresh: replaces it); how many it took."""
+    rows = rows.drop(ORDER_COL).dropDuplicates()
+    old = None if refresh else store.read_or_none(REJECTED)
+    both = rows if old is None else old.unionByName(rows).dropDuplicates()
+    both = both.checkpoint(eager=True)
+    n = both.count()
+    if n or (refresh and store.exists(REJECTED)):
+        store.replace(REJECTED, both)
+    return n
+
+
+def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry) -> DataFrame:
+    """The same natural key gets the same id in every row and every batch (Q24): a row's given
+    or derived id gives way to the id under which the published dimension holds its key."""
+    for dim in HASHED_DIMENSIONS:
+        spec = reg[dim]
+        key, nk = spec.key[0], list(spec.natural_key)
+        held = store.read(dim).select(natural_key_text(*nk).alias("__nk"), F.col(key).alias("__held"))
+        df = (df.withColumn("__nk", natural_key_text(*nk)).join(held, "__nk", "left")
+                .withColumn(key, F.coalesce("__held", key)).drop("__nk", "__held"))
+    return df
+
+
 def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
                  order_by: Sequence[str] | None = None, registry: Registry | None = None) -> DataFrame:
     """Load ``raw`` into the star.  Returns the F14 summary (table, processed, inserted).
@@ -151,11 +183,10 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     reg = registry or clinic_registry()
     store.create_all(reg, refresh)
     raw_columns = set(rename_aliases(normalize_columns(raw), RAW_ALIASES).columns)
-    df = prepare_raw(raw, reg, order_by).checkpoint(eager=True)
-    # B05 on the materialised rows: a clean batch costs one hash pass and is used as is
-    deduped = drop_exact_duplicates(df)
-    df = df if deduped is df else deduped.checkpoint(eager=True)
+    df = drop_exact_duplicates(prepare_raw(raw, reg, order_by)).checkpoint(eager=True)
     summary = []
+    _quarantine(store, df.where(F.col("case_id").isNull()), refresh)
+    df = df.where(F.col("case_id").isNotNull())
 
     # doctors: incremental integer ids on the null-safe natural key
     doc = reg["dim_doctor"]
@@ -186,6 +217,8 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
         summary.extend(f.result() for f in futures)
     dim_time = store.read("dim_time")
 
+    # facts and bridge take their ids from the published dimensions
+    with_doctor = resolve_hashed_ids(with_doctor, store, reg)
     keyed = date_to_time_key(with_doctor, "et_date", dim_time, "cycle_start_time_id")
     keyed = keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id"))
     fc, ft = reg["fact_ivf_cycle"], reg["fact_transfer"]
@@ -193,17 +226,19 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     needed = [c for c in dict.fromkeys(fc.columns + ft.columns) if c in keyed.columns]
     firsts = first_per_key(keyed.select(*needed, ORDER_COL), ["case_id"], [ORDER_COL], null_keys_distinct=True)
     firsts = firsts.checkpoint(eager=True)
-    cyc = project_fact(firsts, fc.columns + [ORDER_COL], fc.schema,
-                       defaults={c: 0 for c in ("e2_on_trigger", "endometrium_thickness", "follicles_18mm",
-                                                "gv_count", "injected_m2", "fertilized_oocytes", "cleavage_d3",
-                                                "blastocyst_d5", "good_embryos")})
+    absent = [c for c in ZERO_MEASURES if c not in raw_columns]
+    cyc = project_fact(firsts.drop(*absent), fc.columns + [ORDER_COL], fc.schema, defaults={c: 0 for c in absent})
     summary.append(("fact_ivf_cycle", *_append_fact(store, fc, cyc, "cycle_sk")))
 
-    tr = project_fact(firsts, ft.columns + [ORDER_COL], ft.schema)
-    summary.append(("fact_transfer", *_append_fact(store, ft, tr, "transfer_sk")))
+    if all(c in raw_columns for c in TRANSFER_INPUTS):
+        tr = project_fact(firsts, ft.columns + [ORDER_COL], ft.schema)
+        summary.append(("fact_transfer", *_append_fact(store, ft, tr, "transfer_sk")))
+    else:
+        summary.append(("fact_transfer", 0, 0))
 
     be = reg["fact_transfer_embryo"]
-    bridge = build_bridge(df.where(F.col("embryo_id").isNotNull()), store.read("fact_transfer"),
+    members = resolve_hashed_ids(df, store, reg)
+    bridge = build_bridge(members.where(F.col("embryo_id").isNotNull()), store.read("fact_transfer"),
                           "case_id", "transfer_sk", "embryo_id")
     summary.append(("fact_transfer_embryo", *_append_fact(store, be, bridge, None)))
 
@@ -211,10 +246,6 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     return spark.createDataFrame([(t, int(p), int(i)) for t, p, i in summary], schema)
 
 
-def clinic_required() -> dict[str, list[str]]:
-    return {s.name: list(s.required) for s in clinic_registry() if s.required}
-
-
 def run_validation(store: TableStore, registry: Registry | None = None,
                    fk_checks=CLINIC_FK_CHECKS) -> dict[str, DataFrame]:
     """H01-H05 over every registered table of the store."""

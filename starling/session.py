@@ -44,9 +44,12 @@ def _session_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a local one only if unset."""
+    """Return the session's checkpoint folder.  A local session without one gets a temporary
+    folder; on a cluster executors would not see such a folder, so there it must be set."""
     d = _session_checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         d = tempfile.mkdtemp(prefix="starling-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from starling.operators.windows import union_by_name
 from starling.sources.store import TableStore
@@ -27,36 +29,64 @@ def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
     return r
 
 
+def _files(spark: SparkSession, paths: Sequence[str], fmt: str) -> list[str]:
+    """The files of one extension under the paths; a path that does not exist raises."""
+    try:
+        found = spark.read.option("pathGlobFilter", _EXT[fmt]).text(list(paths)).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise NoInputFilesError(str(e)) from e
+    return sorted(unquote(f) for f in found)
+
+
+def _headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """CSV files by their header line (the first line with text); files without one are left out.
+    One pass over the files' first blocks."""
+    lines = (spark.read.text(list(files)).where(F.length(F.btrim("value")) > 0)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("line")))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect()
+    out: dict[str, list[str]] = {}
+    for r in sorted(first, key=lambda r: r["file"]):
+        out.setdefault(r["header"], []).append(unquote(r["file"]))
+    return out
+
+
 def read_files_glob(spark: SparkSession, paths: str | Sequence[str], formats: Sequence[str] = ("csv", "parquet"),
                     csv_schema: T.StructType | None = None) -> DataFrame:
     """Every CSV/Parquet file under the path(s)/glob(s), other extensions skipped,
-    header names trimmed, frames unioned by column name.  Raises if nothing is found.
+    header names trimmed, frames unioned by column name.
 
-    One reader per format (``pathGlobFilter`` on the extension) keeps the vectorised
-    Parquet scan and its pushdown; CSV is read as text columns unless a schema is given.
+    A path that matches nothing raises, and so does a file that cannot be read; nothing found
+    under the paths raises :class:`NoInputFilesError`.  Parquet files are one scan (schemas
+    merged by name, pushdown kept).  CSV files are one scan per distinct header, so columns
+    go by each file's own names whatever their order; they are text columns, or those of
+    ``csv_schema`` cast by name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     frames = []
     for fmt in formats:
-        # Parquet files carry their schema: one scan, schemas merged by name.  CSV headers
-        # can differ per path, so each path is its own scan.
-        groups = [paths] if fmt == "parquet" else [[p] for p in paths]
-        for group in groups:
-            r = _reader(spark, fmt, csv_schema if fmt == "csv" else None).option("pathGlobFilter", _EXT[fmt])
-            if fmt == "parquet":
-                r = r.option("mergeSchema", True)
-            try:
-                df = r.load(group)
-            except AnalysisException:
-                continue
-            if not df.columns:
-                continue
+        files = _files(spark, paths, fmt)
+        if not files:
+            continue
+        if fmt == "csv":
+            frames += [_csv_frame(spark, group, csv_schema) for group in _headers(spark, files).values()]
+        else:
+            df = _reader(spark, fmt, None).option("mergeSchema", True).option("pathGlobFilter", _EXT[fmt]).load(paths)
             frames.append(df.toDF(*[c.strip() for c in df.columns]))
     if not frames:
         raise NoInputFilesError(f"no {'/'.join(formats)} files under {paths}")
     return union_by_name(frames)
 
 
+def _csv_frame(spark: SparkSession, files: Sequence[str], schema: T.StructType | None) -> DataFrame:
+    df = _reader(spark, "csv", None).load(list(files))
+    df = df.toDF(*[c.strip() for c in df.columns])
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    return df.select(*[F.col(f"`{c}`").cast(types[c]) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return _reader(spark, "csv", schema).load(path)
 
@@ -110,7 +140,7 @@ def quality_report_sink(sheets: Mapping[str, DataFrame], out_root: str, fmt: str
     out = {}
     for name, df in sheets.items():
         path = f"{out_root.rstrip('/')}/{name}"
-        w = df.coalesce(1).write.mode("overwrite")
+        w = df.write.mode("overwrite")
         (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
         out[name] = path
     return out

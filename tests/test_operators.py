@@ -122,7 +122,7 @@ def test_fill_missing_ids_deterministic(spark):
     df = spark.createDataFrame([("1", None), ("2", " "), ("3", "keep")], "case_id string, fid string")
     a = {r["case_id"]: r["fid"] for r in K.fill_missing_ids(df, "fid", "f", ["case_id"]).collect()}
     b = {r["case_id"]: r["fid"] for r in K.fill_missing_ids(df, "fid", "f", ["case_id"]).collect()}
-    assert a == b and a["3"] == "keep" and a["1"].startswith("f_") and len(a["1"]) == 18
+    assert a == b and a["3"] == "keep" and a["1"].startswith("f_") and len(a["1"]) == 34
 
 
 def test_cleaning_helpers(spark):
@@ -171,3 +171,32 @@ def test_row_index_with_hot_order_key(spark):
     out = sorted((r["rn"], r["k"]) for r in K.row_index(df, ["k"], "rn", num_partitions=6).collect())
     assert [r for r, _ in out] == list(range(1, 3001))
     assert [k for _, k in out] == sorted(k for k, _ in rows)
+
+
+def test_values_that_used_to_be_lost(spark):
+    from starling.functions.exprs import natural_key_text, try_date, try_integer
+    from starling.operators.aggregates import mean_impute
+    from starling.operators.clean import fill_numeric_median
+    row = spark.createDataFrame([("9007199254740993", "12.7", "x")], "a string, b string, c string").select(
+        try_integer("a", "bigint").alias("a"), try_integer("b").alias("b"), try_integer("c").alias("c")).first()
+    assert tuple(row) == (9007199254740993, 12, None)
+    texts = ["2025-11-27T09:35:26.909941", "2025-11-27 09:35:26.5", "2025-11-27T23:59:59Z", "20251127", "2025/11/27",
+             "11/27/2025", " 2025-11-27 ", "27.11.2025", "20251399", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+           .orderBy("i").select(try_date("t").cast("string")).collect()]
+    assert got == ["2025-11-27"] * 7 + [None] * 4
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("<null>", "c"), ("", "c"), ("0:", "c")]
+    made = [r[0] for r in spark.createDataFrame(keys, "a string, b string").select(natural_key_text("a", "b")).collect()]
+    assert len(set(made)) == 5 and made[2] == made[4]  # NULL and blank are one value
+    whole = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    assert [r[0] for r in mean_impute(whole, ["v"]).collect()] == [1.0, 2.0, 1.5]
+    assert [r[0] for r in fill_numeric_median(whole, ["v"]).collect()] == [1.0, 2.0, 1.5]
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
+    assert [r[0] for r in fill_numeric_median(nan, ["v"]).collect()] == [1.0, 2.0, 3.0]
+
+
+def test_null_keys_keep_every_copy(spark):
+    from starling.operators.windows import first_per_key
+    rows = [(1, "b"), (1, "a"), (None, "x"), (None, "x"), (None, "y")]
+    got = first_per_key(spark.createDataFrame(rows, "k int, v string").repartition(3), ["k"], ["v"], null_keys_distinct=True)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "a"), (None, "x"), (None, "x"), (None, "y")]))

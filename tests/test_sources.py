@@ -121,3 +121,19 @@ def test_read_files_glob_mixes_csv_and_parquet(spark, tmp_root):
                                                                         ("3", None, "z")]
     with pytest.raises(NoInputFilesError):
         read_files_glob(spark, tmp_root + "/nothing-here/*")
+
+
+def test_read_files_glob_goes_by_each_files_header(spark, tmp_root):
+    import os
+    import pytest
+    from starling.sources.files import NoInputFilesError, read_files_glob
+    with open(os.path.join(tmp_root, "a.csv"), "w") as f:
+        f.write("case_id,female_age\n1,30\n")
+    with open(os.path.join(tmp_root, "b c.csv"), "w") as f:
+        f.write("\nfemale_age, case_id ,extra\n41,2,x\n")
+    got = {r["case_id"]: (r["female_age"], r["extra"]) for r in read_files_glob(spark, tmp_root).collect()}
+    assert got == {"1": ("30", None), "2": ("41", "x")}
+    typed = read_files_glob(spark, tmp_root, csv_schema=T.StructType.fromDDL("female_age int, case_id long"))
+    assert dict(typed.dtypes) == {"case_id": "bigint", "female_age": "int", "extra": "string"}
+    with pytest.raises(NoInputFilesError):
+        read_files_glob(spark, [tmp_root, os.path.join(tmp_root, "missing.parquet")])

@@ -88,3 +88,46 @@ def test_repair_pass_on_dirty_star(spark, tmp_root):
     bridge = {(r["transfer_sk"], r["embryo_id"]) for r in store.read("fact_transfer_embryo").collect()}
     assert (999, "emb_x") not in bridge and (sk, "emb_missing") not in bridge and (sk, None) in bridge
     assert len(bridge) == 4
+
+
+def _store(spark, root, rows, schema, **kw):
+    store = TableStore(spark, root)
+    run_full_etl(spark.createDataFrame(rows, schema), store, refresh=True, **kw)
+    return store
+
+
+def test_absent_measures_are_zero_and_transfers_are_not_invented(spark, tmp_root):
+    store = _store(spark, tmp_root, [("c1", "2024-01-02", 3), ("c2", "2024-01-03", None)],
+                   "case_id string, et_date string, gv_count int")
+    got = {r["case_id"]: r for r in store.read("fact_ivf_cycle").collect()}
+    assert (got["c1"]["gv_count"], got["c1"]["good_embryos"], got["c1"]["e2_on_trigger"]) == (3, 0, 0)
+    assert got["c2"]["gv_count"] is None  # present but missing in the row
+    assert store.read("fact_transfer").count() == 0 and store.read("fact_transfer_embryo").count() == 0
+
+
+def test_one_natural_key_has_one_id_in_facts_of_all_batches(spark, tmp_root):
+    schema = ("case_id string, et_date string, embryos_transferred int, embryo_id string, grading string, "
+              "fresh_et_stage string, class_a_rate double")
+    store = _store(spark, tmp_root, [("c1", "2024-01-02", 1, "E1", "AA", "B", 0.5), ("c2", "2024-01-02", 1, None, "AA", "B", 0.5)], schema)
+    run_full_etl(spark.createDataFrame([("c3", "2024-01-02", 1, None, "AA", "B", 0.5), ("c4", "2024-01-02", 2, "E9", "AA", "B", 0.5)], schema),
+                 store, refresh=False)
+    assert [r["embryo_id"] for r in store.read("dim_embryo").collect()] == ["E1"]
+    bridge = store.read("fact_transfer_embryo").collect()
+    assert len(bridge) == 4 and {r["embryo_id"] for r in bridge} == {"E1"}
+    assert run_validation(store)["status"].first()["status"] == 1
+
+
+def test_natural_keys_do_not_run_together(spark, tmp_root):
+    schema = "case_id string, et_date string, embryos_transferred int, grading string, fresh_et_stage string"
+    store = _store(spark, tmp_root, [("c1", None, 1, "c", "a|b"), ("c2", None, 1, "b|c", "a"), ("c3", None, 1, None, "<null>"),
+                                     ("c4", None, 1, None, None)], schema)
+    assert store.read("dim_embryo").count() == 4
+
+
+def test_rows_without_a_case_are_set_aside_once(spark, tmp_root):
+    rows, schema = [("c1", "2024-01-02", 1), (None, "2024-01-03", 2), (" ", "2024-01-03", 2)], "case_id string, et_date string, embryos_transferred int"
+    store = _store(spark, tmp_root, rows, schema)
+    before = {n: store.read(n).count() for n in [*store.registry.names(), "rejected_raw"]}
+    assert before["fact_ivf_cycle"] == before["fact_transfer"] == 1 and before["rejected_raw"] == 1
+    run_full_etl(spark.createDataFrame(rows, schema), store, refresh=False)
+    assert {n: store.read(n).count() for n in before} == before
