@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"run_pipeline", "run_repairs"}
+SLOW = {"run_repairs"}
 KEYS = sorted(k for k in E.oracle_sql() if k not in SLOW)
 
 
