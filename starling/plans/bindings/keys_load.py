@@ -10,7 +10,10 @@ from starling.operators import keys as K
 from starling.operators import load as L
 from starling.operators.windows import first_per_key, latest_per_key, row_number_all
 from starling.plans.bindings.common import LINE_TIEBREAK, bind, table
+from starling.plans.daily import run_daily_load
 from starling.plans.warehouse import run_full_etl
+from starling.session import work_dir
+from starling.sources.files import write_csv
 from starling.sources.store import TableStore
 
 STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
@@ -383,3 +386,40 @@ def q_run_pipeline_incremental(spark, sf):
     run_full_etl(early, store, refresh=True, order_by=LOAD_ORDER)
     run_full_etl(late, store, refresh=False, order_by=LOAD_ORDER)
     return _case_rows(store)
+
+
+# ------------------------------------------------------------------ the daily file load
+
+@bind("run_daily_etl", """SELECT CAST(o_orderkey AS VARCHAR) AS case_id, o_orderpriority AS risk_level,
+  o_orderstatus AS response_type, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS doctor_recommendation,
+  CAST(c_nationkey + 20 AS DOUBLE) AS female_age, CASE WHEN o_orderkey % 7 <> 0 THEN
+  o_totalprice * CASE WHEN year(o_orderdate) >= 1996 THEN 2 ELSE 1 END END AS e2_on_trigger
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def q_run_daily_etl(spark, sf):
+    """Two days of files that overlap (their headers differ, numbers may be unreadable): the
+    second day's rows win; every case comes back through its dimension ids."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    blank = F.lit(None).cast("string")
+
+    def rows(df, factor):
+        measure = F.when(k % 7 == 0, F.lit(" n/a ")).otherwise((price * factor).cast("string"))
+        return df.select(
+            k.alias("case_id"), F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")).alias("risk_level"),
+            F.col("o_orderstatus").alias("response_type"), blank.alias("suggested_waiting_period_days"),
+            blank.alias("failure_reason"), F.when(k % 5 != 0, F.col("o_orderpriority")).alias("doctor_recommendation"),
+            (F.col("c_nationkey") + 20).alias("female_age"), F.col("c_acctbal").alias("female_bmi"),
+            blank.alias("amh_level"), blank.alias("fsh_level"), blank.alias("afc"), measure.alias("e2_on_trigger"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("saved_at"))
+
+    early = F.coalesce(F.year("o_orderdate") < 1997, F.lit(False))
+    late = ~F.coalesce(F.year("o_orderdate") < 1996, F.lit(False))
+    store, days = TableStore(spark), [work_dir(spark, "day-1"), work_dir(spark, "day-2")]
+    write_csv(rows(o.where(early), 1), days[0])
+    second = rows(o.where(late), 2)
+    write_csv(second.select(*reversed(second.columns)), days[1])
+    for folder in days:
+        run_daily_load(spark, folder, store, ["saved_at"])
+    return (store.read("fact_ivf_cycle")
+            .join(store.read("dim_outcome"), "outcome_id").join(store.read("dim_female"), "female_id")
+            .select("case_id", "risk_level", "response_type", "doctor_recommendation", "female_age", "e2_on_trigger"))
