@@ -328,7 +328,7 @@ LOAD_ORDER = ["row_ord", "e2_on_trigger", "retrieved_oocytes", "fertilization_ra
               "fresh_et_stage", "grading", "class_a_rate"]
 
 
-def _case_rows(store: TableStore) -> DataFrame:
+def case_rows(store: TableStore) -> DataFrame:
     """Every loaded cycle with its dimensions' attributes, transfer and number of embryos: a key
     that leads nowhere shows as NULLs."""
     cyc, tr = store.read("fact_ivf_cycle"), store.read("fact_transfer")
@@ -349,12 +349,12 @@ def _case_rows(store: TableStore) -> DataFrame:
                     "embryos_transferred", "live_birth", "embryos"))
 
 
-def _partly_named(raw):
+def partly_named(raw):
     """A third of the cases bring a protocol id of their own, for the same protocols."""
     return raw.withColumn("protocol_id", F.when(F.col("case_id").cast("long") % 3 == 0, F.concat(F.lit("P-"), "protocol_type")))
 
 
-def _case_rows_sql(first_batch: str) -> str:
+def case_rows_sql(first_batch: str) -> str:
     return _RAW_SQL + f""",
 f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_extendedprice,
   CAST(l_quantity AS INTEGER), l_tax, l_discount, p_type, p_brand, p_size) = 1),
@@ -371,21 +371,21 @@ SELECT CAST(o_orderkey AS VARCHAR) AS case_id, sk AS cycle_sk, sk AS transfer_sk
 FROM k JOIN e USING (o_orderkey)"""
 
 
-@bind("run_pipeline", _case_rows_sql("TRUE"))
+@bind("run_pipeline", case_rows_sql("TRUE"))
 def q_run_pipeline(spark, sf):
     store = TableStore(spark)
-    run_full_etl(_partly_named(clinic_raw(spark, sf)), store, refresh=True, order_by=LOAD_ORDER)
-    return _case_rows(store)
+    run_full_etl(partly_named(clinic_raw(spark, sf)), store, refresh=True, order_by=LOAD_ORDER)
+    return case_rows(store)
 
 
-@bind("run_pipeline_incremental", _case_rows_sql("year(o_orderdate) < 1997"))
+@bind("run_pipeline_incremental", case_rows_sql("year(o_orderdate) < 1997"))
 def q_run_pipeline_incremental(spark, sf):
     """Two batches, the second of which brings known and new protocols under other ids."""
     store = TableStore(spark)
-    early, late = _halves(_partly_named(clinic_raw(spark, sf)), F.year("et_date") < 1997)
+    early, late = _halves(partly_named(clinic_raw(spark, sf)), F.year("et_date") < 1997)
     run_full_etl(early, store, refresh=True, order_by=LOAD_ORDER)
     run_full_etl(late, store, refresh=False, order_by=LOAD_ORDER)
-    return _case_rows(store)
+    return case_rows(store)
 
 
 # ------------------------------------------------------------------ the daily file load

@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest test tables (the
-driver's correctness gate, run locally).  The two whole-load keys are covered by
+driver's correctness gate, run locally).  The repair pass is covered by
 test_warehouse.py and skipped here to keep the suite short."""
 
 import math
