@@ -238,6 +238,17 @@ def q_insert_or_ignore_multi(spark, sf):
                                     "o_orderkey")
 
 
+@bind("insert_or_ignore_chain", """WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders)
+SELECT o_orderkey, CAST(rn AS BIGINT) AS rn FROM r WHERE rn % 6 IN (0, 2, 4)""")
+def q_insert_or_ignore_chain(spark, sf):
+    """Two unique keys in chains of six rows: each row shares its first key with one neighbour and its
+    second with the other.  A row that was refused takes no key, so every other row stays."""
+    r = row_number_all(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], "rn").withColumn("rn", F.col("rn") - 1)
+    chain, place = F.floor(F.col("rn") / 6), F.col("rn") % 6
+    keyed = r.withColumn("chain", chain).withColumn("ka", F.floor(place / 2)).withColumn("kb", F.floor((place + 1) / 2))
+    return L.insert_or_ignore_multi(None, keyed, [["chain", "ka"], ["chain", "kb"]], "rn").select("o_orderkey", "rn")
+
+
 @bind("upsert_last_wins", """WITH o AS (SELECT * FROM orders),
 t AS (SELECT * FROM o WHERE year(o_orderdate) < 1998
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),

@@ -25,7 +25,7 @@ from starling.operators.load import (
     build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
 )
 from starling.operators.aggregates import duplicate_count, null_profile
-from starling.operators.joins import anti_join
+from starling.operators.joins import anti_join, join_null_safe
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
     fk_orphan_count, repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls,
@@ -108,9 +108,14 @@ def _dimension_candidates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def _insert_dimension(store: TableStore, spec, df: DataFrame, id_from_natural_key: bool = False
                       ) -> tuple[int, int]:
-    cand = _dimension_candidates(df, spec.columns).checkpoint(eager=True)
+    cand = _dimension_candidates(df, spec.columns)
     target = store.read(spec.name)
     keys = spec.unique_keys()
+    if spec.name in HASHED_DIMENSIONS:
+        # a missing part is a value of the natural key here (Q7, Q24), so it is compared as text
+        keys = [spec.key, ("__nk",)]
+        cand, target = [d.withColumn("__nk", natural_key_text(*spec.natural_key)) for d in (cand, target)]
+    cand = cand.checkpoint(eager=True)
     if len(keys) <= 1 or id_from_natural_key:
         # one key, or ids hashed from the natural key: inside the batch equal natural keys
         # have equal ids, so picking the first row per id is the greedy result; against
@@ -121,10 +126,10 @@ def _insert_dimension(store: TableStore, spec, df: DataFrame, id_from_natural_ke
     else:
         ranked = row_index(cand, [ORDER_COL], "__seq")
         new = insert_or_ignore_multi(target, ranked, keys, "__seq").drop("__seq")
-    new = new.drop(ORDER_COL).checkpoint(eager=True)
+    new = new.select(*spec.columns).checkpoint(eager=True)
     inserted = new.count()
     if inserted:
-        store.replace(spec.name, target.unionByName(new))
+        store.replace(spec.name, target.select(*spec.columns).unionByName(new))
     return cand.count(), inserted
 
 
@@ -161,10 +166,10 @@ def _quarantine(store: TableStore, rows: DataFrame, refresh: bool) -> int:
     return n
 
 
-def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry) -> DataFrame:
+def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry, dims: Sequence[str]) -> DataFrame:
     """The same natural key gets the same id in every row and every batch (Q24): a row's given
     or derived id gives way to the id under which the published dimension holds its key."""
-    for dim in HASHED_DIMENSIONS:
+    for dim in dims:
         spec = reg[dim]
         key, nk = spec.key[0], list(spec.natural_key)
         held = store.read(dim).select(natural_key_text(*nk).alias("__nk"), F.col(key).alias("__held"))
@@ -190,9 +195,7 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
 
     # doctors: incremental integer ids on the null-safe natural key
     doc = reg["dim_doctor"]
-    # only the facts carry doctor_id: the mapped frame stays lazy and is used there
-    with_doctor, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key),
-                                                       "doctor_id")
+    _, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key), "doctor_id")
     new_doctors = new_doctors.checkpoint(eager=True)
     n_doc = new_doctors.count()
     if n_doc:
@@ -217,15 +220,17 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
         summary.extend(f.result() for f in futures)
     dim_time = store.read("dim_time")
 
-    # facts and bridge take their ids from the published dimensions
-    with_doctor = resolve_hashed_ids(with_doctor, store, reg)
-    keyed = date_to_time_key(with_doctor, "et_date", dim_time, "cycle_start_time_id")
-    keyed = keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id"))
     fc, ft = reg["fact_ivf_cycle"], reg["fact_transfer"]
-    # both facts take the first row per case: pick it once, over the columns they use
-    needed = [c for c in dict.fromkeys(fc.columns + ft.columns) if c in keyed.columns]
-    firsts = first_per_key(keyed.select(*needed, ORDER_COL), ["case_id"], [ORDER_COL], null_keys_distinct=True)
-    firsts = firsts.checkpoint(eager=True)
+    # both facts take the first row per case: pick it once, over the columns they use, and look
+    # the dimension ids up afterwards.  In a fresh load ids that are all derived need no lookup.
+    resolved = [d for d in HASHED_DIMENSIONS if not (refresh and reg[d].key[0] not in raw_columns)]
+    needed = [*fc.columns, *ft.columns, *doc.natural_key, "et_date", *(c for d in resolved for c in reg[d].natural_key)]
+    needed = [c for c in dict.fromkeys(needed) if c in df.columns]
+    firsts = first_per_key(df.select(*needed, ORDER_COL), ["case_id"], [ORDER_COL])
+    keyed = join_null_safe(firsts, store.read("dim_doctor"), list(doc.natural_key), "left")
+    keyed = resolve_hashed_ids(keyed, store, reg, [d for d in resolved if d != "dim_embryo"])
+    keyed = date_to_time_key(keyed, "et_date", dim_time, "cycle_start_time_id")
+    firsts = keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id")).checkpoint(eager=True)
     absent = [c for c in ZERO_MEASURES if c not in raw_columns]
     cyc = project_fact(firsts.drop(*absent), fc.columns + [ORDER_COL], fc.schema, defaults={c: 0 for c in absent})
     summary.append(("fact_ivf_cycle", *_append_fact(store, fc, cyc, "cycle_sk")))
@@ -237,7 +242,9 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
         summary.append(("fact_transfer", 0, 0))
 
     be = reg["fact_transfer_embryo"]
-    members = resolve_hashed_ids(df, store, reg)
+    embryo = reg["dim_embryo"]
+    members = df.select("case_id", *embryo.key, *embryo.natural_key).distinct()
+    members = resolve_hashed_ids(members, store, reg, [d for d in resolved if d == "dim_embryo"])
     bridge = build_bridge(members.where(F.col("embryo_id").isNotNull()), store.read("fact_transfer"),
                           "case_id", "transfer_sk", "embryo_id")
     summary.append(("fact_transfer_embryo", *_append_fact(store, be, bridge, None)))
