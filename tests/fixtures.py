@@ -1,4 +1,4 @@
-"""The reference's hand-made 4-row raw table (exact duplicate, new case, mostly-NULL case)."""
+"""An own 4-row raw table (exact duplicate, new case, mostly-NULL case) for the whole load."""
 
 from pyspark.sql import types as T
 

@@ -1,4 +1,4 @@
-"""The reference's 4-row fixture through the whole load, with the hand-derived
+"""A 4-row raw table through the whole load, with the hand-derived
 expectations (load, idempotence, validation, dashboard)."""
 
 from pyspark.sql import functions as F
