@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import (
-    blank_to_null, contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
+    contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
     safe_ratio as _safe_ratio, try_date, try_integer, try_number,
 )
 from starling.operators.aggregates import drop_duplicate_rows, exact_percentiles, filled, value_or_null
