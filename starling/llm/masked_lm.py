@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.llm.common import extended, stored, text_slices
-from starling.llm.words import Words, mix64
+from starling.llm.words import Words
 
 WIDTH, CLASSES, DIM, REACH = 64, 32, 24, 2
 IDS = WIDTH * CLASSES
