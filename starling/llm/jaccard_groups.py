@@ -5,20 +5,21 @@ The result names each document's connected component; every link between differe
 counts, though none between documents already known to be connected is worked out twice.
 
 1. ``signatures``: one pass computes per document its set size, a 128-bit fingerprint of the
-   set and a few min-hashes; documents of one fingerprint are one *class*.
-2. Similar classes are put into groups: classes that share a min-hash are compared with the
-   first of them (exact sets), and what links forms the groups.
+   set, a few min-hashes and a parity sketch; documents of one fingerprint are one *class*.
+2. Similar classes are put into groups: classes that share a min-hash meet in blocks, and what
+   links there forms the groups.
 3. The token-group matrix holds, for each group, the union of its members' prefix tokens.  If
    A and B link, the first |A| - ceil(p|A|) + 1 tokens of A in any fixed order hit the same
    prefix of B, so only classes whose prefix meets another group's union become its queries.
    Tokens that many documents hold come last in the order, so common passages rarely are
    in a prefix.
-4. Groups are opened in blocks of at most ``BLOCK`` members.  A query is first held against the
-   union of a block's sets: it needs ceil(p|query|) tokens there, else the block stays shut.
-   Members of blocks that open are compared exactly.
+4. Groups are opened in blocks of at most ``BLOCK`` members.  The overlap of a query and a member is
+   bounded from their sketches: each bit is the parity of the tokens that hash to it, so differing
+   bits never outnumber the differing tokens.  Only classes whose bound allows a link
+   bring their sets; pairs are compared exactly, nearest first, until a query is linked to the block.
 
 Hot cases: copies collapse into classes by partial aggregation; a min-hash or group shared by a
-third of all rows is cut into salted blocks, each with its own copy of the pivot or query.
+third of all rows is cut into salted blocks, which later blocks of other hashes and groups connect.
 Only flags of a fixed-size bitmap, and tokens counted as common, reach the driver.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm.common import stored, text_slices
@@ -37,11 +38,13 @@ from starling.llm.components import components
 from starling.llm.words import Words, distinct_sorted, mix64, windows
 
 MIN_HASHES = 3
-BLOCK, BLOCK_TOKENS = 256, 1 << 20
+BLOCK, BLOCK_TOKENS = 256, 1 << 21
+SKETCH_BITS = 1024
 BITMAP_BITS = 1 << 25  # 4 MB of flags, whatever the corpus
 COMMON_IN_TASK = 16  # a token of so many documents of one task is a candidate common token
 COMMON_TOKENS = 1 << 18  # at most so many (the commonest) are ordered last; the rest keeps hash order
 _SALTS = mix64(np.arange(1, MIN_HASHES + 1, dtype=np.uint64))
+_SKETCH_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 def shingle_sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +54,29 @@ def shingle_sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct_sorted(*windows(words.hashes(), words.first, k, whole_short=True))
 
 
+def sketches(sets: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Every set's parity bits, as many as the next power of two of its size, at least ``SKETCH_BITS``:
+    differing bits of two sketches never outnumber the differing tokens, and sketches as large as
+    their sets hold enough bits to tell unlike sets apart."""
+    n = np.diff(first)
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(bits)])
+    at = np.repeat(begin[:-1], n) + (mix64(sets ^ _SKETCH_SALT) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8))
+    return [packed[a:b].tobytes() for a, b in zip(begin[:-1] // 8, begin[1:] // 8, strict=True)]
+
+
+def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of every row of ``a`` and row of ``b`` (uint64 words); longer sketches are
+    folded onto the shorter ones, which keeps them parities of the same tokens."""
+    while a.shape[1] > b.shape[1]:
+        a = a[:, :a.shape[1] // 2] ^ a[:, a.shape[1] // 2:]
+    while b.shape[1] > a.shape[1]:
+        b = b[:, :b.shape[1] // 2] ^ b[:, b.shape[1] // 2:]
+    step = max(1, (1 << 18) // max(1, b.size))
+    return np.concatenate([np.bitwise_count(a[x:x + step, None] ^ b).sum(2, dtype=np.int64) for x in range(0, len(a), step)])
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
@@ -69,10 +95,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (doc_id, n, fp_hi, fp_lo, h0..) of all documents, and (token, df) rows of tokens that
-    are common within a task (doc rows have a null token)."""
+    """Rows (doc_id, n, fp_hi, fp_lo, h0.., sketch) of all documents, and (token, df) rows of tokens
+    that are common within a task (doc rows have a null token)."""
     schema = ("doc_id long, n long, fp_hi long, fp_lo long, "
-              + ", ".join(f"h{i} long" for i in range(MIN_HASHES)) + ", token long, df long")
+              + ", ".join(f"h{i} long" for i in range(MIN_HASHES)) + ", sketch binary, token long, df long")
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +121,8 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n.astype(np.int64)),
                      _long(np.array([p >> 64 for p in prints], np.uint64)),
-                     _long(np.array([p & (1 << 64) - 1 for p in prints], np.uint64)), *mins, none, none], names)
+                     _long(np.array([p & (1 << 64) - 1 for p in prints], np.uint64)), *mins,
+                     pa.array(sketches(sets, first), pa.binary()), none, none], names)
             # one count a batch: a token common in the corpus is common in its batches
             tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0), np.zeros(0))
             for t, c in zip(tokens[counts >= COMMON_IN_TASK].tolist(), counts[counts >= COMMON_IN_TASK].tolist(), strict=True):
@@ -103,7 +130,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
         if seen:
             none = pa.nulls(len(seen), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none] * (4 + MIN_HASHES) + [_long(np.array(list(seen), np.uint64)), pa.array(list(seen.values()), pa.int64())], names)
+                [none] * (4 + MIN_HASHES) + [pa.nulls(len(seen), pa.binary()), _long(np.array(list(seen), np.uint64)), pa.array(list(seen.values()), pa.int64())], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, schema)
 
@@ -220,62 +247,152 @@ def fetched_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             .mapInArrow(run, "fp_hi long, fp_lo long, tokens binary"))
 
 
-def open_blocks(seats: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) found in blocks.  ``seats``: (block, salt, role, cls); the members (role 0) of a
-    block, at most ``BLOCK``, meet its queries (role 1), which stream past them."""
-    wanted = classes.join(seats.select("cls").distinct(), "cls").select("cls", "fp_hi", "fp_lo", "rep")
-    wanted = stored(wanted, "jaccard-wanted")
-    sets = fetched_sets(docs, wanted, k).join(wanted, ["fp_hi", "fp_lo"]).select("cls", "tokens")
-    rows = (seats.join(sets, "cls").repartition("block", "salt").sortWithinPartitions("block", "salt", "role", "cls")
-            .select("block", "salt", "role", "cls", "tokens"))
+def allowed_pairs(a: tuple, b: tuple, percent: int) -> np.ndarray:
+    """Rows (i, j, differing bits) of the pairs whose sizes and sketches allow a link; ``a`` and ``b``
+    are (sizes, sketches).  Sketch lengths that differ by more than a factor of 2 mean sizes that do not fit."""
+    (n_a, raw_a), (n_b, raw_b) = a, b
+    of_a, of_b = np.array([len(r) for r in raw_a], np.int64), np.array([len(r) for r in raw_b], np.int64)
+    found = [np.zeros((0, 3), np.int64)]
+    for u in np.unique(of_a):
+        rows = np.flatnonzero(of_a == u)
+        left = np.frombuffer(b"".join(raw_a[r] for r in rows), np.uint64).reshape(len(rows), -1)
+        for v in np.unique(of_b[(2 * of_b >= u) & (of_b <= 2 * u)]):
+            cols = np.flatnonzero(of_b == v)
+            least, most = np.minimum(n_a[rows][:, None], n_b[cols]), np.maximum(n_a[rows][:, None], n_b[cols])
+            fits = 100 * least >= percent * most
+            if fits.any():
+                right = np.frombuffer(b"".join(raw_b[c] for c in cols), np.uint64).reshape(len(cols), -1)
+                differ = differing_bits(left, right)
+                x, y = np.nonzero(fits & ((100 + percent) * differ <= (100 - percent) * (least + most)))
+                found.append(np.column_stack([rows[x], cols[y], differ[x, y]]))
+    out = np.concatenate(found)
+    return out[np.argsort(out[:, 2], kind="stable")]
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, list[np.ndarray], list[bytes]]]:
+    """(block and salt, whether it is a new one, [role, cls, n], payloads) of consecutive rows of one block."""
+    at = None
+    for batch in batches:
+        block, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cuts = np.flatnonzero((block[1:] != block[:-1]) | (salt[1:] != salt[:-1])) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+            if b > a:
+                key, part = (int(block[a]), int(salt[a])), batch.slice(a, b - a)
+                yield key, key != at, [part.column(c).to_numpy() for c in (2, 3, 4)], part.column(5).to_pylist()
+                at = key
+
+
+def promising_seats(seats: DataFrame, classes: DataFrame, percent: int, mutual: bool) -> DataFrame:
+    """The seats whose class may link with another of its block, by their sketches.  ``seats``: (block,
+    salt, role, cls).  Either all members of a block meet each other (``mutual``), or its queries
+    (role 1) stream past its members (role 0); a block has at most about ``BLOCK`` members."""
+    rows = (seats.join(classes.select("cls", "n", "sketch"), "cls").repartition("block", "salt")
+            .sortWithinPartitions("block", "salt", "role").select("block", "salt", "role", "cls", "n", "sketch"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, members, union, last = None, [], np.zeros(0, np.uint64), None
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for block, salt, role, cls, raw in zip(*[c.to_pylist() for c in batch.columns[:4]], batch.column(4), strict=True):
-                if (block, salt) != at:
-                    at, members, union, last = (block, salt), [], None, None
-                if (role, cls) == last:  # a copy that another task sent too
-                    continue
-                last = (role, cls)
-                tokens = np.frombuffer(raw.as_buffer(), np.uint64)
-                if role == 0:
-                    members.append((cls, tokens.copy()))
-                    continue
-                if union is None:
-                    union = np.unique(np.concatenate([t for _, t in members])) if members else np.zeros(0, np.uint64)
-                place = np.minimum(np.searchsorted(union, tokens), max(len(union) - 1, 0))
-                if not len(union) or 100 * int((union[place] == tokens).sum()) < percent * len(tokens):
-                    continue  # the block stays shut
-                found += [(cls, c) for c, t in members if c != cls and linked(tokens, t, percent)]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
-                                              pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+        key, cls, n, raw, hit = None, np.zeros(0, np.int64), np.zeros(0, np.int64), [], np.zeros(0, bool)
+
+        def out(role: int, picked: np.ndarray) -> pa.RecordBatch:
+            k = len(picked)
+            return pa.RecordBatch.from_arrays([pa.array([v] * k, t) for v, t in ((key[0], pa.int64()), (key[1], pa.int64()), (role, pa.int32()))]
+                                              + [pa.array(picked, pa.int64())], ["block", "salt", "role", "cls"])
+
+        def members() -> np.ndarray:
+            if not mutual:
+                return cls[hit]
+            pairs = allowed_pairs((n, raw), (n, raw), percent)
+            return cls[np.unique(pairs[pairs[:, 0] != pairs[:, 1], 0])]
+
+        for now, new, (role, c, size), sketch in _blocks(batches):
+            if new:
+                if key is not None:
+                    yield out(0, members())
+                key, cls, n, raw, hit = now, cls[:0], n[:0], [], hit[:0]
+            own = role == 0
+            cls, n = np.concatenate([cls, c[own]]), np.concatenate([n, size[own]])
+            raw, hit = raw + [s for s, o in zip(sketch, own, strict=True) if o], np.concatenate([hit, np.zeros(own.sum(), bool)])
+            asked = np.flatnonzero(~own)
+            for x in range(0, len(asked), 1024):
+                q = asked[x:x + 1024]
+                pairs = allowed_pairs((size[q], [sketch[r] for r in q]), (n, raw), percent)
+                hit[pairs[:, 1]] = True
+                yield out(1, c[q][np.unique(pairs[:, 0])])
+        if key is not None:
+            yield out(0, members())
+
+    return rows.mapInArrow(run, "block long, salt long, role int, cls long")
+
+
+def links_in_blocks(seats: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, mutual: bool) -> DataFrame:
+    """Links (a, b) by whole sets, nearest pairs first, none between classes that the block has connected
+    already: as many as connect what is connected in the block (``mutual``), or one a query."""
+    seats = stored(promising_seats(seats, classes, percent, mutual), "jaccard-seats")
+    wanted = stored(classes.join(seats.select("cls").distinct(), "cls").select("cls", "fp_hi", "fp_lo", "n", "rep"), "jaccard-wanted")
+    sets = fetched_sets(docs, wanted, k).join(wanted, ["fp_hi", "fp_lo"]).select("cls", "n", "tokens")
+    rows = (seats.join(sets, "cls").repartition("block", "salt").sortWithinPartitions("block", "salt", "role", "cls")
+            .select("block", "salt", "role", "cls", "n", "tokens"))
 
-    return rows.mapInArrow(run, "a long, b long")
+    def parts(sets: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
+        n = np.array([len(t) for t in sets], np.int64)
+        return n, sketches(np.concatenate([*sets, np.zeros(0, np.uint64)]), np.concatenate([[0], np.cumsum(n)]))
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        known, names = None, []
+
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[e] for f in found], pa.int64()) for e in (0, 1)], ["a", "b"])
+
+        def spanning() -> list[tuple[int, int]]:
+            names, sets = list(held), list(held.values())
+            own, found, top = parts(sets), [], list(range(len(sets)))
+
+            def root(x: int) -> int:
+                while top[x] != x:
+                    top[x] = x = top[top[x]]
+                return x
+
+            for i, j, _ in allowed_pairs(own, own, percent).tolist() if len(sets) > 1 else ():
+                if i < j and root(i) != root(j) and linked(sets[i], sets[j], percent):
+                    top[root(i)] = root(j)
+                    found.append((names[i], names[j]))
+            return found
+
+        for _, new, (role, c, _), raw in _blocks(batches):
+            if new:
+                if mutual and held:
+                    yield out(spanning())
+                held, known = {}, None
+            sets = [np.frombuffer(r, np.uint64) for r in raw]
+            held.update({int(x): t for x, t, r in zip(c, sets, role, strict=True) if r == 0})  # copies from other tasks once
+            asked = {int(x): t for x, t, r in zip(c, sets, role, strict=True) if r == 1}
+            if asked and held:
+                if known is None:
+                    names, known = list(held), parts(list(held.values()))
+                queries, found = list(asked), {}
+                for i, j, _ in allowed_pairs(parts(list(asked.values())), known, percent).tolist():
+                    if i not in found and names[j] != queries[i] and linked(asked[queries[i]], held[names[j]], percent):
+                        found[i] = (queries[i], names[j])
+                yield out(list(found.values()))
+        if mutual and held:
+            yield out(spanning())
 
-def _salted(df: DataFrame, by: str, size: int) -> DataFrame:
-    """``df`` (by, cls, n) plus ``salt``: the rows of one ``by`` value are dealt over blocks of about
-    ``size`` rows and ``BLOCK_TOKENS`` tokens at most."""
-    blocks = df.groupBy(by).agg(F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(size), F.sum("n") / F.lit(BLOCK_TOKENS))).alias("__blocks"))
-    return df.join(blocks, by).withColumn("salt", F.pmod(F.xxhash64("cls"), "__blocks")).drop("__blocks")
+    return rows.mapInArrow(run, "a long, b long")
 
 
-def _similar_size(a: Column, b: Column, percent: int) -> Column:
-    return (F.lit(100) * F.least(a, b)) >= (F.lit(percent) * F.greatest(a, b))
+def _salted(df: DataFrame, by: list[str], size: int) -> DataFrame:
+    """``df`` (by..., cls, n, ...) plus ``salt``: the rows of one ``by`` value are dealt over blocks of about
+    ``size`` rows and ``BLOCK_TOKENS`` tokens; ``__n`` rows hold the value."""
+    blocks = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.sum("n").alias("__tokens"))
+    return (df.join(blocks, by).withColumn("salt", F.pmod(F.xxhash64("cls"), F.ceil(F.greatest(
+        F.col("__n") / F.lit(size), F.col("__tokens") / F.lit(BLOCK_TOKENS))))).drop("__tokens"))
 
 
-def star_seats(classes: DataFrame, percent: int) -> DataFrame:
-    """Blocks that compare each class with the first class of the same min-hash."""
+def star_seats(classes: DataFrame) -> DataFrame:
+    """Blocks of classes that share a min-hash."""
     keyed = classes.select("cls", "n", F.posexplode(F.array(*[F.col(f"h{i}") for i in range(MIN_HASHES)])).alias("i", "h"))
-    first = keyed.groupBy("i", "h").agg(F.min(F.struct("cls", "n")).alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = (keyed.join(first, ["i", "h"]).where("cls <> pivot.cls")
-             .where(_similar_size(F.col("n"), F.col("pivot.n"), percent))
-             .select("cls", "n", F.col("pivot.cls").alias("block")).distinct())
-    queries = _salted(pairs, "block", BLOCK)
-    pivots = queries.select("block", "salt").distinct().select("block", "salt", F.lit(0).alias("role"), F.col("block").alias("cls"))
-    return queries.select("block", "salt", F.lit(1).alias("role"), "cls").unionByName(pivots)
+    return (_salted(keyed, ["i", "h"], BLOCK).where("__n > 1")
+            .select(F.xxhash64("i", "h").alias("block"), "salt", F.lit(0).alias("role"), "cls"))
 
 
 def cross_seats(tokens: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -297,9 +414,10 @@ def cross_seats(tokens: DataFrame, classes: DataFrame, groups: DataFrame, percen
              .where((F.lit(100) * F.col("n") >= F.lit(percent) * F.col("n_min")) & (F.lit(100) * F.col("n_max") >= F.lit(percent) * F.col("n")))
              .select("cls", "n", "grp").distinct())
     meets = stored(meets, "jaccard-meets")
-    inside = _salted(owners.join(meets.select("grp").distinct(), "grp").select("cls", "n", "grp"), "grp", BLOCK).withColumnRenamed("salt", "part")
+    inside = (_salted(owners.join(meets.select("grp").distinct(), "grp").select("cls", "n", "grp"), ["grp"], BLOCK)
+              .drop("__n").withColumnRenamed("salt", "part"))
     parts = inside.select("grp", "part").distinct()
-    asked = _salted(meets, "grp", 4 * BLOCK).join(parts, "grp")
+    asked = _salted(meets, ["grp"], 4 * BLOCK).join(parts, "grp")
     block = F.xxhash64("grp", "part")
     turns = asked.select("grp", "part", "salt").distinct()
     return (asked.select(block.alias("block"), "salt", F.lit(1).alias("role"), "cls")
@@ -318,13 +436,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     rows = stored(signatures(docs, k), "jaccard-signatures")
     signed = rows.where("token IS NULL")
     grouped = (signed.where("n > 0").groupBy("n", "fp_hi", "fp_lo")
-               .agg(F.min("doc_id").alias("rep"), *[F.min(f"h{i}").alias(f"h{i}") for i in range(MIN_HASHES)]))
+               .agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch"), *[F.min(f"h{i}").alias(f"h{i}") for i in range(MIN_HASHES)]))
     classes = stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
-    near = stored(open_blocks(stored(star_seats(classes, percent), "jaccard-stars"), docs, classes, k, percent), "jaccard-near")
+    near = stored(links_in_blocks(star_seats(classes), docs, classes, k, percent, mutual=True), "jaccard-near")
     groups = stored(components(classes.select("cls"), near, "cls", "grp"), "jaccard-groups")
     tokens = shared_tokens(prefix_tokens(docs, k, percent, common_tokens(rows)))
-    seats = stored(cross_seats(tokens, classes, groups, percent), "jaccard-seats")
-    far = open_blocks(seats, docs, classes, k, percent)
+    far = links_in_blocks(cross_seats(tokens, classes, groups, percent), docs, classes, k, percent, mutual=False)
     links = stored(near.unionByName(far), "jaccard-links")
     found = components(classes.select("cls"), links, "cls", "component")
     named = classes.join(found, "cls").select("n", "fp_hi", "fp_lo", "component", "rep")

@@ -70,3 +70,20 @@ def test_components_of_paths_stars_and_loose_nodes(spark):
     got = dict(map(tuple, components(nodes, spark.createDataFrame(edges, "a long, b long"), "v", "c").collect()))
     want = defaultdict(int, {i: 0 for i in range(40)} | {i: 100 for i in range(100, 130)} | {999: 999})
     assert got == dict(want)
+
+
+def test_sketch_bits_never_exceed_the_differing_tokens():
+    import numpy as np
+    from starling.llm.jaccard_groups import differing_bits, sketches
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 900, 3000, 5000, 9000):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: max(1, 9 * n // 10)], rng.integers(0, 1 << 62, n // 4, dtype=np.uint64)]))
+        c = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        raw = sketches(np.concatenate([a, b, c]), np.cumsum([0, len(a), len(b), len(c)]))
+        x, y, z = (np.frombuffer(r, np.uint64)[None] for r in raw)
+        apart = lambda p, q: len(np.setxor1d(p, q))
+        assert differing_bits(x, y)[0, 0] <= apart(a, b) and differing_bits(x, z)[0, 0] <= apart(a, c)
+        assert differing_bits(x, x)[0, 0] == 0
+        if n >= 900:  # unlike sets are told apart: over the bound of a link at 75 %
+            assert 7 * differing_bits(x, z)[0, 0] > len(a) + len(c)
