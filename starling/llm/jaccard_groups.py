@@ -81,7 +81,7 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def _least(total: int | np.ndarray, percent: int):
+def _least(total: int, percent: int) -> int:
     """ceil(percent * total / 100)."""
     return -(-percent * total // 100)
 
@@ -156,8 +156,11 @@ def prefix(tokens: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: in
 
 
 def prefix_tokens(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(token, fp_lo, often): prefix tokens of all documents, one copy of each set per task.
-    ``often``: the token is on the common list."""
+    """(token, fp_lo, early, often): prefix tokens of all documents, one copy of each set per task.
+
+    ``early``: it is among the first |set| - ceil(2p/(1+p) |set|) + 1; of two sets that link, some
+    shared prefix token is early in the shorter one, as they share p/(1+p) of their added sizes.
+    ``often``: it is on the common list."""
     order = np.argsort(common, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
 
@@ -167,45 +170,49 @@ def prefix_tokens(docs: DataFrame, k: int, percent: int, common: np.ndarray) ->
         for batch in batches:
             for a, b in text_slices(batch.column(0)):
                 sets, first = shingle_sets(batch.column(0).slice(a, b - a), k)
-                tokens, owners = [], []
+                tokens, owners, sizes = [], [], []
                 for x, y in zip(first[:-1], first[1:], strict=True):
                     mark = xxhash.xxh3_128_intdigest(sets[x:y].tobytes()) & (1 << 64) - 1
                     if y > x and mark not in done:
                         done.add(mark)
                         tokens.append(prefix(sets[x:y], listed, rank, percent))
                         owners.append(mark)
+                        sizes.append(int(y - x))
                 if tokens:
                     token = np.concatenate(tokens)
                     owner = np.repeat(np.array(owners, np.uint64), [len(t) for t in tokens])
-                    often = np.isin(token, listed)
-                    yield pa.RecordBatch.from_arrays([_long(token), _long(owner), pa.array(often)], ["token", "fp_lo", "often"])
+                    early = np.concatenate([np.arange(len(t)) <= n + (-2 * percent * n // (100 + percent))
+                                            for t, n in zip(tokens, sizes, strict=True)])
+                    yield pa.RecordBatch.from_arrays([_long(token), _long(owner), pa.array(early), pa.array(np.isin(token, listed))],
+                                                     ["token", "fp_lo", "early", "often"])
 
-    return docs.select("text").mapInArrow(run, "token long, fp_lo long, often boolean")
+    return docs.select("text").mapInArrow(run, "token long, fp_lo long, early boolean, often boolean")
 
 
 def shared_tokens(tokens: DataFrame) -> DataFrame:
-    """(token, fp_lo) of the tokens that different sets hold.  Common tokens pass as they are;
-    the others are brought together by token and streamed in sorted order, so that a single
-    row is all that a task holds."""
+    """(token, fp_lo, early) of the tokens that different sets hold (some rows twice).  Common tokens
+    pass as they are; the others are brought together by token and streamed in sorted order, so
+    that a row or two are all that a task holds."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        token, owner, early = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         for batch in batches:
             token = np.concatenate([token, batch.column(0).to_numpy()])
             owner = np.concatenate([owner, batch.column(1).to_numpy()])
+            early = np.concatenate([early, batch.column(2).to_numpy(zero_copy_only=False)])
             keep = np.ones(len(token), bool)
             keep[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-            token, owner = token[keep], owner[keep]
+            token, owner, early = token[keep], owner[keep], early[keep]
             same = token[1:] == token[:-1]
             hit = np.zeros(len(token), bool)
             hit[1:] |= same
             hit[:-1] |= same
-            yield pa.RecordBatch.from_arrays([pa.array(token[hit]), pa.array(owner[hit])], ["token", "fp_lo"])
+            yield pa.RecordBatch.from_arrays([pa.array(token[hit]), pa.array(owner[hit]), pa.array(early[hit])], ["token", "fp_lo", "early"])
             tail = 2 if len(token) > 1 and same[-1] else 1  # the last row still has to meet the next batch
-            token, owner = token[-tail:], owner[-tail:]
+            token, owner, early = token[-tail:], owner[-tail:], early[-tail:]
 
-    rare = (tokens.where("NOT often").select("token", "fp_lo").repartition("token")
-            .sortWithinPartitions("token", "fp_lo").mapInArrow(run, "token long, fp_lo long"))
-    return rare.unionByName(tokens.where("often").select("token", "fp_lo")).distinct()
+    rare = (tokens.where("NOT often").select("token", "fp_lo", "early").repartition("token")
+            .sortWithinPartitions("token", "fp_lo").mapInArrow(run, "token long, fp_lo long, early boolean"))
+    return rare.unionByName(tokens.where("often").select("token", "fp_lo", "early"))
 
 
 def bitmap(ids: DataFrame, column: str) -> np.ndarray:
@@ -398,20 +405,22 @@ def star_seats(classes: DataFrame) -> DataFrame:
 def cross_seats(tokens: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Blocks that hold a group's members against the queries from other groups.
 
-    A class queries a group if its prefix meets the group's union of prefixes and sizes fit;
-    of two groups the smaller one's classes are the queries.
+    A class queries a group if its prefix meets the group's union of prefixes in a token whose
+    holders' sizes fit, early in the shorter set; of two groups the smaller one's classes are the queries.
     """
     owners = classes.join(groups, "cls").select("cls", "n", "fp_lo", "grp")
-    sizes = owners.groupBy("grp").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    held = stored(tokens.join(owners, "fp_lo").select("token", "cls", "n", "grp"), "jaccard-held")
-    matrix = held.select("token", "grp").distinct()  # the token-group matrix
+    owners = owners.join(owners.groupBy("grp").agg(F.count(F.lit(1)).alias("members")), "grp")
+    held = stored(tokens.join(owners, "fp_lo").select("token", "early", "cls", "n", "grp", "members"), "jaccard-held")
+    # the token-group matrix, with the sizes of the members that hold the token
+    matrix = held.groupBy("token", "grp", "members").agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min(F.when(F.col("early"), F.col("n"))).alias("n_early"))
     several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    matrix = stored(matrix.join(several, "token").join(sizes, "grp"), "jaccard-matrix")
-    own = sizes.select(F.col("grp").alias("own"), F.col("members").alias("own_members"))
-    queries = held.join(several, "token").withColumnRenamed("grp", "own").join(own, "own")
+    matrix = stored(matrix.join(several, "token"), "jaccard-matrix")
+    queries = held.join(several, "token").withColumnsRenamed({"grp": "own", "members": "own_members"})
     meets = (queries.join(matrix, "token").where("own <> grp")
              .where("own_members < members OR (own_members = members AND own < grp)")
              .where((F.lit(100) * F.col("n") >= F.lit(percent) * F.col("n_min")) & (F.lit(100) * F.col("n_max") >= F.lit(percent) * F.col("n")))
+             .where("(early AND n_max >= n) OR n_early <= n")
              .select("cls", "n", "grp").distinct())
     meets = stored(meets, "jaccard-meets")
     inside = (_salted(owners.join(meets.select("grp").distinct(), "grp").select("cls", "n", "grp"), ["grp"], BLOCK)
