@@ -9,9 +9,10 @@ floor(edit_rate * n) word edits of the whole item.
   get outputs at a small Hamming distance.
 * Bit sampling: a key is a hash of ``SAMPLED`` output places.  Windows share a key if they agree
   there; the number of keys (over several walks) is chosen by simulation so that an occurrence
-  with ``edit_rate`` of its words edited is found with probability ``target``.
-* Items are put into size classes; each class slides windows of its own size over the documents,
-  so densely that every unedited occurrence holds a whole window, and indexes all windows of its items.
+  with ``edit_rate`` of its words edited is found with probability ``target``, at every size.
+* Items are put into size classes; each class slides windows of its own size (``WIDEST`` words at
+  most, so that several fit into a long item) over the documents, so densely that every unedited
+  occurrence holds a whole window, and indexes all windows of its items.
 * Candidates are verified exactly: semi-global word edit distance of the whole item against the
   document around the window.
 
@@ -34,6 +35,7 @@ from starling.llm.common import extended
 from starling.llm.words import PUNCTUATION, Words, mix64
 
 SAMPLED, SAMPLES_PER_WALK, ITEM_BLOCK = 6, 8, 2000
+WIDEST, MOST_KEYS = 24, 512
 FILTER_BITS = 22
 LEAK = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start_word", T.LongType()),
                                  T.StructField("n_words", T.LongType()), T.StructField("edits", T.LongType())]))
@@ -45,18 +47,18 @@ class SizeClass:
 
     def __init__(self, least: int, most: int, keys: int) -> None:
         self.least, self.most = least, most
-        self.window = max(1, 2 * least // 3)
-        self.stride = max(1, least - self.window + 1)
+        self.window = max(1, min(2 * least // 3, WIDEST))
+        self.stride = min(least - self.window + 1, self.window)
         self.walks = -(-keys // SAMPLES_PER_WALK)
         rng = np.random.default_rng([least, 17])
         self.places = [[np.sort(rng.choice(2 * self.window, min(SAMPLED, 2 * self.window), replace=False))
                         for _ in range(SAMPLES_PER_WALK)] for _ in range(self.walks)]
 
-    def keys(self, words: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """All keys of the windows that start at ``starts`` (one array per sample)."""
+    def keys(self, words: np.ndarray, starts: np.ndarray, since: int = 0) -> list[np.ndarray]:
+        """All keys, from walk ``since`` on, of the windows that start at ``starts`` (one array per sample)."""
         padded = np.concatenate([words, np.zeros(2 * self.window + 1, np.uint64)])
         end, out = starts + self.window, []
-        for w, places in enumerate(self.places):
+        for w, places in enumerate(self.places[since:], since):
             seed = np.uint64((self.least << 20 | w << 8) % (1 << 64))
             keys = [np.full(len(starts), mix64(np.array([seed + np.uint64(s)], np.uint64))[0]) for s in range(len(places))]
             used = [set(p.tolist()) for p in places]
@@ -77,32 +79,42 @@ class SizeClass:
 
 
 @functools.lru_cache(maxsize=64)
-def keys_needed(least: int, edit_rate: float, target: float, trials: int = 300) -> int:
-    """How many keys find an occurrence with probability ``target``: measured on random items of
-    ``least`` words in random text, floor(edit_rate * least) words substituted, deleted or inserted."""
-    probe = SizeClass(least, least, 8 * SAMPLES_PER_WALK)
-    rng = np.random.default_rng(least)
+def keys_needed(least: int, most: int, edit_rate: float, target: float) -> int:
+    """How many keys find an occurrence with probability ``target``: measured on random items in
+    random text, at the size of the class with the largest share of edits and at the smallest."""
+    hardest = max(range(least, most + 1), key=lambda n: (math.floor(edit_rate * n) / n, -n))
+    return max(keys_for_size(least, n, edit_rate, target) for n in {least, hardest})
+
+
+def keys_for_size(least: int, size: int, edit_rate: float, target: float, trials: int = 300) -> int:
+    """``keys_needed`` for items of ``size`` words in the class from ``least`` words on,
+    floor(edit_rate * size) words substituted, deleted or inserted."""
+    probe = SizeClass(least, size, 0)
+    rng = np.random.default_rng(size)
     fresh = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
-    items = fresh((trials, least))
-    size = least + 2 * probe.window
-    texts = np.empty((trials, size), np.uint64)
+    items = fresh((trials, size))
+    length = size + 2 * probe.window + math.floor(edit_rate * size)
+    texts = np.empty((trials, length), np.uint64)
     for item, row in zip(items, texts, strict=True):
         words = item.tolist()
-        for _ in range(math.floor(edit_rate * least)):
+        for _ in range(math.floor(edit_rate * size)):
             at, kind = int(rng.integers(0, len(words))), rng.integers(0, 3)
             words[at:at + (kind < 2)] = fresh(int(kind != 1)).tolist()  # substitute, delete, insert
-        before = int(rng.integers(0, size - len(words) + 1))
-        row[:] = np.concatenate([fresh(before), np.array(words, np.uint64), fresh(size - before - len(words))])
+        before = int(rng.integers(0, length - len(words) + 1))
+        row[:] = np.concatenate([fresh(before), np.array(words, np.uint64), fresh(length - before - len(words))])
     tag = lambda key, n: mix64(key ^ np.repeat(np.arange(trials, dtype=np.uint64), n))
-    inside, grid = np.arange(least - probe.window + 1), np.arange(0, size - probe.window + 1, probe.stride)
-    of_items = probe.keys(items.ravel(), (np.arange(trials)[:, None] * least + inside).ravel())
-    of_texts = probe.keys(texts.ravel(), (np.arange(trials)[:, None] * size + grid).ravel())
+    inside, grid = np.arange(size - probe.window + 1), np.arange(0, length - probe.window + 1, probe.stride)
+    in_items = (np.arange(trials)[:, None] * size + inside).ravel()
+    in_texts = (np.arange(trials)[:, None] * length + grid).ravel()
     met = np.zeros(trials, bool)
-    for k, (a, b) in enumerate(zip(of_items, of_texts, strict=True), 1):
-        met |= np.isin(tag(b, len(grid)), tag(a, len(inside))).reshape(trials, -1).any(1)
-        if met.mean() >= target:
-            return k
-    return len(of_items)
+    for walk in range(MOST_KEYS // SAMPLES_PER_WALK):
+        probe = SizeClass(least, size, (walk + 1) * SAMPLES_PER_WALK)
+        of_items, of_texts = (probe.keys(words.ravel(), starts, walk) for words, starts in ((items, in_items), (texts, in_texts)))
+        for k, (a, b) in enumerate(zip(of_items, of_texts, strict=True), 1):
+            met |= np.isin(tag(b, len(grid)), tag(a, len(inside))).reshape(trials, -1).any(1)
+            if met.mean() >= target:
+                return walk * SAMPLES_PER_WALK + k
+    raise ValueError(f"{MOST_KEYS} keys find {met.mean():.2f} of the items of {size} words with {edit_rate} of them edited, not {target}")
 
 
 class Index:
@@ -116,7 +128,7 @@ class Index:
             least = sizes[0]
             most = max(least, math.ceil(1.5 * least) - 1)
             sizes = [s for s in sizes if s > most]
-            kind = SizeClass(least, most, keys_needed(least, edit_rate, target))
+            kind = SizeClass(least, most, keys_needed(least, most, edit_rate, target))
             self.classes.append(kind)
             for i, (_, words) in enumerate(items):
                 if least <= len(words) <= most:

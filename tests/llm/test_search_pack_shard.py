@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starling.llm import decontaminate, packing, sharding, tokens, warc
@@ -67,6 +68,22 @@ def test_planted_leaks_are_found_and_nothing_else(spark):
     assert exact <= set(got)
 
 
+@pytest.mark.parametrize("size", [30, 200, 400])
+def test_edited_items_are_found_at_any_size(size):
+    rng = random.Random(size)
+    item = [f"b{rng.randrange(10**6)}" for _ in range(size)]
+    hashes = decontaminate.Words(pa.array([" ".join(item)])).hashes()
+    index = decontaminate.Index([([1], hashes)], 0.15, 0.9)
+    texts = [" ".join([f"c{rng.randrange(10**6)}" for _ in range(300)] + edited(rng, item, int(0.15 * size))
+                      + [f"c{rng.randrange(10**6)}" for _ in range(300)]) for _ in range(100)]
+    assert sum(map(bool, index.leaks(pa.array(texts)))) >= 85
+
+
+def test_an_unmet_target_is_an_error():
+    with pytest.raises(ValueError):
+        decontaminate.keys_needed(60, 60, 0.9, 0.9)
+
+
 def test_leaks_across_case_punctuation_and_copies(spark):
     item = "Where did the old painter keep his blue brushes, and who found them?"
     bench = spark.createDataFrame([(1, item), (2, item)], "item_id long, text string")
