@@ -1,8 +1,8 @@
 """Operator 2: benchmark decontamination by CGK embedding and bit-sampling LSH.
 
 Words are runs of letters and digits (ASCII punctuation and white space part them), lower-cased
-(A-Z).  An item of n words leaks into a document if some run of the document's words is within
-floor(edit_rate * n) word edits of the whole item.
+(A-Z); in scripts without spaces every character is a word.  An item of n words leaks into a document if some run of the document's words is within
+floor(edit_rate * n) word edits of the whole item; under ``min_words`` words, if they are equal.
 
 * CGK: a random walk copies a window's words to an output of twice its length, moving on to the
   next word or staying by a random bit of (output place, word).  Windows at a small edit distance
@@ -13,6 +13,7 @@ floor(edit_rate * n) word edits of the whole item.
 * Items are put into size classes; each class slides windows of its own size (``WIDEST`` words at
   most, so that several fit into a long item) over the documents, so densely that every unedited
   occurrence holds a whole window, and indexes all windows of its items.
+* Items under ``min_words`` words are looked up by the hash of their whole word sequence.
 * Candidates are verified exactly: semi-global word edit distance of the whole item against the
   document around the window.
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.llm.common import extended
-from starling.llm.words import PUNCTUATION, Words, mix64
+from starling.llm.words import PUNCTUATION, Words, mix64, windows
 
 SAMPLED, SAMPLES_PER_WALK, ITEM_BLOCK = 6, 8, 2000
 WIDEST, MOST_KEYS = 24, 512
@@ -120,9 +121,15 @@ def keys_for_size(least: int, size: int, edit_rate: float, target: float, trials
 class Index:
     """The windows of a block of items: sorted keys with the item and window start of each."""
 
-    def __init__(self, items: list[tuple[list[int], np.ndarray]], edit_rate: float, target: float) -> None:
-        self.items, self.edit_rate, self.classes = items, edit_rate, []
-        sizes = sorted({len(w) for _, w in items})
+    def __init__(self, items: list[tuple[list[int], np.ndarray]], edit_rate: float, target: float, min_words: int = 8) -> None:
+        self.items, self.edit_rate, self.min_words, self.classes = items, edit_rate, min_words, []
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by size: sorted sequence hashes, items
+        for size in sorted({len(w) for _, w in items if len(w) < min_words}):
+            which = np.array([i for i, (_, w) in enumerate(items) if len(w) == size])
+            hashes = np.concatenate([sequences(items[i][1], np.array([0, size]), size)[0] for i in which])
+            order = np.argsort(hashes, kind="stable")
+            self.short[size] = hashes[order], which[order]
+        sizes = sorted({len(w) for _, w in items if len(w) >= min_words})
         keys, owners, offsets = [], [], []
         while sizes:
             least = sizes[0]
@@ -149,6 +156,16 @@ class Index:
         """Distinct (document, item, where the item would start) rows."""
         found = []
         counts = np.diff(first)
+        for size, (known, owner) in self.short.items():
+            hashes, begin = sequences(words, first, size)
+            low, high = np.searchsorted(known, hashes, "left"), np.searchsorted(known, hashes, "right")
+            hit = np.flatnonzero(high > low)
+            times = (high - low)[hit]
+            which = owner[np.repeat(low[hit], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)]
+            hit = np.repeat(hit, times)
+            doc = np.searchsorted(begin, hit, "right") - 1
+            rows = np.column_stack([doc, which, first[:-1][doc] + hit - begin[doc]])
+            found.append(rows[np.unique(rows[:, :2], axis=0, return_index=True)[1]])  # equal words: the first place will do
         for kind in self.classes:
             room = counts - kind.window
             n = np.where(room >= 0, room // kind.stride + 2, 0)  # the last window ends with the document
@@ -166,13 +183,13 @@ class Index:
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
     def leaks(self, text: pa.Array) -> list[list[dict]]:
-        words = Words(text, lower=True, space=PUNCTUATION)
+        words = Words(text, lower=True, space=PUNCTUATION, alone=True)
         hashes, out = words.hashes(), [[] for _ in range(len(text))]
         best: dict[tuple[int, int], tuple[int, int]] = {}
         checked: set[tuple[int, int, int]] = set()
         for doc, item, start in self.candidates(hashes, words.first).tolist():
             target = self.items[item][1]
-            allowed = math.floor(self.edit_rate * len(target))
+            allowed = math.floor(self.edit_rate * len(target)) if len(target) >= self.min_words else 0
             a, b = int(words.first[doc]), int(words.first[doc + 1])
             if best.get((doc, item), (1, 0))[0] == 0 or (doc, item, start // (allowed + 1)) in checked:
                 continue
@@ -190,6 +207,20 @@ class Index:
         return out
 
 
+def sequences(words: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` words and their ``first`` offsets by document."""
+    if size <= 64:
+        return windows(words, first, size)
+    hashes, begin = windows(words, first, 64)
+    for step in range(1, size - 63):  # a run is a shorter run and one word more
+        n = np.maximum(np.diff(first) - 63 - step, 0)
+        out = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+        at = np.arange(int(out[-1])) - np.repeat(out[:-1], n)
+        hashes = mix64(hashes[np.repeat(begin[:-1], n) + at] ^ words[np.repeat(first[:-1], n) + at + 63 + step])
+        begin = out
+    return hashes, begin
+
+
 def semi_global(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     """Least edits that turn some run of ``region`` into the whole ``item``, and where that run ends."""
     width = np.arange(len(region) + 1)
@@ -205,17 +236,17 @@ def semi_global(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
 
 def item_blocks(benchmark: DataFrame, min_words: int, edit_rate: float, target: float):
     """Indexes of ``benchmark`` (item_id, text) in blocks; items of one text are one entry, and
-    null texts and items of under ``min_words`` words are no evidence of a leak."""
+    null texts and items without a word are no evidence of a leak."""
     blocks = max(1, math.ceil(benchmark.count() / ITEM_BLOCK))
     rows = benchmark.where("text IS NOT NULL").select(
         F.col("item_id").cast("long").alias("item_id"), "text", F.pmod(F.xxhash64("text"), F.lit(blocks)).alias("block"))
     for b in range(blocks):
         got = rows.where(F.col("block") == b).groupBy("text").agg(F.collect_list("item_id").alias("ids")).collect()
         got = sorted((r["text"], sorted(r["ids"])) for r in got)
-        words = Words(pa.array([t for t, _ in got], pa.string()), lower=True, space=PUNCTUATION)
+        words = Words(pa.array([t for t, _ in got], pa.string()), lower=True, space=PUNCTUATION, alone=True)
         hashes = words.hashes()
         yield Index([(ids, hashes[words.first[i]:words.first[i + 1]]) for i, (_, ids) in enumerate(got)
-                     if words.counts[i] >= min_words], edit_rate, target)
+                     if words.counts[i]], edit_rate, target, min_words)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.15, target: float = 0.9,

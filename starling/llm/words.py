@@ -18,6 +18,16 @@ PUNCTUATION = np.ones(256, bool)
 PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
+# scripts without spaces, by the first two bytes of a character: Thai, Lao, Tibetan, Myanmar, Khmer,
+# kana, bopomofo, Chinese characters (three bytes; four on the supplementary planes)
+ALONE = np.zeros(1 << 16, bool)
+for _low, _high in [(0xE0B8, 0xE0BF), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE380, 0xE386), (0xE390, 0xE3BF),
+                    (0xE480, 0xE9BF), (0xEFA4, 0xEFAB), (0xEFBD, 0xEFBE), (0xF0A0, 0xF0B3)]:
+    ALONE[[_b << 8 | _c for _b in range(_low >> 8, (_high >> 8) + 1)
+           for _c in range(_low & 255 if _b == _low >> 8 else 0x80, (_high & 255 if _b == _high >> 8 else 0xBF) + 1)]] = True
+_MARKS = [*range(0x3000, 0x3005), *range(0x3008, 0x3021), 0x3030, 0x30FB, *range(0xFF01, 0xFF10), *range(0xFF1A, 0xFF21),
+          *range(0xFF3B, 0xFF41), *range(0xFF5B, 0xFF66)]
+MARKS = np.array([int.from_bytes(chr(c).encode()) for c in _MARKS])  # punctuation of these scripts
 _TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -35,11 +45,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 class Words:
     """Words of a slice of texts: ``starts``/``ends`` are byte offsets into ``data``;
-    document ``d`` holds words ``first[d]`` to ``first[d + 1]``."""
+    document ``d`` holds words ``first[d]`` to ``first[d + 1]``.  ``alone``: in scripts without
+    spaces every character is a word and their punctuation parts words."""
 
     __slots__ = ("data", "offsets", "starts", "ends", "first")
 
-    def __init__(self, text: pa.Array, lower: bool = False, space: np.ndarray = SPACE) -> None:
+    def __init__(self, text: pa.Array, lower: bool = False, space: np.ndarray = SPACE,
+                 alone: bool = False) -> None:
         text = pc.fill_null(text.cast(pa.large_string()), "")
         if len(text) == 0:
             self.data, self.offsets = np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -54,14 +66,28 @@ class Words:
         ink = np.empty(len(self.data) + 1, bool)
         ink[:-1] = ~space[self.data]
         ink[-1] = False
-        before = np.empty_like(ink)
-        before[0], before[1:] = False, ink[:-1]
         cuts = np.zeros(len(ink), bool)
         cuts[self.offsets] = True  # a text ends where the next one begins
+        if alone:
+            self._part_characters(ink, cuts)
+        before = np.empty_like(ink)
+        before[0], before[1:] = False, ink[:-1]
         self.starts = np.flatnonzero(ink & (cuts | ~before))
         self.ends = np.flatnonzero(before & (cuts | ~ink))
         self.first = np.searchsorted(self.starts, self.offsets)
 
+    def _part_characters(self, ink: np.ndarray, cuts: np.ndarray) -> None:
+        lead = np.flatnonzero(self.data >= 0xE0)
+        wide = self.data.astype(np.int64) if len(lead) else self.data
+        two = wide[lead] << 8 | wide[lead + 1] if len(lead) else lead
+        one = ALONE[two]
+        cuts[lead[one]] = True
+        cuts[lead[one] + np.where(two[one] >= 0xF000, 4, 3)] = True
+        near = lead[(two == 0xE380) | (two == 0xE383) | (two == 0xEFBC) | (two == 0xEFBD)]
+        mark = near[np.isin(wide[near] << 16 | wide[near + 1] << 8 | wide[near + 2], MARKS)] if len(near) else near
+        for k in range(3):
+            ink[mark + k] = False
+
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)

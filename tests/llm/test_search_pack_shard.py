@@ -79,6 +79,26 @@ def test_edited_items_are_found_at_any_size(size):
     assert sum(map(bool, index.leaks(pa.array(texts)))) >= 85
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    texts = {1: "Who wrote the play Hamlet?", 2: "Hamlet", 3: "水の沸点は何度ですか。", 4: "中国的首都是哪里", 5: "ประเทศไทย", 6: "?!", 7: "the play Macbeth"}
+    bench = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows = [(1, "so who wrote the play, Hamlet or not"), (2, "who wrote a play Hamlet"), (3, "前文、水の沸点は何度ですか?後文"),
+            (4, "请问中国的首都是哪里呢"), (5, "ในประเทศไทยมี"), (6, "the play"), (7, None), (8, "水の沸点はX度ですか")]
+    got = {(r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.leak_pairs(documents(spark, rows), bench).collect()}
+    exact = {(1, 1, 0), (1, 2, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 5, 0)}
+    assert exact <= got <= exact | {(8, 3, 1)}
+
+
+def test_word_runs_of_any_size_by_hash():
+    rng = np.random.default_rng(5)
+    words, first = rng.integers(0, 3, 900).astype(np.uint64), np.array([0, 0, 70, 400, 465, 900])
+    for size in (1, 3, 64, 66, 70):
+        hashes, begin = decontaminate.sequences(words, first, size)
+        runs = [tuple(words[s:s + size]) for a, b in zip(first, first[1:]) for s in range(a, b - size + 1)]
+        assert begin[-1] == len(hashes) == len(runs) and len(set(runs)) == len(set(hashes.tolist()))
+        assert len(set(zip(runs, hashes.tolist()))) == len(set(runs))
+
+
 def test_an_unmet_target_is_an_error():
     with pytest.raises(ValueError):
         decontaminate.keys_needed(60, 60, 0.9, 0.9)

@@ -37,6 +37,14 @@ def test_sliced_arrays_and_other_separators():
     assert w.first.tolist() == [0, 7, 7]
 
 
+def test_characters_of_scripts_without_spaces_stand_alone():
+    texts = pa.array(["ab水の、x9。é漢", "ไทย 𠀀𠀁 한국 don’t", "水"])
+    w = Words(texts, lower=True, space=PUNCTUATION, alone=True)
+    got = [w.data[a:b].tobytes().decode() for a, b in zip(w.starts, w.ends)]
+    assert got == ["ab", "水", "の", "x9", "é", "漢", "ไ", "ท", "ย", "𠀀", "𠀁", "한국", "don’t", "水"]
+    assert w.first.tolist() == [0, 6, 13, 14]
+
+
 def test_windows_and_distinct_sets():
     texts = ["a b c d e a b c d e", "a b", "", "x", "a b c d e"]
     w = Words(pa.array(texts))
