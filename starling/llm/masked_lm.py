@@ -9,9 +9,8 @@ both sides.
   words of the corpus are equally likely.
 * Network: position-wise embeddings of the four neighbours are summed and squashed (tanh); the
   id is predicted in two softmax steps, its class (ids in blocks of ``WIDTH``) and its place in the class.
-* Training is data-parallel: in every round each task runs AdaGrad over the windows of its own
-  documents (a fixed share of all windows, so training grows with the corpus), and the parameters
-  are averaged over tasks in two aggregation levels, weighted by windows.  Only the averaged
+* Training is data-parallel and meets every window once: in every round each task runs AdaGrad
+  over another share of the windows of its own documents, and the parameters are averaged over tasks in two aggregation levels, weighted by windows.  Only the averaged
   parameters, whose size does not depend on the corpus, reach the driver.
 """
 
@@ -126,8 +125,7 @@ class Network:
         h, rows = self.hidden(context), np.arange(len(target))
         which, place = target // WIDTH, target % WIDTH
         out = self._log_softmax(h @ self.to_class + self.class_bias)[rows, which]
-        order = np.argsort(which, kind="stable")
-        cuts = np.searchsorted(which[order], np.arange(CLASSES + 1))
+        order, cuts = self._by_class(which)
         for c in range(CLASSES):
             at = order[cuts[c]:cuts[c + 1]]
             if len(at):
@@ -135,33 +133,54 @@ class Network:
                 out[at] += inner[np.arange(len(at)), place[at]]
         return out
 
+    @staticmethod
+    def _softmax(logits: np.ndarray) -> np.ndarray:
+        logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True)
+        return logits
+
+    @staticmethod
+    def _by_class(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(which.astype(np.int16), kind="stable")
+        return order, np.searchsorted(which[order], np.arange(CLASSES + 1))
+
     def train(self, context: np.ndarray, target: np.ndarray, past: Network, rate: float = 0.1) -> None:
         """One AdaGrad step on a mini-batch; ``past`` holds the sums of squared gradients."""
         n, rows = len(target), np.arange(len(target))
         h = self.hidden(context)
         which, place = target // WIDTH, target % WIDTH
-        p = np.exp(self._log_softmax(h @ self.to_class + self.class_bias))
+        p = self._softmax(h @ self.to_class + self.class_bias)
         p[rows, which] -= 1
         p /= n
         back = p @ self.to_class.T
         self._step(self.to_class, past.to_class, h.T @ p, rate)
         self._step(self.class_bias, past.class_bias, p.sum(0), rate)
-        order = np.argsort(which, kind="stable")
-        cuts = np.searchsorted(which[order], np.arange(CLASSES + 1))
+        order, cuts = self._by_class(which)
+        sorted_h = h[order]
+        q = self.word_bias[which[order]]
         for c in range(CLASSES):
-            at = order[cuts[c]:cuts[c + 1]]
-            if len(at):
-                q = np.exp(self._log_softmax(h[at] @ self.to_word[c] + self.word_bias[c]))
-                q[np.arange(len(at)), place[at]] -= 1
-                q /= n
-                back[at] += q @ self.to_word[c].T
-                self._step(self.to_word[c], past.to_word[c], h[at].T @ q, rate)
-                self._step(self.word_bias[c], past.word_bias[c], q.sum(0), rate)
+            if cuts[c] < cuts[c + 1]:
+                q[cuts[c]:cuts[c + 1]] += sorted_h[cuts[c]:cuts[c + 1]] @ self.to_word[c]
+        q = self._softmax(q)
+        q[rows, place[order]] -= 1
+        q /= n
+        inner, words, biases = np.empty_like(sorted_h), np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
+        for c in range(CLASSES):
+            at = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                inner[at] = q[at] @ self.to_word[c].T
+                words[c] = sorted_h[at].T @ q[at]
+                biases[c] = q[at].sum(0)
+        back[order] += inner
+        self._step(self.to_word, past.to_word, words, rate)
+        self._step(self.word_bias, past.word_bias, biases, rate)
         back *= 1 - h * h
         for table, squares, ids in zip(self.embed, past.embed, context, strict=True):
-            seen, where = np.unique(ids, return_inverse=True)
-            order = np.argsort(where, kind="stable")
-            grad = np.add.reduceat(back[order], np.searchsorted(where[order], np.arange(len(seen))), axis=0)
+            order = np.argsort(ids.astype(np.int16), kind="stable")
+            sorted_ids = ids[order]
+            first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
+            seen, grad = sorted_ids[first], np.add.reduceat(back[order], first, axis=0)
             squares[seen] += grad * grad
             table[seen] -= rate * grad / np.sqrt(squares[seen])
 
@@ -201,11 +220,11 @@ def averaged(parts: DataFrame, size: int) -> np.ndarray | None:
     return flat[:size]
 
 
-def train(docs: DataFrame, words: Vocabulary, rounds: int = 2, every: int = 24, batch: int = 1024) -> Network:
-    """A network after ``rounds`` rounds of averaging; round r trains on the windows whose running
-    number in their slice is r modulo ``every``: another fixed share of every document each round."""
+def train(docs: DataFrame, words: Vocabulary, every: int = 2, batch: int = 1024) -> Network:
+    """A network trained on every window once, in ``every`` rounds of averaging: round r trains on
+    the windows whose running number in their slice is r modulo ``every``."""
     context, network = docs.sparkSession.sparkContext, Network()
-    for r in range(rounds):
+    for r in range(every):
         shared = context.broadcast((words, network.flat))
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:

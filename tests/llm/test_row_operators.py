@@ -185,6 +185,19 @@ def test_lm_prefers_text_like_the_corpus(spark, docs):
         assert (got[d]["n_tokens"], got[d]["log_prob"], got[d]["mean_log_prob"]) == (0, 0.0, None)
 
 
+def test_lm_trains_on_every_window_once(spark, monkeypatch):
+    df = documents(spark, [(i, invented(random.Random(i), 50 + i)) for i in range(40)])
+    trained, averaged = [], masked_lm.averaged
+
+    def watched(parts, size):
+        trained.append(parts.where("chunk = 0").groupBy().sum("weight").first()[0])
+        return averaged(parts, size)
+
+    monkeypatch.setattr(masked_lm, "averaged", watched)
+    masked_lm.train(df, masked_lm.vocabulary(df))
+    assert sum(trained) == masked_lm.word_counts(df).groupBy().sum("n").first()[0]
+
+
 def test_lm_probabilities_sum_to_one():
     network, rng = masked_lm.Network(seed=3), np.random.default_rng(1)
     sides = np.repeat(rng.integers(0, masked_lm.IDS, (len(masked_lm.OFFSETS), 1)), masked_lm.IDS, axis=1)
