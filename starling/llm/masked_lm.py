@@ -5,8 +5,9 @@ in numpy; a document's score is the sum of the log-probabilities of all its word
 both sides.
 
 * Words are counted over the whole corpus.  The ``VOCABULARY`` commonest have an id of their own;
-  any other word has one of ``BUCKETS`` shared ids by its hash, and within the bucket all distinct
-  words of the corpus are equally likely.
+  any other word has one of ``BUCKETS`` shared ids by its hash, and within the bucket it is as
+  likely as its own corpus count says (a word the corpus lacks counts as one more in the bucket).
+  The counts stay a table, joined by word hash to the words of the documents.
 * Network: position-wise embeddings of the four neighbours are summed and squashed (tanh); the
   id is predicted in two softmax steps, its class (ids in blocks of ``WIDTH``) and its place in the class.
 * Training is data-parallel and meets every window once: in every round each task runs AdaGrad
@@ -40,10 +41,14 @@ NEW = [("n_tokens", T.LongType()), ("log_prob", T.DoubleType()), ("mean_log_prob
 
 
 class Vocabulary:
-    def __init__(self, top: np.ndarray, log_share: np.ndarray) -> None:
+    def __init__(self, top: np.ndarray, log_share: np.ndarray, counts: DataFrame | None = None) -> None:
         order = np.argsort(top)
         self.hashes, self.ids = top[order], order.astype(np.int32)  # ids by falling count
-        self.log_share = log_share  # of one word within its bucket
+        self.log_share = log_share  # of one occurrence within its bucket
+        self.counts = counts  # (word, n) of the words in buckets that occur more than once
+
+    def __getstate__(self) -> dict:  # tables stay with the driver
+        return self.__dict__ | {"counts": None}
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
         out = (VOCABULARY + (hashes % np.uint64(BUCKETS)).astype(np.int32)).astype(np.int32)
@@ -86,15 +91,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(docs: DataFrame) -> Vocabulary:
     counts = stored(word_counts(docs), "word-counts")
-    top = np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()], np.int64).view(np.uint64)
+    first = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    top, often = np.array([r["word"] for r in first], np.int64).view(np.uint64), np.array([r["n"] for r in first], np.int64)
     # the bucket of an unsigned hash, from its signed form (2^64 is a multiple of BUCKETS)
     bucket = F.pmod("word", F.lit(BUCKETS))
-    sizes = {r["b"]: r["n"] for r in counts.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    distinct = np.array([sizes.get(b, 0) for b in range(BUCKETS)], float)
-    np.subtract.at(distinct, (top % np.uint64(BUCKETS)).astype(int), 1)
+    sizes = {r["b"]: r["n"] for r in counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect()}
+    total = np.array([sizes.get(b, 0) for b in range(BUCKETS)], float)
+    np.subtract.at(total, (top % np.uint64(BUCKETS)).astype(int), often)
     share = np.zeros(IDS, np.float32)
-    share[VOCABULARY:VOCABULARY + BUCKETS] = -np.log(np.maximum(distinct, 1))
-    return Vocabulary(top, share)
+    share[VOCABULARY:VOCABULARY + BUCKETS] = -np.log(total + 1)
+    return Vocabulary(top, share, counts.where("n > 1"))
 
 
 class Network:
@@ -190,17 +196,18 @@ class Network:
         weights -= rate * grad / np.sqrt(squares)
 
 
-def token_windows(text: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Neighbour ids (one row per offset), target ids and ``first`` offsets by document."""
+def token_windows(text: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbour ids (one row per offset), target ids, ``first`` offsets by document and word hashes."""
     words = Words(text, lower=True)
-    ids = vocabulary.lookup(words.hashes())
+    hashes = words.hashes()
+    ids = vocabulary.lookup(hashes)
     n, at = len(ids), np.arange(len(ids))
     doc = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     context = np.full((len(OFFSETS), n), EDGE, np.int32)
     for row, o in zip(context, OFFSETS, strict=True):
         inside = (at + o >= words.first[:-1][doc]) & (at + o < words.first[1:][doc])
         row[inside] = ids[at[inside] + o]
-    return context, ids, words.first
+    return context, ids, words.first, hashes
 
 
 def averaged(parts: DataFrame, size: int) -> np.ndarray | None:
@@ -235,7 +242,7 @@ def train(docs: DataFrame, words: Vocabulary, every: int = 2, batch: int = 1024)
             held = 0
             for rows in batches:
                 for a, b in text_slices(rows.column(0)):
-                    sides, target, _ = token_windows(rows.column(0).slice(a, b - a), known)
+                    sides, target, _, _ = token_windows(rows.column(0).slice(a, b - a), known)
                     waiting.append((sides[:, r::every], target[r::every]))
                     held += len(waiting[-1][1])
                     while held >= batch:
@@ -276,17 +283,26 @@ def score_documents(docs: DataFrame, words: Vocabulary, network: Network, drop:
         if not held:
             held.append((shared.value[0], Network(shared.value[1])))
         known, model = held[0]
-        sides, target, first = token_windows(text, known)
+        sides, target, first, hashes = token_windows(text, known)
         each = np.zeros(len(target))
         for a in range(0, len(target), 8192):
             part = target[a:a + 8192]
             each[a:a + 8192] = model.log_probs(sides[:, a:a + 8192], part) + known.log_share[part]
         total = np.concatenate([[0.0], np.cumsum(each)])
         n, sums = np.diff(first), total[first[1:]] - total[first[:-1]]
-        mean = pa.array(sums / np.maximum(n, 1), mask=n == 0)
-        return [n, sums, mean]
-
-    return extended(docs, ["text"], NEW, score, drop)
+        shared_id = (target >= VOCABULARY) & (target < VOCABULARY + BUCKETS)
+        begin = np.concatenate([[0], np.cumsum(shared_id)])[first].astype(np.int32)
+        return [n, sums, pa.nulls(len(n), pa.float64()), pa.ListArray.from_arrays(begin, hashes[shared_id].view(np.int64))]
+
+    found = extended(docs, ["text"], [*NEW, ("__words", T.ArrayType(T.LongType()))], score, drop)
+    columns = found.drop("__words").columns
+    found = stored(found.withColumn("__row", F.monotonically_increasing_id()), "lm-scores")
+    inside = (found.select("__row", F.explode("__words").alias("word")).join(words.counts, "word")
+              .groupBy("__row").agg(F.sum(F.log("n")).alias("__inside")))
+    log_prob = F.col("log_prob") + F.coalesce("__inside", F.lit(0.0))
+    return (found.drop("__words").join(inside, "__row", "left").withColumn("log_prob", log_prob)
+            .withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+            .select(*[F.col(f"`{c}`") for c in columns]))
 
 
 def pseudo_likelihood(docs: DataFrame, drop: tuple[str, ...] = (), **options) -> DataFrame:

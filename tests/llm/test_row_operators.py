@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starling.llm import lang_id, license_scan, line_crf, masked_lm, quality_fm
@@ -198,6 +199,25 @@ def test_lm_trains_on_every_window_once(spark, monkeypatch):
     assert sum(trained) == masked_lm.word_counts(df).groupBy().sum("n").first()[0]
 
 
+def test_lm_tells_words_of_a_bucket_by_their_counts(spark):
+    names = pa.array([f"w{i}" for i in range(2000)])
+    in_bucket = np.flatnonzero(masked_lm.Words(names).hashes() % np.uint64(masked_lm.BUCKETS) == 5)
+    often, seldom, twice, unheard = [names[int(i)].as_py() for i in in_bucket[:4]]
+    common = [f"top{i}" for i in range(masked_lm.VOCABULARY)]
+    df = documents(spark, [(1, " ".join(common * 8)), (2, f"{often} " * 7 + f"{seldom} {twice} {twice}")])
+    words = masked_lm.vocabulary(df)
+    network = masked_lm.Network(np.zeros(len(masked_lm.Network().flat)))
+    rows = [(1, often), (2, seldom), (3, twice), (4, unheard), (5, f"{twice} {often} {often}"), (6, "top1"), (6, "top1"), (None, often)]
+    got = masked_lm.score_documents(documents(spark, rows), words, network).collect()
+    by_word = {r["doc_id"]: r["log_prob"] for r in got}
+    even = -np.log(masked_lm.CLASSES * masked_lm.WIDTH)
+    for d, n in ((1, 7), (2, 1), (3, 2), (4, 1), (None, 7)):  # 10 words of the corpus in the bucket, one to come
+        assert by_word[d] == pytest.approx(even + np.log(n / 11), abs=1e-4)
+    assert by_word[5] == pytest.approx(3 * even + np.log(2 * 7 * 7 / 11**3), abs=1e-4)
+    assert by_word[6] == pytest.approx(even, abs=1e-4) and len(got) == len(rows)
+    assert next(r["mean_log_prob"] for r in got if r["doc_id"] == 5) == pytest.approx(by_word[5] / 3)
+
+
 def test_lm_probabilities_sum_to_one():
     network, rng = masked_lm.Network(seed=3), np.random.default_rng(1)
     sides = np.repeat(rng.integers(0, masked_lm.IDS, (len(masked_lm.OFFSETS), 1)), masked_lm.IDS, axis=1)
