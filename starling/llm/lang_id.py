@@ -47,17 +47,21 @@ class Model:
 
 
 def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """(text, lang) of about ``per_language`` documents of each language, picked by a hash of the text."""
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not sizes:
-        return known
-    rate = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
-    return known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate[F.col("lang")] * (1 << 30))
+    """(text, lang) of ``per_language`` distinct texts of each language (all of them if there are
+    no more): those with the smallest hashes, however many rows repeat a text."""
+    known = (docs.where("text IS NOT NULL AND lang IS NOT NULL")
+             .select("text", "lang", F.xxhash64("text").alias("hash")))
+    smallest = Window.partitionBy("lang").orderBy("hash")
+    last = (known.select("lang", "hash").distinct().withColumn("place", F.row_number().over(smallest))
+            .where(F.col("place") <= per_language).groupBy("lang").agg(F.max("hash").alias("last")).collect())
+    if not last:
+        return known.select("text", "lang")
+    limit = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["last"])])
+    return known.where(F.col("hash") <= limit[F.col("lang")]).groupBy("text", "lang").agg(F.lit(1)).select("text", "lang")
 
 
 def train(docs: DataFrame, per_language: int = 1000, words: int = 20_000, ngrams: int = 10_000) -> Model:
-    """A model from ``docs`` (text, lang): counts of about ``per_language`` documents a
+    """A model from ``docs`` (text, lang): counts of ``per_language`` distinct documents a
     language; of each language its ``words`` commonest words and ``ngrams`` commonest
     n-grams of each length are known, the rest backs off.  No labelled row: no language."""
     def count(batches):

@@ -103,6 +103,16 @@ def test_language_edge_cases(spark, docs):
     assert lang_id.identify(documents(spark, []), model).collect() == []
 
 
+def test_copies_do_not_crowd_out_a_languages_other_texts(spark):
+    rng = random.Random(8)
+    other = [("xx", invented(rng, 20, "x")) for _ in range(60)] + [("yy", invented(rng, 20, "y")) for _ in range(5)]
+    rows = [("xx", "the same copied text")] * 30000 + other + other[:9] + [(None, "no language"), ("xx", None)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    got = [(r["lang"], r["text"]) for r in lang_id.training_rows(df, 50).collect()]
+    assert len(got) == len(set(got)) and set(got) <= set(rows)
+    assert Counter(lang for lang, _ in got) == {"xx": 50, "yy": 5}
+
+
 def test_unseen_words_back_off_to_shorter_grams():
     model = lang_id.Model(["a", "b"], [{"known": 0}, {"x": 1}, {"qu": 2}, {"que": 3}, {}],
                           np.array([[0, 0], [-9, -1], [-1, -2], [-3, -4]], np.float32))
