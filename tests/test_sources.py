@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.registry import clinic_registry
-from starling.sources.landing import read_json_landing, staging_refresh, landing_schema, staging_schema, type_landing
+from starling.sources.landing import landing_counts, read_json_landing, staging_refresh, landing_schema, staging_schema, type_landing
 from starling.sources.store import TableStore
 from starling.streaming.landing_stream import stream_landing_ingest
 
@@ -84,6 +84,29 @@ def test_stream_ingest_equals_batch(spark, tmp_root):
     assert again.count() == len(want)
 
 
+def test_corrupt_records_and_undeclared_keys_are_kept_and_counted(spark, tmp_root):
+    landing = tmp_root + "/landing"
+    os.makedirs(landing)
+    _write(landing, "1_20240101.json", {"case_id": "c1", "female_id": "f1", "outcome_id": "x"})
+    _write(landing, "2_20240101.json", {"case_id": "c2", "female_id": "f2", "outcome_id": "y", "note": {"a": 1}})
+    with open(landing + "/3_20240101.json", "w") as f:
+        f.write('{"case_id": "c3", "female_id": "f')
+    raw = read_json_landing(spark, landing, landing_schema(staging_schema()), "20240101")
+    assert [r["source_file"] for r in raw.where("_corrupt_record IS NOT NULL").collect()] == ["3_20240101.json"]
+    staged = staging_refresh(spark, landing, tmp_root + "/staging", "20240101")
+    assert sorted(r["case_id"] for r in staged.collect()) == ["c1", "c2"]
+    counts = landing_counts(spark, landing, landing_schema(staging_schema()), "20240101").collect()
+    assert {(r["problem"], r["key"]): r["n"] for r in counts} == {
+        ("corrupt_record", None): 1, ("undeclared_key", "outcome_id"): 2, ("undeclared_key", "note"): 1}
+    typed = T.StructType([T.StructField("case_id", T.StringType()), T.StructField("female_id", T.StringType())])
+    out = stream_landing_ingest(spark, landing, typed, tmp_root + "/stream", tmp_root + "/ckpt", multiline=True, partitioned=False)
+    assert sorted(r["case_id"] for r in out.collect()) == ["c1", "c2"]
+    for kept in ("/staging_quarantine", "/stream_quarantine"):
+        row, = spark.read.parquet(tmp_root + kept).collect()
+        assert (row["source_file"], row["reject_reason"]) == ("3_20240101.json", "corrupt_record")
+        assert row["_corrupt_record"].startswith('{"case_id": "c3"')
+
+
 def test_stream_incremental_load_is_idempotent(spark, tmp_root):
     from starling.streaming.landing_stream import stream_incremental_load
     landing = tmp_root + "/landing"
