@@ -38,23 +38,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest doc_id.
-
-    Of rows that repeat that doc_id the smallest (by text, then the other columns) stays.
-    Documents without a doc_id cannot be named as duplicates; they stay.
-    """
+    """One row of each component stays: the one with the smallest doc_id (null ids last), then
+    the smallest hash of the text and other columns.  Rows are told apart by an id of their own."""
     from starling.llm.jaccard_groups import jaccard_components
-    docs = docs.select(*COLUMNS)
-    found = jaccard_components(docs).where("doc_id IS NOT NULL")
-    others = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
-    again = stored(found.where("component_id = doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                   .where("n > 1").select("doc_id"), "repeated-ids")
-    left = docs.join(others, "doc_id", "left_anti").select(*COLUMNS)
-    if again.isEmpty():
-        return left
-    one = (left.join(again, "doc_id", "left_semi").groupBy("doc_id")
-           .agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*"))
-    return left.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(one)
+    docs = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = stored(jaccard_components(docs.select(F.col("row").alias("doc_id"), *COLUMNS[1:]))
+                   .select(F.col("doc_id").alias("row"), "component_id"), "near-duplicates")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *COLUMNS[1:], "row"))
+    kept = docs.withColumn("text", F.xxhash64("text")).join(found, "row").groupBy("component_id").agg(first.alias("first")).select("first.row")
+    others = found.select("row").join(kept, "row", "left_anti")
+    return docs.join(others, "row", "left_anti").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -312,6 +312,15 @@ def test_pipeline_stages(spark):
     assert good.join(kept, "doc_id", "left_anti").count() <= 0.05 * good.count()
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    import corpus_pipeline as cp
+    rng = random.Random(10)
+    a, b, c, d = (invented(rng, 80) for _ in range(4))
+    docs = documents(spark, [(1, a), (2, a), (2, b), (3, c), (3, d), (None, d), (None, d), (None, b)]).select(*cp.COLUMNS)
+    kept = [(r["doc_id"], r["text"]) for r in cp.near_duplicate_stage(spark, docs, SF_SMALL).collect()]
+    assert sorted(kept) == sorted([(1, a), (2, b), (3, c), (3, d)])
+
+
 def test_pipeline_run(spark):
     import corpus_pipeline as cp
     out = cp.run(spark, SF_SMALL)
