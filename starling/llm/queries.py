@@ -109,3 +109,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starling.llm.masked_lm import pseudo_likelihood
     return pseudo_likelihood(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+
+
+@bind("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.whitening import whitened_rows
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
