@@ -115,3 +115,15 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from starling.llm.whitening import whitened_rows
     return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+@bind("op12_topk_search")
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.topk_search import top_products
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@bind("op13_code_compression")
+def op13_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starling.llm.vector_codes import vector_codes
+    return vector_codes(table(spark, sf_dir, "embeddings"))
