@@ -9,8 +9,10 @@ ids) and fetches only the values whose count interval holds a target rank.
 
 from __future__ import annotations
 
+import bisect
+import functools
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,89 +164,103 @@ def mean_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- exact quantiles
 
-def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
-    """Exact ``quantile_cont`` (linear interpolation) of every column, all in one pass.
+class RankedColumns:
+    """The non-NULL values of several columns in order, after one ranked pass: values by rank.
 
     1. unpivot to (column, value) and count each distinct pair: partial aggregation turns
        a value held by a third of all rows into ONE row with a large count;
     2. range-partition the distinct pairs (balanced: no pair can be hot) and take running
        counts inside each partition (a window per range partition);
     3. the driver receives only per-partition and per-column totals (bounded by the
-       partition and column counts) and fetches the <= 2*len(cols)*len(probs) pairs whose
-       count interval holds a target rank.
+       partition and column counts) and fetches the pairs whose count interval holds a
+       wanted rank.
     """
+
+    def __init__(self, df: DataFrame, cols: Sequence[str]) -> None:
+        pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
+        counts = (df.select(F.inline(pairs))
+                    .where(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
+                    .groupBy("k", "v").agg(F.count(F.lit(1)).alias("__c")))
+        ranged = _ranged(counts, ["k", "v"], None)
+        w = Window.partitionBy(_PID).orderBy(_LOC).rowsBetween(Window.unboundedPreceding, -1)
+        self._cum = ranged.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+        self.count = dict.fromkeys(cols, 0) | {r["k"]: r["n"] for r in ranged.groupBy("k").agg(F.sum("__c").alias("n")).collect()}
+        part_tot = sorted((r[_PID], r["n"]) for r in ranged.groupBy(_PID).agg(F.sum("__c").alias("n")).collect())
+        self._starts, acc = [], 0                 # global rank where each range partition starts
+        for pid, n in part_tot:
+            self._starts.append((acc, pid))
+            acc += n
+        self._base, acc = {}, 0                   # global rank where each column starts
+        for k in sorted(self.count):
+            self._base[k] = acc
+            acc += self.count[k]
+
+    def at(self, wanted: Iterable[tuple[str, int]]) -> dict[tuple[str, int], tuple[float, int]]:
+        """(column, rank from 0) -> (the value there, how many values of the column are not larger)."""
+        places = {}
+        for c, rank in set(wanted):
+            start, pid = self._starts[bisect.bisect_right(self._starts, (self._base[c] + rank, math.inf)) - 1]
+            places[c, rank] = (start, pid, self._base[c] + rank - start)
+        if not places:
+            return {}
+        holds = [(F.col(_PID) == pid) & (F.col("__before") <= local) & (F.col("__before") + F.col("__c") > local)
+                 for _, pid, local in set(places.values())]
+        rows = self._cum.where(functools.reduce(lambda a, b: a | b, holds)).select(_PID, "__before", "__c", "v").collect()
+        found = {}
+        for (c, rank), (start, pid, local) in places.items():
+            r = next(r for r in rows if r[_PID] == pid and r["__before"] <= local < r["__before"] + r["__c"])
+            found[c, rank] = (r["v"], start + r["__before"] + r["__c"] - self._base[c])
+        return found
+
+
+def _between(position: float, value) -> float:
+    """Linear interpolation of ``value(rank)`` at a position between ranks."""
+    low, high = value(math.floor(position)), value(math.ceil(position))
+    return low if position == math.floor(position) else low + (position - math.floor(position)) * (high - low)
+
+
+def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
+    """Exact ``quantile_cont`` (linear interpolation) of every column, all in one ranked pass."""
     if not cols:
         return {}
-    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
-    counts = (df.select(F.inline(pairs))
-                .where(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
-                .groupBy("k", "v").agg(F.count(F.lit(1)).alias("__c")))
-    ranged = _ranged(counts, ["k", "v"], None)
-    w = Window.partitionBy(_PID).orderBy(_LOC).rowsBetween(Window.unboundedPreceding, -1)
-    cum = ranged.withColumn("__before", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    per_key = {r["k"]: r["n"] for r in ranged.groupBy("k").agg(F.sum("__c").alias("n")).collect()}
-    part_tot = sorted((r[_PID], r["n"]) for r in ranged.groupBy(_PID).agg(F.sum("__c").alias("n")).collect())
-    starts, acc = [], 0                       # global rank where each range partition starts
-    for pid, n in part_tot:
-        starts.append((acc, pid))
-        acc += n
-    key_base, acc = {}, 0                     # global rank where each column starts
-    for k in sorted(per_key):
-        key_base[k] = acc
-        acc += per_key[k]
-
-    def locate(g):
-        lo_i, hi_i = 0, len(starts) - 1
-        while lo_i < hi_i:
-            mid = (lo_i + hi_i + 1) // 2
-            if starts[mid][0] <= g:
-                lo_i = mid
-            else:
-                hi_i = mid - 1
-        return starts[lo_i][1], g - starts[lo_i][0]
-
-    wanted, plan = set(), {}
-    for c in cols:
-        n = per_key.get(c, 0)
-        plan[c] = []
-        for p in probs:
-            if n == 0:
-                plan[c].append(None)
-                continue
-            pos = p * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            a, b = locate(key_base[c] + lo), locate(key_base[c] + hi)
-            wanted.update([a, b])
-            plan[c].append((pos - lo, a, b))
-    rows_by_pid: dict = {}
-    if wanted:
-        cond = None
-        for pid, local in wanted:
-            e = ((F.col(_PID) == pid) & (F.col("__before") <= local)
-                 & (F.col("__before") + F.col("__c") > local))
-            cond = e if cond is None else cond | e
-        for r in cum.where(cond).select(_PID, "__before", "__c", "v").collect():
-            rows_by_pid.setdefault(r[_PID], []).append((r["__before"], r["__c"], r["v"]))
-
-    def value_at(loc):
-        pid, local = loc
-        for before, c, v in rows_by_pid[pid]:
-            if before <= local < before + c:
-                return v
-        raise AssertionError("rank not found")
-
-    out = {}
-    for c in cols:
-        res = []
-        for item in plan[c]:
-            if item is None:
-                res.append(None)
-                continue
-            frac, a, b = item
-            va, vb = value_at(a), value_at(b)
-            res.append(va if frac == 0 else va + frac * (vb - va))
-        out[c] = res
-    return out
+    ranked = RankedColumns(df, cols)
+    places = {c: [p * (ranked.count[c] - 1) for p in probs] if ranked.count[c] else None for c in cols}
+    found = ranked.at((c, f(x)) for c, xs in places.items() for x in xs or () for f in (math.floor, math.ceil))
+    return {c: [None] * len(probs) if xs is None else [_between(x, lambda r, c=c: found[c, r][0]) for x in xs]
+            for c, xs in places.items()}
+
+
+def clean_statistics(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: float = 0.99) -> DataFrame:
+    """One row per column: its median and the [lower, upper] quantiles it has once its missing values
+    are replaced by that median, all from one ranked pass; (column_name, n, missing, median, low, high),
+    NULL statistics where the column has no value."""
+    total = df.count()
+    ranked = RankedColumns(df, cols)
+    used = [c for c in cols if ranked.count[c]]
+    middle = {c: 0.5 * (ranked.count[c] - 1) for c in used}
+    first = ranked.at((c, f(x)) for c, x in middle.items() for f in (math.floor, math.ceil))
+    median = {c: _between(x, lambda r, c=c: first[c, r][0]) for c, x in middle.items()}
+    # in the filled column the missing values lie together, behind the values up to the median
+    below = {c: first[c, math.floor(x)][1] for c, x in middle.items()}
+    missing = {c: total - ranked.count[c] for c in cols}
+
+    def source(c: str, rank: int) -> int | None:
+        """The rank among the column's own values of a rank of the filled column; None: a filled one."""
+        if rank < below[c]:
+            return rank
+        return None if rank < below[c] + missing[c] else rank - missing[c]
+
+    places = {c: [p * (total - 1) for p in (lower, upper)] for c in used}
+    ranks = {(c, source(c, f(x))) for c, xs in places.items() for x in xs for f in (math.floor, math.ceil)}
+    found = ranked.at(r for r in ranks if r[1] is not None)
+
+    def value(c: str, rank: int) -> float:
+        own = source(c, rank)
+        return median[c] if own is None else found[c, own][0]
+
+    rows = [(c, total, missing[c], median[c], *[_between(x, lambda r, c=c: value(c, r)) for x in places[c]]) if c in median
+            else (c, total, missing[c], None, None, None) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column_name string, n long, missing long, median double, low double, high double")
 
 
 def quantile_stats(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.5, 0.01, 0.99),

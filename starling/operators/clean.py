@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.functions.exprs import (
-    contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
+    blank_to_null, contains_ci, strip_ws, iso_date, map_values as _map_values, null_label as _null_label,
     safe_ratio as _safe_ratio, try_date, try_integer, try_number,
 )
 from starling.operators.aggregates import drop_duplicate_rows, exact_percentiles, filled, value_or_null
@@ -136,6 +136,31 @@ def winsorize(df: DataFrame, cols: Sequence[str], lower: float = 0.01, upper: fl
     return df.withColumns(out) if out else df
 
 
+def apply_clean_statistics(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """B11 and B12 by statistics fitted before (:func:`~starling.operators.aggregates.clean_statistics`):
+    missing values -> the median, then clipped into [low, high].  A whole-number column keeps its type
+    (half up).  ``stats`` has one row per column; a column it does not know stays as it is."""
+    whole = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    out = {}
+    for r in stats.collect():  # one row a column
+        c = r["column_name"]
+        if c not in df.columns or r["median"] is None:
+            continue
+        x = F.coalesce(value_or_null(df, c).cast("double"), F.lit(r["median"]))
+        x = F.least(F.greatest(x, F.lit(r["low"])), F.lit(r["high"]))
+        out[c] = F.round(x).cast(whole[c]) if c in whole else x
+    return df.withColumns(out) if out else df
+
+
+def refused_values(casts: Mapping[str, tuple[Column, Column]]) -> Column:
+    """The values a cast refuses: ``casts`` maps a column name to (text, cast value); an array of
+    (column_name, value) of the texts that are not blank and became NULL, in order, empty if none did."""
+    kind = "array<struct<column_name:string,value:string>>"
+    found = [F.when(blank_to_null(text).isNotNull() & cast.isNull(), F.struct(F.lit(name).alias("column_name"), text.alias("value")))
+             for name, (text, cast) in casts.items()]
+    return F.filter(F.array(*found), lambda x: x.isNotNull()).cast(kind) if found else F.array().cast(kind)
+
+
 def fill_string_default(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
                         value: str = "Unknown") -> DataFrame:
     """NULL strings -> ``value``, except excluded (id) columns."""

@@ -6,6 +6,7 @@ All are pure ``DataFrame -> DataFrame``; the caller writes the result (sources.s
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from starling.functions.exprs import iso_date, try_date
 from starling.operators.joins import anti_join, join_null_safe
 from starling.operators.keys import row_index
 from starling.operators.windows import _pick_per_key, first_per_key
+from starling.session import written
 
 
 def build_dimension(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
@@ -25,7 +27,7 @@ def build_dimension(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
     return df.select(*cols).distinct()
 
 
-def _as_date(df: DataFrame, col: str) -> Column:
+def as_date(df: DataFrame, col: str) -> Column:
     dt = df.schema[col].dataType
     if isinstance(dt, T.DateType):
         return F.col(col)
@@ -50,7 +52,7 @@ def build_dim_time(df: DataFrame, date_col: str, existing: DataFrame | None = No
 
     Dates are de-duplicated after truncation to the day (repairs Q22); unparsable/NULL
     dates are dropped; ids continue after ``existing``'s max id, in date order."""
-    dates = df.select(_as_date(df, date_col).alias("d")).where(F.col("d").isNotNull()).distinct()
+    dates = df.select(as_date(df, date_col).alias("d")).where(F.col("d").isNotNull()).distinct()
     rows = calendar_rows(dates)
     base = 0
     if existing is not None:
@@ -65,9 +67,8 @@ def date_to_time_key(df: DataFrame, date_col: str, dim_time: DataFrame, out_col:
     """Map the row's date to ``time_id`` (LEFT join; unmatched/invalid -> NULL).
 
     dim_time has one row per calendar day, so the planner broadcasts it from its size."""
-    key = iso_date(_as_date(df, date_col))
+    key = iso_date(as_date(df, date_col))
     lk = dim_time.select(F.col("full_date").alias("__fd"), F.col(id_col).alias(out_col))
-    lk = lk
     return df.withColumn("__fd_key", key).join(lk, F.col("__fd_key") == F.col("__fd"), "left") \
              .drop("__fd_key", "__fd")
 
@@ -109,17 +110,29 @@ def build_bridge(raw: DataFrame, facts: DataFrame, case_col: str, sk_col: str, m
 
 
 def insert_or_ignore(target: DataFrame | None, batch: DataFrame, key_cols: Sequence[str],
-                     order_by: Sequence[str], unique_batch: bool = False) -> DataFrame:
+                     order_by: Sequence[str], unique_batch: bool = False, cut_target: bool = False) -> DataFrame:
     """Rows of ``batch`` to append under INSERT OR IGNORE with one unique key.
 
     First row per key wins inside the batch (explicit order, Q1); keys already in
     ``target`` are ignored; rows with a NULL key part never conflict (SQL UNIQUE, Q3).
     ``unique_batch=True`` skips the in-batch pick when the caller guarantees one row per
-    key (e.g. the output of :func:`build_fact`)."""
+    key (e.g. the output of :func:`build_fact`).
+
+    ``cut_target`` is for a batch read from files (cheap to read twice, its size known): the target is
+    first cut down to the batch's keys by a semi join, whose small side Spark broadcasts by its size (a
+    left anti join's cannot be), so a small batch does not shuffle the target."""
     cand = batch if unique_batch else first_per_key(batch, key_cols, order_by, null_keys_distinct=True)
     if target is None:
         return cand
-    return anti_join(cand, target, [(k, k) for k in key_cols])
+    held = rows_of_keys(target.select(*key_cols), batch, key_cols) if cut_target else target
+    return anti_join(cand, held, [(k, k) for k in key_cols])
+
+
+def rows_of_keys(target: DataFrame, batch: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key is one of ``batch``'s (NULL key parts match nothing)."""
+    keys = batch.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key_cols)]).distinct()
+    cond = functools.reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(key_cols)])
+    return target.join(keys, cond, "left_semi")
 
 
 def insert_or_ignore_multi(target: DataFrame | None, batch: DataFrame,
@@ -187,6 +200,30 @@ def upsert_last_wins(target: DataFrame | None, batch: DataFrame, key_cols: Seque
     return keep.unionByName(latest.select(*target.columns))
 
 
+def upsert_partitions(store, table: str, batch: DataFrame, key_cols: Sequence[str], order_by: Sequence[str],
+                      partition_by: str) -> list[str | None]:
+    """D10 on a stored table partitioned by ``partition_by`` (few values, e.g. months): last row wins.
+
+    The touched partitions are those of the batch and those that hold an old row of its keys; only
+    they are read whole and written anew, in place of their old folders.  A key that changes partition
+    leaves its old one.  Returns the touched values.  Rows with a NULL key part are added as they are."""
+    latest = written(_pick_per_key(batch, key_cols, order_by, True, True), "upsert-batch")
+    target = store.read_or_none(table)
+    if target is None:
+        store.replace(table, latest, partition_by)
+        return [r[0] for r in latest.select(partition_by).distinct().collect()]
+    old = rows_of_keys(target.select(*key_cols, partition_by), latest, key_cols).select(partition_by)
+    touched = [r[0] for r in old.union(latest.select(partition_by)).distinct().collect()]
+    if not touched:
+        return []
+    c = F.col(partition_by)
+    inside = c.isin([v for v in touched if v is not None])
+    inside = (inside | c.isNull()) if None in touched else inside
+    keep = anti_join(target.where(inside), latest, [(k, k) for k in key_cols])
+    store.replace_partitions(table, keep.unionByName(latest.select(*target.columns)), partition_by, touched)
+    return touched
+
+
 def fact_by_natural_keys(raw: DataFrame, lookups: Sequence[tuple[DataFrame, Sequence[str], str]],
                          how: str = "inner") -> DataFrame:
     """Resolve several dimension ids by their multi-column natural keys (null-safe)."""
@@ -199,10 +236,35 @@ def fact_by_natural_keys(raw: DataFrame, lookups: Sequence[tuple[DataFrame, Sequ
 def load_dimension_mode(store, table: str, cand: DataFrame, key_cols: Sequence[str], order_by: Sequence[str],
                         refresh: bool) -> DataFrame:
     """Refresh -> the table becomes this batch (keys still enforced, Q4);
-    incremental -> insert-or-ignore into the current table.  Writes a new version and
-    returns the published table."""
+    incremental -> the batch's new rows are appended to the current table (a batch without news
+    writes nothing).  Returns the published table."""
     target = None if refresh else store.read_or_none(table)
-    new = insert_or_ignore(target, cand, key_cols, order_by)
-    result = new if target is None else target.unionByName(new.select(*target.columns))
-    store.replace(table, result)
+    if target is None:
+        store.replace(table, insert_or_ignore(None, cand, key_cols, order_by))
+        return store.read(table)
+    batch = written(cand, "dimension-batch")
+    new = written(insert_or_ignore(target, batch, key_cols, order_by, cut_target=True).select(*target.columns), "dimension-rows")
+    if not new.isEmpty():
+        store.append(table, new)
     return store.read(table)
+
+
+REJECTS = "row_id string, reject_reason string, source_file string, refused array<struct<column_name:string,value:string>>, record string"
+
+
+def record_rejects(store, table: str, rows: DataFrame, reason: Column, source_file: Column | None = None,
+                   refused: Column | None = None, record: Column | None = None) -> int:
+    """Appends ``rows`` to the reject table, each distinct (reason, record, refused values) once however
+    often it is loaded; how many were new.  ``record`` is the row's text, its columns as JSON if none is given."""
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(rows.columns)]))
+    empty = F.lit(None).cast("array<struct<column_name:string,value:string>>")
+    kept = rows.select(reason.alias("reject_reason"), (source_file if source_file is not None else F.lit(None)).cast("string").alias("source_file"),
+                       (refused if refused is not None else empty).alias("refused"),
+                       (whole if record is None else F.coalesce(record, whole)).alias("record"))
+    key = F.sha2(F.to_json(F.struct("reject_reason", "record", "refused")), 256)
+    kept = written(kept.select(key.alias("row_id"), "*"), "rejects")
+    new = written(insert_or_ignore(store.read_or_none(table), kept, ["row_id"], ["source_file"], cut_target=True), "new-rejects")
+    n = new.count()
+    if n:
+        store.append(table, new)
+    return n

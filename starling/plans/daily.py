@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starling.functions.exprs import blank_to_null, try_date
 from starling.operators.clean import coerce_numeric, drop_all_null_rows, require_columns, trim_strings
 from starling.operators.keys import assign_incremental_keys
-from starling.operators.load import upsert_last_wins
+from starling.operators.load import record_rejects, upsert_last_wins, upsert_partitions
+from starling.session import written
 from starling.sources.files import read_files_glob
 from starling.sources.store import TableStore
 
@@ -35,15 +37,16 @@ DAILY_DIMENSIONS = {
 # Measures of the fact.
 DAILY_MEASURES = ("e2_on_trigger", "endometrium_thickness", "retrieved_oocytes", "fertilization_rate",
                   "pregnancy_test_result", "clinical_pregnancy", "live_birth", "success_probability_score")
-FACT = "fact_ivf_cycle"
+FACT, MONTH, REJECTED_DAILY = "fact_ivf_cycle", "case_month", "rejected_daily"
 
 
 @dataclass(frozen=True)
 class DailyLoad:
-    """What one run did: the fact rows inserted or updated and the dimensions it had no columns for."""
+    """What one run did: the fact rows inserted or updated, the dimensions it had no columns for."""
 
     fact_rows: int
     skipped_dimensions: tuple[str, ...]
+    months: tuple[str | None, ...] = ()  # the months of the fact that were written anew
 
 
 def sanitize(df: DataFrame) -> DataFrame:
@@ -52,13 +55,24 @@ def sanitize(df: DataFrame) -> DataFrame:
 
 
 def run_daily_load(spark: SparkSession, paths: str | Sequence[str], store: TableStore, order_by: Sequence[str],
-                   key: str = "case_id") -> DailyLoad:
-    """Loads the files into ``store``; of rows that share a case the last by ``order_by`` wins, over
-    the file rows as over the stored ones.  Dimension rows are matched null-safe on all their columns
-    and only new ones are appended; a dimension whose columns are not all there is skipped and its id
-    stays NULL.  Rows without a case are inserted as they are.  Loading a file twice changes no value."""
+                   key: str = "case_id", month_of: str | None = None) -> DailyLoad:
+    """Loads the files into ``store`` in one commit; of rows that share a case the last by ``order_by``
+    wins, over the file rows as over the stored ones.  Dimension rows are matched null-safe on all their
+    columns and only new ones are appended; a dimension whose columns are not all there is skipped and
+    its id stays NULL.  The fact is partitioned by ``case_month``, the month of the column ``month_of``
+    (the first of ``order_by`` if none is given; NULL where it is no date); only months of the files'
+    rows, or of stored rows of their cases, are written anew.
+
+    Rows without a case have no key to be updated by: they go to ``rejected_daily``, each distinct one
+    once.  Loading a file twice changes nothing."""
     df = sanitize(require_columns(read_files_glob(spark, paths), [key, *order_by]))
-    df = df.checkpoint(eager=True)  # read the files once
+    df = written(df.withColumn(key, blank_to_null(key)), "daily-files")  # read the files once
+    with store.transaction():
+        record_rejects(store, REJECTED_DAILY, df.where(F.col(key).isNull()), F.lit(f"null_{key}"))
+        return _load_cases(df.where(F.col(key).isNotNull()), store, order_by, key, month_of or order_by[0])
+
+
+def _load_cases(df: DataFrame, store: TableStore, order_by: Sequence[str], key: str, month_of: str) -> DailyLoad:
     skipped = []
     for table, (id_col, columns) in DAILY_DIMENSIONS.items():
         if any(c not in df.columns for c in columns):
@@ -66,16 +80,14 @@ def run_daily_load(spark: SparkSession, paths: str | Sequence[str], store: Table
             df = df.withColumn(id_col, F.lit(None).cast("long"))
             continue
         df, new = assign_incremental_keys(df, store.read_or_none(table), list(columns), id_col)
-        new = new.checkpoint(eager=True)
-        if store.exists(table):
-            if not new.isEmpty():
-                store.append(table, new)
-        else:
-            store.replace(table, new)
+        new = written(new, "dimension-rows")
+        if not store.exists(table) or not new.isEmpty():
+            store.append(table, new)
     ids = [id_col for id_col, _ in DAILY_DIMENSIONS.values()]
     known = [c if c in df.columns else F.lit(None).cast("string").alias(c) for c in DAILY_MEASURES]
     order = [f"__order{i}" for i in range(len(order_by))]
-    fact = df.select(key, *ids, *known, *[F.col(c).alias(o) for c, o in zip(order_by, order, strict=True)])
-    fact = upsert_last_wins(None, fact, [key], order).drop(*order).checkpoint(eager=True)
-    store.replace(FACT, upsert_last_wins(store.read_or_none(FACT), fact, [key], []))
-    return DailyLoad(fact.count(), tuple(skipped))
+    fact = df.select(key, *ids, *known, F.date_format(try_date(month_of), "yyyy-MM").alias(MONTH),
+                     *[F.col(c).alias(o) for c, o in zip(order_by, order, strict=True)])
+    fact = written(upsert_last_wins(None, fact, [key], order).drop(*order), "daily-cases")
+    months = upsert_partitions(store, FACT, fact, [key], [], MONTH)
+    return DailyLoad(fact.count(), tuple(skipped), tuple(sorted(months, key=lambda m: (m is None, m or ""))))

@@ -6,25 +6,30 @@ DataFrame; actions happen only at the sinks.  Each table is written as a new ver
 loading it is safe, and loading the same input twice leaves every table unchanged
 (keys: deterministic hashes of natural keys / case ids; inserts: insert-or-ignore).
 Raw rows without a case id have no key to be ignored by: they go to the table
-``rejected_raw`` (each distinct row once) and nowhere else.
+``rejected_raw`` (each distinct row once) and nowhere else.  Rows with values that a cast refuses
+are loaded with NULL there, and recorded in the same table with those values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.functions.exprs import blank_to_null, natural_key_text, try_integer, try_number
-from starling.operators.clean import drop_exact_duplicates, normalize_columns, rename_aliases, require_columns
+from starling.functions.exprs import blank_to_null, natural_key_text, try_date, try_integer, try_number
+from starling.operators.clean import (
+    apply_clean_statistics, drop_exact_duplicates, fill_string_default, map_values, normalize_columns, refused_values,
+    rename_aliases, require_columns, safe_ratio,
+)
 from starling.operators.keys import assign_incremental_keys, fill_missing_ids, row_index
 from starling.operators.load import (
-    build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
+    REJECTS, as_date, build_bridge, build_dim_time, date_to_time_key, insert_or_ignore, insert_or_ignore_multi, project_fact,
+    record_rejects, rows_of_keys,
 )
-from starling.operators.aggregates import duplicate_count, null_profile
+from starling.operators.aggregates import clean_statistics, duplicate_count, null_profile
 from starling.operators.joins import anti_join, join_null_safe
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
@@ -32,6 +37,7 @@ from starling.operators.quality import (
     validate,
 )
 from starling.registry import CLINIC_FK_CHECKS, Registry, clinic_registry
+from starling.session import written
 from starling.sources.store import TableStore
 
 # Column renames between generations of the raw table.
@@ -46,8 +52,13 @@ ZERO_MEASURES = ("e2_on_trigger", "endometrium_thickness", "follicles_18mm", "gv
                  "fertilized_oocytes", "cleavage_d3", "blastocyst_d5", "good_embryos")
 # Without these raw columns there is no transfer to load.
 TRANSFER_INPUTS = ("et_date", "embryos_transferred")
-REJECTED = "rejected_raw"
-ORDER_COL = "__row_ord"
+# Waiting period in days by risk level, and for every other level.
+WAITING_DAYS = {"High": 90, "Medium": 45, "Low": 30}
+DEFAULT_WAITING_DAYS = 30
+# measures the clean stage computes from others
+DERIVED_MEASURES = ("suggested_waiting_period_days", "class_a_rate")
+REJECTED, STATISTICS = "rejected_raw", "clean_statistics"
+ORDER_COL, REFUSED = "__row_ord", "__refused"
 # columns the load computes itself (never taken from the raw input)
 DERIVED_COLUMNS = ("doctor_id", "time_id", "cycle_start_time_id", "transfer_time_fk")
 
@@ -65,30 +76,38 @@ def _typed(df: DataFrame, name: str, dtype: T.DataType):
     return F.col(name).cast(dtype)
 
 
-def prepare_raw(raw: DataFrame, registry: Registry, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Clean + key the raw wide table: header normalisation, renames, required columns,
-    typed attributes, generated ids, doctor natural key, row order.  Exact duplicates are
-    dropped by the caller on the materialised result (identical raw rows stay identical
-    through these deterministic steps)."""
+def type_raw(raw: DataFrame, registry: Registry, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The raw wide table with the star's columns and types: header normalisation, renames, required
+    columns, typed attributes, doctor natural key, row order, and the values that casts refused
+    (``REFUSED``: an array of column name and original text)."""
     df = rename_aliases(normalize_columns(raw), RAW_ALIASES)
     require_columns(df, REQUIRED_RAW)
     order = [normalize_columns_name(c) for c in (order_by or ["case_id"])]
-    df = df.withColumn(ORDER_COL, F.struct(*[F.col(c) for c in order]))
-    typed = {}
+    void = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)}
+    df = df.withColumn(ORDER_COL, F.struct(*[F.col(c).cast("string").alias(c) if c in void else F.col(c) for c in order]))
+    typed, casts = {}, {}
     for spec in registry:
         for f in spec.schema.fields:
-            if f.name in typed or f.name.endswith("_sk") or f.name in DERIVED_COLUMNS:
+            if f.name in typed or f.name.endswith("_sk") or f.name in DERIVED_COLUMNS or f.name == spec.partition:
                 continue
             if spec.name == "dim_time":
                 continue
             typed[f.name] = _typed(df, f.name, f.dataType)
+            if f.name in df.columns and isinstance(df.schema[f.name].dataType, T.StringType) and not isinstance(f.dataType, T.StringType):
+                casts[f.name] = (F.col(f.name), typed[f.name])
     typed["case_id"] = blank_to_null("case_id")
     for c in ("doctor_name", "doctor_recommendation", "et_date"):
         typed[c] = blank_to_null(c) if c in df.columns else F.lit(None).cast("string")
-    if "et_date" in df.columns and not isinstance(df.schema["et_date"].dataType, T.StringType):
+    if "et_date" in df.columns and not isinstance(df.schema["et_date"].dataType, (T.StringType, T.NullType)):
         typed["et_date"] = F.col("et_date")
-    df = df.select(*[e.alias(n) for n, e in typed.items()], ORDER_COL)
-    df = df.withColumn("doctor_name", F.coalesce(F.col("doctor_name"), F.lit("Unknown")))
+    elif "et_date" in df.columns:
+        casts["et_date"] = (F.col("et_date").cast("string"), try_date("et_date"))
+    df = df.select(*[e.alias(n) for n, e in typed.items()], ORDER_COL, refused_values(casts).alias(REFUSED))
+    return df.withColumn("doctor_name", F.coalesce(F.col("doctor_name"), F.lit("Unknown")))
+
+
+def add_ids(df: DataFrame, registry: Registry) -> DataFrame:
+    """Generated ids: persons' from the case, shared dimensions' from their natural key."""
     for col, prefix in PERSON_IDS.items():
         df = fill_missing_ids(df, col, prefix, ["case_id"])
     for dim, prefix in HASHED_DIMENSIONS.items():
@@ -97,6 +116,32 @@ def prepare_raw(raw: DataFrame, registry: Registry, order_by: Sequence[str] | No
     return df
 
 
+def prepare_raw(raw: DataFrame, registry: Registry, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Clean + key the raw wide table.  Exact duplicates are dropped by the caller (identical raw
+    rows stay identical through these deterministic steps)."""
+    return add_ids(type_raw(raw, registry, order_by), registry)
+
+
+def clean_rows(df: DataFrame, store: TableStore, registry: Registry, raw_columns: Iterable[str], refresh: bool) -> DataFrame:
+    """The clean stage: every measure and numeric attribute of the raw data gets its missing values
+    filled with the column's median and is clipped to its 1 % and 99 % quantiles; text that is no id
+    becomes 'Unknown' where it is missing; the waiting period follows the risk level; the rate of good
+    embryos is theirs over those transferred (0 without any).
+
+    The statistics are fitted on the rows of a refreshing load (or of the first one), stored in the
+    table ``clean_statistics``, and reused by every later load, so a batch is cleaned alike whatever
+    else is in it."""
+    if refresh or not store.exists(STATISTICS):
+        numbers = [f.name for f in df.schema.fields if f.name in raw_columns and isinstance(f.dataType, T.NumericType)
+                   and f.name not in DERIVED_MEASURES]
+        store.replace(STATISTICS, clean_statistics(df, numbers))
+    df = apply_clean_statistics(df, store.read(STATISTICS))
+    df = map_values(df, "suggested_waiting_period_days", WAITING_DAYS, DEFAULT_WAITING_DAYS, source_col="risk_level")
+    df = safe_ratio(df, "good_embryos", "embryos_transferred", "class_a_rate")
+    ids = {f.name for f in df.schema.fields if f.name.endswith("_id")}
+    return fill_string_default(df, exclude={*ids, "et_date"})
+
+
 def normalize_columns_name(c: str) -> str:
     return c.strip().lower().replace(" ", "_")
 
@@ -115,55 +160,55 @@ def _insert_dimension(store: TableStore, spec, df: DataFrame, id_from_natural_ke
         # a missing part is a value of the natural key here (Q7, Q24), so it is compared as text
         keys = [spec.key, ("__nk",)]
         cand, target = [d.withColumn("__nk", natural_key_text(*spec.natural_key)) for d in (cand, target)]
-    cand = cand.checkpoint(eager=True)
+    cand = written(cand, "dimension-batch")
     if len(keys) <= 1 or id_from_natural_key:
         # one key, or ids hashed from the natural key: inside the batch equal natural keys
         # have equal ids, so picking the first row per id is the greedy result; against
         # the table every unique key is still checked
-        new = insert_or_ignore(target, cand, list(keys[0]), [ORDER_COL])
+        new = insert_or_ignore(target, cand, list(keys[0]), [ORDER_COL], cut_target=True)
         for extra in keys[1:]:
-            new = anti_join(new, target, [(k, k) for k in extra])
+            new = anti_join(new, rows_of_keys(target.select(*extra), cand, extra), [(k, k) for k in extra])
     else:
         ranked = row_index(cand, [ORDER_COL], "__seq")
         new = insert_or_ignore_multi(target, ranked, keys, "__seq").drop("__seq")
-    new = new.select(*spec.columns).checkpoint(eager=True)
+    new = written(new.select(*spec.columns), "dimension-rows")
     inserted = new.count()
     if inserted:
-        store.replace(spec.name, target.select(*spec.columns).unionByName(new))
+        store.append(spec.name, new)
     return cand.count(), inserted
 
 
 def _append_fact(store: TableStore, spec, cand: DataFrame, sk_col: str | None) -> tuple[int, int]:
     """Insert-or-ignore ``cand`` (already unique on the fact's key) and append it, with
     surrogate keys continuing after the table's max."""
-    cand = cand.checkpoint(eager=True)
+    cand = written(cand, "fact-batch")
     target = store.read(spec.name)
     key = list(spec.natural_key or spec.key)
     order = [ORDER_COL] if ORDER_COL in cand.columns else key
-    new = insert_or_ignore(target, cand, key, order, unique_batch=True)
+    new = insert_or_ignore(target, cand, key, order, unique_batch=True, cut_target=True)
     if sk_col is not None:
         base = target.agg(F.max(sk_col)).first()[0] or 0
         # row_index materialises its input (checkpoint), so the count below is cheap
         new = row_index(new.drop(sk_col), order, sk_col, start=int(base) + 1)
     else:
-        new = new.checkpoint(eager=True)
+        new = written(new, "fact-rows")
     new = new.select(*spec.columns)
     inserted = new.count()
     if inserted:
-        store.append(spec.name, new)
+        store.append(spec.name, new, spec.partition)
     return cand.count(), inserted
 
 
-def _quarantine(store: TableStore, rows: DataFrame, refresh: bool) -> int:
-    """Adds the distinct rows to ``rejected_raw`` (refresh: replaces it); how many it took."""
-    rows = rows.drop(ORDER_COL).dropDuplicates()
-    old = None if refresh else store.read_or_none(REJECTED)
-    both = rows if old is None else old.unionByName(rows).dropDuplicates()
-    both = both.checkpoint(eager=True)
-    n = both.count()
-    if n or (refresh and store.exists(REJECTED)):
-        store.replace(REJECTED, both)
-    return n
+def _set_aside(store: TableStore, df: DataFrame, refresh: bool) -> None:
+    """Records the rows without a case and the values that casts refused in ``rejected_raw`` (refresh:
+    starts it anew)."""
+    if refresh and store.exists(REJECTED):
+        store.replace(REJECTED, store.spark.createDataFrame([], REJECTS))
+    no_case, refused = F.col("case_id").isNull(), F.col(REFUSED)
+    rows = df.where(no_case | (F.size(refused) > 0)).drop(ORDER_COL)
+    reason = F.when(no_case, "null_case_id").otherwise("refused_values")
+    record = F.to_json(F.struct(*sorted(c for c in rows.columns if c != REFUSED)))
+    record_rejects(store, REJECTED, rows, reason, refused=F.when(F.size(refused) > 0, refused), record=record)
 
 
 def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry, dims: Sequence[str]) -> DataFrame:
@@ -179,35 +224,42 @@ def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry, dims: Se
 
 
 def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
-                 order_by: Sequence[str] | None = None, registry: Registry | None = None) -> DataFrame:
+                 order_by: Sequence[str] | None = None, registry: Registry | None = None, clean: bool = False) -> DataFrame:
     """Load ``raw`` into the star.  Returns the F14 summary (table, processed, inserted).
 
     ``refresh`` recreates empty tables first; otherwise the load is incremental.  Either
-    way keys are enforced (Q4) and a second run with the same input inserts nothing."""
+    way keys are enforced (Q4) and a second run with the same input inserts nothing.
+    ``clean`` runs the clean stage (:func:`clean_rows`) between typing and keying."""
     spark = raw.sparkSession
     reg = registry or clinic_registry()
     store.create_all(reg, refresh)
     raw_columns = set(rename_aliases(normalize_columns(raw), RAW_ALIASES).columns)
-    df = drop_exact_duplicates(prepare_raw(raw, reg, order_by)).checkpoint(eager=True)
+    typed = type_raw(raw, reg, order_by)
+    if clean:
+        typed = written(drop_exact_duplicates(typed), "typed-rows")
+        loaded = clean_rows(typed.where(F.col("case_id").isNotNull()), store, reg, raw_columns, refresh)
+        typed = loaded.unionByName(typed.where(F.col("case_id").isNull()).select(
+            *[F.col(c).cast(loaded.schema[c].dataType).alias(c) for c in loaded.columns]))
+    df = written(drop_exact_duplicates(add_ids(typed, reg)), "prepared-rows")
     summary = []
-    _quarantine(store, df.where(F.col("case_id").isNull()), refresh)
+    _set_aside(store, df, refresh)
     df = df.where(F.col("case_id").isNotNull())
 
     # doctors: incremental integer ids on the null-safe natural key
     doc = reg["dim_doctor"]
     _, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key), "doctor_id")
-    new_doctors = new_doctors.checkpoint(eager=True)
+    new_doctors = written(new_doctors.select(*doc.columns), "dimension-rows")
     n_doc = new_doctors.count()
     if n_doc:
-        store.replace("dim_doctor", store.read("dim_doctor").unionByName(new_doctors.select(*doc.columns)))
+        store.append("dim_doctor", new_doctors)
     summary.append(("dim_doctor", n_doc, n_doc))
 
     def load_calendar():
         old_time = store.read("dim_time")
-        new_time = build_dim_time(df, "et_date", old_time).checkpoint(eager=True)
+        new_time = written(build_dim_time(df, "et_date", old_time), "dimension-rows")
         n_time = new_time.count()
         if n_time:
-            store.replace("dim_time", old_time.unionByName(new_time))
+            store.append("dim_time", new_time)
         return ("dim_time", n_time, n_time)
 
     # the dimensions and the calendar are independent: submit them as concurrent Spark
@@ -230,7 +282,9 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     keyed = join_null_safe(firsts, store.read("dim_doctor"), list(doc.natural_key), "left")
     keyed = resolve_hashed_ids(keyed, store, reg, [d for d in resolved if d != "dim_embryo"])
     keyed = date_to_time_key(keyed, "et_date", dim_time, "cycle_start_time_id")
-    firsts = keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id")).checkpoint(eager=True)
+    month = F.date_format(as_date(keyed, "et_date"), "yyyy-MM")
+    keyed = keyed.withColumns({s.partition: month for s in (fc, ft) if s.partition})
+    firsts = written(keyed.withColumn("transfer_time_fk", F.col("cycle_start_time_id")), "first-rows")
     absent = [c for c in ZERO_MEASURES if c not in raw_columns]
     cyc = project_fact(firsts.drop(*absent), fc.columns + [ORDER_COL], fc.schema, defaults={c: 0 for c in absent})
     summary.append(("fact_ivf_cycle", *_append_fact(store, fc, cyc, "cycle_sk")))

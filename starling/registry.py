@@ -28,6 +28,7 @@ class TableSpec:
     surrogate: bool = False                   # key is generated 1..n (AUTOINCREMENT)
     foreign_keys: tuple[ForeignKey, ...] = ()
     required: tuple[str, ...] = ()            # columns that must not be NULL
+    partition: str | None = None              # text column the stored table is partitioned by
 
     @property
     def columns(self) -> list[str]:
@@ -73,7 +74,12 @@ def _schema(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def clinic_registry() -> Registry:
+# Tables and columns of the clinic star.
+def clinic_registry(partitioned: bool = False) -> Registry:
+    """``partitioned``: the facts carry and are stored by the month ('yyyy-MM') of their date."""
+    def by_month(columns: str, month: str) -> dict:
+        return {"schema": _schema(f"{columns}, {month} string" if partitioned else columns), "partition": month if partitioned else None}
+
     r = Registry()
     r.add(TableSpec("dim_female", _schema(
         "female_id string, female_age int, female_bmi double, amh_level double, fsh_level double, afc int"),
@@ -103,12 +109,12 @@ def clinic_registry() -> Registry:
         "time_id bigint, full_date string, day int, month int, month_name string, quarter int, "
         "year int, week int"),
         key=("time_id",), surrogate=True, natural_key=("full_date",)))
-    r.add(TableSpec("fact_ivf_cycle", _schema(
+    r.add(TableSpec("fact_ivf_cycle", **by_month(
         "cycle_sk bigint, case_id string, female_id string, male_id string, protocol_id string, "
         "doctor_id bigint, outcome_id string, cycle_start_time_id bigint, e2_on_trigger double, "
         "endometrium_thickness double, follicles_18mm int, retrieved_oocytes int, m2_count int, "
         "gv_count int, injected_m2 int, fertilized_oocytes int, fertilization_rate double, "
-        "cleavage_d3 int, blastocyst_d5 int, good_embryos int"),
+        "cleavage_d3 int, blastocyst_d5 int, good_embryos int", "cycle_month"),
         key=("cycle_sk",), surrogate=True, natural_key=("case_id",),
         foreign_keys=(ForeignKey("female_id", "dim_female", "female_id"),
                       ForeignKey("male_id", "dim_male", "male_id"),
@@ -119,10 +125,10 @@ def clinic_registry() -> Registry:
         required=("case_id", "female_id", "male_id")))
     # the reference declares no UNIQUE here (each incremental run re-appended all cases);
     # repaired: case_id is the natural key
-    r.add(TableSpec("fact_transfer", _schema(
+    r.add(TableSpec("fact_transfer", **by_month(
         "transfer_sk bigint, case_id string, transfer_time_fk bigint, doctor_id bigint, "
         "embryos_transferred int, pregnancy_test_result string, clinical_pregnancy int, "
-        "live_birth int, outcome_id string, success_probability_score double"),
+        "live_birth int, outcome_id string, success_probability_score double", "transfer_month"),
         key=("transfer_sk",), surrogate=True, natural_key=("case_id",),
         foreign_keys=(ForeignKey("transfer_time_fk", "dim_time", "time_id"),
                       ForeignKey("doctor_id", "dim_doctor", "doctor_id"),
@@ -136,7 +142,7 @@ def clinic_registry() -> Registry:
     return r
 
 
-# The five foreign-key checks of the validator (child, fk column, parent, parent column).
+# The five foreign-key checks of the validator (child, fk column, parent, parent column).
 CLINIC_FK_CHECKS = (
     ("fact_ivf_cycle", "cycle_start_time_id", "dim_time", "time_id"),
     ("fact_transfer", "transfer_time_fk", "dim_time", "time_id"),

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", app: str = "starling",
@@ -62,6 +62,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/starling-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared work folder and read back: a lost executor costs its running
+    tasks only, and the planner knows the true size (so it broadcasts a small batch by itself)."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so plain Python can touch test folders."""
     if path.startswith("file:"):

@@ -198,7 +198,9 @@ class TableStore:
         return (held[0][1].partition("=")[0] or None) if held else None
 
     def replace(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
-        """The table becomes ``df``."""
+        """The table becomes ``df``; a partitioned table keeps its partition column if ``df`` has it."""
+        kept = self.partition_of(table)
+        partition_by = partition_by or (kept if kept in df.columns else None)
         self._commit([(CLEAR, table, "", ""), *self._write(table, df, partition_by)])
         self._schemas[table] = df.schema
 
