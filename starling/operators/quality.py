@@ -102,14 +102,19 @@ def repair_duplicates(df: DataFrame) -> DataFrame:
     return drop_duplicate_rows(df)
 
 
-def _parent_keys(parent: DataFrame, pk: str) -> DataFrame:
-    return parent.select(F.col(pk).alias("__pk")).where(F.col("__pk").isNotNull()).distinct() \
-                 .withColumn("__hit", F.lit(True))
+def _with_hit(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """``child`` with ``__hit``: true where its FK is a parent key.  NULL FKs match nothing; each gets a
+    join key by a hash of its row, so that a hot NULL is spread over all partitions."""
+    key = F.concat(F.lit("k"), F.col(pk).cast(child.schema[fk].dataType).cast("string"))
+    keys = parent.where(F.col(pk).isNotNull()).select(key.alias("__pk")).distinct().withColumn("__hit", F.lit(True))
+    alone = F.concat(F.lit("n"), F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]).cast("string"))
+    own = F.when(F.col(fk).isNull(), alone).otherwise(F.concat(F.lit("k"), F.col(fk).cast("string")))
+    return child.withColumn("__fk", own).join(keys, F.col("__fk") == F.col("__pk"), "left")
 
 
 def repair_orphan_fk_to_null(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """FK values with no parent become NULL; other rows unchanged."""
-    j = child.join(_parent_keys(parent, pk), F.col(fk) == F.col("__pk"), "left")
+    j = _with_hit(child, fk, parent, pk)
     return j.withColumn(fk, F.when(F.col("__hit"), F.col(fk))).select(*child.columns)
 
 
@@ -117,20 +122,18 @@ def repair_delete_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
                           keep_null: bool = True) -> DataFrame:
     """Delete rows whose FK has no parent; NULL FKs are kept unless ``keep_null``
     is False (``DELETE ... WHERE fk NOT IN (SELECT pk ...)`` with the NULL-safe repair)."""
-    j = child.join(_parent_keys(parent, pk), F.col(fk) == F.col("__pk"), "left")
     keep = F.col("__hit").isNotNull()
     if keep_null:
         keep = keep | F.col(fk).isNull()
-    return j.where(keep).select(*child.columns)
+    return _with_hit(child, fk, parent, pk).where(keep).select(*child.columns)
 
 
 def repair_fk_to_min(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """FK values with no parent are replaced by MIN(parent key)."""
     m = parent.agg(F.min(pk)).first()[0]
-    j = child.join(_parent_keys(parent, pk), F.col(fk) == F.col("__pk"), "left")
     fixed = F.when(F.col(fk).isNull() | F.col("__hit").isNotNull(), F.col(fk)).otherwise(
         F.lit(m).cast(child.schema[fk].dataType))
-    return j.withColumn(fk, fixed).select(*child.columns)
+    return _with_hit(child, fk, parent, pk).withColumn(fk, fixed).select(*child.columns)
 
 
 def repair_placeholder_parents(parent: DataFrame, child: DataFrame, fk: str, pk: str,

@@ -7,5 +7,5 @@ Importing this package registers everything.
 
 from starling.plans.bindings.common import ORACLE, QUERIES  # noqa: F401
 from starling.plans.bindings import (  # noqa: F401
-    sources, clean, keys_load, joins_aggs, quality_reports, stream,
+    sources, clean, keys_load, joins_aggs, quality_reports, stream, incremental,
 )

@@ -39,12 +39,20 @@ def dashboard_kpis(fact_cycle: DataFrame, fact_transfer: DataFrame, patient_col:
 
 def dashboard_monthly(fact: DataFrame, dim_time: DataFrame, fk: str = "cycle_start_time_id",
                       pk: str = "time_id", date_col: str = "full_date", patient_col: str = "female_id",
-                      limit: int | None = 6, latest: bool = False) -> DataFrame:
+                      limit: int | None = 6, latest: bool = False, days: str | None = None,
+                      month_col: str = "cycle_month") -> DataFrame:
     """Distinct patients per 'YYYY-MM' of the cycle date; first ``limit`` months
-    ascending (the reference's ``ORDER BY month LIMIT 6``), or the newest with ``latest``."""
-    t = dim_time.select(F.col(pk).alias("__pk"),
-                                          F.substring(F.col(date_col).cast("string"), 1, 7).alias("month"))
-    j = fact.select(fk, patient_col).join(t, F.col(fk) == F.col("__pk"), "inner")
+    ascending (the reference's ``ORDER BY month LIMIT 6``), or the newest with ``latest``.
+
+    ``days``: a condition on the calendar (e.g. one year's quarter).  Where the fact is stored by month
+    (``month_col``), it is joined on the month as well, so that Spark reads only the months whose days
+    passed the condition (dynamic partition pruning)."""
+    calendar = dim_time if days is None else dim_time.where(days)
+    t = calendar.select(F.col(pk).alias("__pk"), F.substring(F.col(date_col).cast("string"), 1, 7).alias("month"))
+    on, stored = F.col(fk) == F.col("__pk"), [month_col] if month_col in fact.columns else []
+    for c in stored:
+        on = on & (F.col(c) == F.col("month"))
+    j = fact.select(fk, patient_col, *stored).join(t, on, "inner")
     g = j.groupBy("month").agg(F.count_distinct(patient_col).alias("cnt"))
     if limit is None:
         return g

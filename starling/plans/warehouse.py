@@ -31,6 +31,7 @@ from starling.operators.load import (
 )
 from starling.operators.aggregates import clean_statistics, duplicate_count, null_profile
 from starling.operators.joins import anti_join, join_null_safe
+from starling.operators.sketches import quantile_sketches, sketched_statistics
 from starling.operators.windows import first_per_key
 from starling.operators.quality import (
     fk_orphan_count, repair_delete_orphans, repair_duplicates, repair_orphan_fk_to_null, repair_required_nulls,
@@ -57,7 +58,7 @@ WAITING_DAYS = {"High": 90, "Medium": 45, "Low": 30}
 DEFAULT_WAITING_DAYS = 30
 # measures the clean stage computes from others
 DERIVED_MEASURES = ("suggested_waiting_period_days", "class_a_rate")
-REJECTED, STATISTICS = "rejected_raw", "clean_statistics"
+REJECTED, STATISTICS, SKETCHES = "rejected_raw", "clean_statistics", "quantile_sketches"
 ORDER_COL, REFUSED = "__row_ord", "__refused"
 # columns the load computes itself (never taken from the raw input)
 DERIVED_COLUMNS = ("doctor_id", "time_id", "cycle_start_time_id", "transfer_time_fk")
@@ -122,7 +123,8 @@ def prepare_raw(raw: DataFrame, registry: Registry, order_by: Sequence[str] | No
     return add_ids(type_raw(raw, registry, order_by), registry)
 
 
-def clean_rows(df: DataFrame, store: TableStore, registry: Registry, raw_columns: Iterable[str], refresh: bool) -> DataFrame:
+def clean_rows(df: DataFrame, store: TableStore, registry: Registry, raw_columns: Iterable[str], refresh: bool,
+               sketched: bool = False) -> DataFrame:
     """The clean stage: every measure and numeric attribute of the raw data gets its missing values
     filled with the column's median and is clipped to its 1 % and 99 % quantiles; text that is no id
     becomes 'Unknown' where it is missing; the waiting period follows the risk level; the rate of good
@@ -130,10 +132,15 @@ def clean_rows(df: DataFrame, store: TableStore, registry: Registry, raw_columns
 
     The statistics are fitted on the rows of a refreshing load (or of the first one), stored in the
     table ``clean_statistics``, and reused by every later load, so a batch is cleaned alike whatever
-    else is in it."""
-    if refresh or not store.exists(STATISTICS):
-        numbers = [f.name for f in df.schema.fields if f.name in raw_columns and isinstance(f.dataType, T.NumericType)
-                   and f.name not in DERIVED_MEASURES]
+    else is in it.  ``sketched``: every load adds its own quantile sketches (table
+    ``quantile_sketches``) and is cleaned by the estimates of all loads so far, without a ranked pass."""
+    numbers = [f.name for f in df.schema.fields if f.name in raw_columns and isinstance(f.dataType, T.NumericType)
+               and f.name not in DERIVED_MEASURES]
+    if sketched:
+        own = written(quantile_sketches(df, numbers), "quantile-sketches")
+        (store.replace if refresh else store.append)(SKETCHES, own)
+        store.replace(STATISTICS, sketched_statistics(store.read(SKETCHES)))
+    elif refresh or not store.exists(STATISTICS):
         store.replace(STATISTICS, clean_statistics(df, numbers))
     df = apply_clean_statistics(df, store.read(STATISTICS))
     df = map_values(df, "suggested_waiting_period_days", WAITING_DAYS, DEFAULT_WAITING_DAYS, source_col="risk_level")
@@ -224,12 +231,13 @@ def resolve_hashed_ids(df: DataFrame, store: TableStore, reg: Registry, dims: Se
 
 
 def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
-                 order_by: Sequence[str] | None = None, registry: Registry | None = None, clean: bool = False) -> DataFrame:
+                 order_by: Sequence[str] | None = None, registry: Registry | None = None, clean: bool | str = False) -> DataFrame:
     """Load ``raw`` into the star.  Returns the F14 summary (table, processed, inserted).
 
     ``refresh`` recreates empty tables first; otherwise the load is incremental.  Either
     way keys are enforced (Q4) and a second run with the same input inserts nothing.
-    ``clean`` runs the clean stage (:func:`clean_rows`) between typing and keying."""
+    ``clean`` runs the clean stage (:func:`clean_rows`) between typing and keying; "sketch" runs it on
+    merged quantile sketches."""
     spark = raw.sparkSession
     reg = registry or clinic_registry()
     store.create_all(reg, refresh)
@@ -237,7 +245,7 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     typed = type_raw(raw, reg, order_by)
     if clean:
         typed = written(drop_exact_duplicates(typed), "typed-rows")
-        loaded = clean_rows(typed.where(F.col("case_id").isNotNull()), store, reg, raw_columns, refresh)
+        loaded = clean_rows(typed.where(F.col("case_id").isNotNull()), store, reg, raw_columns, refresh, clean == "sketch")
         typed = loaded.unionByName(typed.where(F.col("case_id").isNull()).select(
             *[F.col(c).cast(loaded.schema[c].dataType).alias(c) for c in loaded.columns]))
     df = written(drop_exact_duplicates(add_ids(typed, reg)), "prepared-rows")
