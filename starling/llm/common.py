@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -17,15 +19,46 @@ from starling.session import work_dir
 SLICE_BYTES = 2 << 20
 
 
+#: Paths written by ``stored`` inside ``working_tables``, innermost last.
+_MADE: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared work folder and read back.
 
     Cuts the lineage at files every executor can see (a lost executor costs only its
     running tasks), pins non-deterministic ids, and gives the planner real sizes.
     """
-    path = work_dir(df.sparkSession, name)
+    spark, path = df.sparkSession, work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _MADE:
+        _MADE[-1].append(path)
+        settle(spark)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of finished jobs now: it acts when the driver's
+    garbage is collected, which a driver with little to do may not come to for half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def working_tables() -> Iterator[list[str]]:
+    """Collects the paths of the tables written inside, for ``delete_tables``, and settles after each."""
+    _MADE.append([])
+    try:
+        yield _MADE[-1]
+    finally:
+        _MADE.pop()
+
+
+def delete_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes working tables on whatever file system holds them."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def text_slices(text: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
