@@ -212,18 +212,20 @@ class TpchStar:
                           F.month("o_orderdate").alias("retrieved_oocytes"),
                           F.dayofmonth("o_orderdate").alias("blastocyst_d5"))
 
-    def _fact_transfer(self):
+    def _transfer_lines(self):
         li, o = self._t("lineitem"), self._t("orders")
         lines = li.join(o.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
                         li["l_orderkey"] == o["o_orderkey"])
-        lines = row_index(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *LINE_TIEBREAK],
+        return lines.withColumn("live_birth", F.when(F.col("l_linestatus") == "F", 1).otherwise(0))
+
+    def _fact_transfer(self):
+        lines = row_index(self["transfer_lines"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *LINE_TIEBREAK],
                           "transfer_sk")
         lines = date_to_time_key(lines, "l_shipdate", self["dim_time"], "transfer_time_fk")
         return lines.select("transfer_sk", F.col("l_orderkey").cast("string").alias("case_id"), "transfer_time_fk",
                             F.col("l_quantity").cast("int").alias("embryos_transferred"),
                             F.col("l_returnflag").alias("pregnancy_test_result"),
-                            F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("live_birth"),
-                            self._outcome_id().alias("outcome_id"))
+                            "live_birth", self._outcome_id().alias("outcome_id"))
 
 
 def tpch_star(spark, sf) -> TpchStar:
@@ -265,7 +267,7 @@ k AS (SELECT (SELECT count(DISTINCT female_id) FROM fact_ivf_cycle) AS total_pat
 SELECT *, coalesce(round(100.0 * live_births / nullif(total_transfers, 0), 1), 0.0) AS success_rate FROM k""")
 def q_dashboard_kpis(spark, sf):
     s = tpch_star(spark, sf)
-    return R.dashboard_kpis(s["fact_ivf_cycle"], s["fact_transfer"])
+    return R.dashboard_kpis(s["fact_ivf_cycle"], s["transfer_lines"])  # no ids: nothing here reads them
 
 
 @bind("dashboard_monthly", STAR_SQL + """ SELECT substr(t.full_date, 1, 7) AS month, count(DISTINCT f.female_id) AS cnt
@@ -299,7 +301,7 @@ def q_patients_list(spark, sf):
     return R.patients_list(tpch_star(spark, sf)["dim_female"])
 
 
-@bind("patient_profile", STAR_SQL + """,
+_PROFILE_SQL = STAR_SQL + """,
 latest AS (SELECT * FROM fact_ivf_cycle WHERE female_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY female_id ORDER BY cycle_sk DESC) = 1),
 lt AS (SELECT * FROM fact_transfer WHERE case_id IS NOT NULL
@@ -311,13 +313,31 @@ SELECT l.female_id, l.cycle_sk, l.case_id, f.female_age, f.female_bmi, m.male_id
 FROM latest l JOIN dim_female f ON l.female_id = f.female_id LEFT JOIN dim_male m ON l.male_id = m.male_id
   LEFT JOIN dim_doctor d ON l.doctor_id = d.doctor_id LEFT JOIN dim_outcome o ON l.outcome_id = o.outcome_id
   LEFT JOIN dim_time t ON l.cycle_start_time_id = t.time_id LEFT JOIN lt ON l.case_id = lt.case_id
-  LEFT JOIN dim_time t2 ON lt.transfer_time_fk = t2.time_id LEFT JOIN dim_outcome o2 ON lt.outcome_id = o2.outcome_id""")
+  LEFT JOIN dim_time t2 ON lt.transfer_time_fk = t2.time_id LEFT JOIN dim_outcome o2 ON lt.outcome_id = o2.outcome_id"""
+
+
+@bind("patient_profile", _PROFILE_SQL)
 def q_patient_profile(spark, sf):
     s = tpch_star(spark, sf)
     return R.patient_profile(s["fact_ivf_cycle"], s["fact_transfer"], s["dim_female"], s["dim_male"],
                              s["dim_doctor"], s["dim_outcome"], s["dim_time"])
 
 
+@bind("patient_profile_nested", f"""SELECT female_id, case_id AS basic_case_id, female_age AS basic_female_age, male_id AS basic_male_id,
+  doctor_recommendation AS basic_doctor_recommendation, risk_level AS basic_risk_level, cycle_date AS cycle_date, retrieved_oocytes AS cycle_retrieved,
+  blastocyst_d5 AS cycle_blast_d5, risk_level AS cycle_status, transfer_sk IS NOT NULL AS has_transfer, transfer_date,
+  pregnancy_test_result AS transfer_preg_test, transfer_live_birth, transfer_outcome FROM ({_PROFILE_SQL})""")
+def q_patient_profile_nested(spark, sf):
+    """The nested row (basic, latest_cycle, transfer or NULL) of every patient, read field by field."""
+    s = tpch_star(spark, sf)
+    nested = R.patient_profile(s["fact_ivf_cycle"], s["fact_transfer"], s["dim_female"], s["dim_male"],
+                               s["dim_doctor"], s["dim_outcome"], s["dim_time"], nested=True)
+    basic = [F.col(f"basic.{c}").alias(f"basic_{c}") for c in ("case_id", "female_age", "male_id", "doctor_recommendation", "risk_level")]
+    cycle = [F.col(f"latest_cycle.{c}").alias(f"cycle_{c}") for c in ("date", "retrieved", "blast_d5", "status")]
+    transfer = [F.col(f"transfer.{c}").alias(f"transfer_{c}") for c in ("date", "preg_test", "live_birth", "outcome")]
+    return nested.select("female_id", *basic, *cycle, F.col("transfer").isNotNull().alias("has_transfer"), *transfer)
+
+
 @bind("warehouse_summary", STAR_SQL + """ SELECT 'total_female' AS metric, CAST(NULL AS VARCHAR) AS label,
   count(*) AS value FROM dim_female
 UNION ALL SELECT 'total_male', NULL, count(*) FROM dim_male
