@@ -263,6 +263,8 @@ def record_rejects(store, table: str, rows: DataFrame, reason: Column, source_fi
                        (whole if record is None else F.coalesce(record, whole)).alias("record"))
     key = F.sha2(F.to_json(F.struct("reject_reason", "record", "refused")), 256)
     kept = written(kept.select(key.alias("row_id"), "*"), "rejects")
+    if kept.isEmpty():
+        return 0
     new = written(insert_or_ignore(store.read_or_none(table), kept, ["row_id"], ["source_file"], cut_target=True), "new-rejects")
     n = new.count()
     if n:

@@ -158,22 +158,27 @@ def _dimension_candidates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.min(ORDER_COL).alias(ORDER_COL))
 
 
+def _held(store: TableStore, table: str) -> DataFrame | None:
+    """The table, or None while it has no rows to compare with."""
+    return store.read(table) if store.folders(table) else None
+
+
 def _insert_dimension(store: TableStore, spec, df: DataFrame, id_from_natural_key: bool = False
                       ) -> tuple[int, int]:
     cand = _dimension_candidates(df, spec.columns)
-    target = store.read(spec.name)
+    target = _held(store, spec.name)
     keys = spec.unique_keys()
     if spec.name in HASHED_DIMENSIONS:
         # a missing part is a value of the natural key here (Q7, Q24), so it is compared as text
         keys = [spec.key, ("__nk",)]
-        cand, target = [d.withColumn("__nk", natural_key_text(*spec.natural_key)) for d in (cand, target)]
+        cand, target = [d if d is None else d.withColumn("__nk", natural_key_text(*spec.natural_key)) for d in (cand, target)]
     cand = written(cand, "dimension-batch")
     if len(keys) <= 1 or id_from_natural_key:
         # one key, or ids hashed from the natural key: inside the batch equal natural keys
         # have equal ids, so picking the first row per id is the greedy result; against
         # the table every unique key is still checked
         new = insert_or_ignore(target, cand, list(keys[0]), [ORDER_COL], cut_target=True)
-        for extra in keys[1:]:
+        for extra in keys[1:] if target is not None else ():
             new = anti_join(new, rows_of_keys(target.select(*extra), cand, extra), [(k, k) for k in extra])
     else:
         ranked = row_index(cand, [ORDER_COL], "__seq")
@@ -189,12 +194,12 @@ def _append_fact(store: TableStore, spec, cand: DataFrame, sk_col: str | None) -
     """Insert-or-ignore ``cand`` (already unique on the fact's key) and append it, with
     surrogate keys continuing after the table's max."""
     cand = written(cand, "fact-batch")
-    target = store.read(spec.name)
+    target = _held(store, spec.name)
     key = list(spec.natural_key or spec.key)
     order = [ORDER_COL] if ORDER_COL in cand.columns else key
     new = insert_or_ignore(target, cand, key, order, unique_batch=True, cut_target=True)
     if sk_col is not None:
-        base = target.agg(F.max(sk_col)).first()[0] or 0
+        base = 0 if target is None else target.agg(F.max(sk_col)).first()[0] or 0
         # row_index materialises its input (checkpoint), so the count below is cheap
         new = row_index(new.drop(sk_col), order, sk_col, start=int(base) + 1)
     else:
@@ -255,7 +260,7 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
 
     # doctors: incremental integer ids on the null-safe natural key
     doc = reg["dim_doctor"]
-    _, new_doctors = assign_incremental_keys(df, store.read("dim_doctor"), list(doc.natural_key), "doctor_id")
+    _, new_doctors = assign_incremental_keys(df, _held(store, "dim_doctor"), list(doc.natural_key), "doctor_id")
     new_doctors = written(new_doctors.select(*doc.columns), "dimension-rows")
     n_doc = new_doctors.count()
     if n_doc:
@@ -263,7 +268,7 @@ def run_full_etl(raw: DataFrame, store: TableStore, refresh: bool = True,
     summary.append(("dim_doctor", n_doc, n_doc))
 
     def load_calendar():
-        old_time = store.read("dim_time")
+        old_time = _held(store, "dim_time")
         new_time = written(build_dim_time(df, "et_date", old_time), "dimension-rows")
         n_time = new_time.count()
         if n_time:
