@@ -3,25 +3,28 @@
 A word known from training adds its log frequency in each language.  An unseen word backs
 off: the mean log frequency of its known 4-grams (with word boundary marks), or if none is
 known of its 3-grams, 2-grams, letters.  The language with the largest sum wins; the score
-is its share after a softmax of sums scaled to at most ``SHARP`` words.
+is its share after a softmax of sums scaled to at most ``SHARP`` words.  Words are runs of
+letters with their combining marks, in any script.
 """
 
 from __future__ import annotations
 
-import re
+import math
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starling.llm.common import extended
 
-LETTER_RUNS = re.compile(r"[^\W\d_]+")
+LETTER_RUNS = regex.compile(r"\p{L}[\p{L}\p{M}\u200c\u200d]*")  # with (non-)joiners, which stand inside words
 LONGEST, UNKNOWN, SHARP = 4, "und", 20
-CACHED_WORDS = 100_000  # unseen words remembered by a task before it starts over
+CACHED_WORDS = 100_000  # words whose rows a task remembers before it starts over
+HELD_GRAMS = 1 << 20  # a task hands its counts on whenever it holds so many
 NEW = [("lang_pred", T.StringType()), ("score", T.DoubleType())]
 
 
@@ -32,10 +35,32 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+class Logs:
+    """Log frequencies of words and n-grams (rows) in languages (columns).  Held are only the languages a
+    row was found in; in the others it has half a count.  ``logs[rows]`` is the dense matrix of some rows."""
+
+    def __init__(self, row: np.ndarray, lang: np.ndarray, n: np.ndarray, kind: np.ndarray, totals: np.ndarray) -> None:
+        order = np.argsort(row, kind="stable")
+        self.first = np.searchsorted(row[order], np.arange(len(kind) + 1))
+        self.lang, self.gain = lang[order], np.log(n[order] / 0.5).astype(np.float32)
+        self.kind, self.base = kind, np.log(0.5 / totals).astype(np.float32)
+
+    def __len__(self) -> int:
+        return len(self.kind)
+
+    def __getitem__(self, rows: list[int]) -> np.ndarray:
+        at = np.asarray(rows, np.int64)
+        out, begin = self.base[self.kind[at]], self.first[at]
+        size = self.first[at + 1] - begin
+        held = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        out[np.repeat(np.arange(len(at)), size), self.lang[held]] += self.gain[held]
+        return out
+
+
 class Model:
     """``rows`` maps words (order 0) and n-grams (order n) to rows of ``logs`` (languages in columns)."""
 
-    def __init__(self, languages: list[str], rows: list[dict[str, int]], logs: np.ndarray) -> None:
+    def __init__(self, languages: list[str], rows: list[dict[str, int]], logs: np.ndarray | Logs) -> None:
         self.languages, self.rows, self.logs = languages, rows, logs
 
     def unseen(self, word: str) -> np.ndarray:
@@ -48,23 +73,36 @@ class Model:
 
 def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
     """(text, lang) of ``per_language`` distinct texts of each language (all of them if there are
-    no more): those with the smallest hashes, however many rows repeat a text."""
+    no more): those with the smallest hashes, however many rows repeat a text.
+
+    Distinct hashes are counted first, combined before each shuffle; only the smallest share of them,
+    a little over ``per_language`` a language, meets in the task that ranks a language."""
     known = (docs.where("text IS NOT NULL AND lang IS NOT NULL")
              .select("text", "lang", F.xxhash64("text").alias("hash")))
+    kinds = known.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
+    sizes = kinds.groupBy("lang").count().collect()
+    if not sizes:
+        return known.select("text", "lang")
+    enough = per_language + 10 * math.sqrt(per_language) + 100  # ten deviations more than are wanted
+    below = F.create_map(*[F.lit(x) for r in sizes
+                           for x in (r["lang"], int(min(1.0, enough / r["count"]) * (2**64 - 2**11)) - 2**63)])
     smallest = Window.partitionBy("lang").orderBy("hash")
-    last = (known.select("lang", "hash").distinct().withColumn("place", F.row_number().over(smallest))
+    last = (kinds.where(F.col("hash") <= below[F.col("lang")]).withColumn("place", F.row_number().over(smallest))
             .where(F.col("place") <= per_language).groupBy("lang").agg(F.max("hash").alias("last")).collect())
-    if not last:
-        return known.select("text", "lang")
     limit = F.create_map(*[F.lit(x) for r in last for x in (r["lang"], r["last"])])
     return known.where(F.col("hash") <= limit[F.col("lang")]).groupBy("text", "lang").agg(F.lit(1)).select("text", "lang")
 
 
-def train(docs: DataFrame, per_language: int = 1000, words: int = 20_000, ngrams: int = 10_000) -> Model:
-    """A model from ``docs`` (text, lang): counts of ``per_language`` distinct documents a
-    language; of each language its ``words`` commonest words and ``ngrams`` commonest
-    n-grams of each length are known, the rest backs off.  No labelled row: no language."""
+def train(docs: DataFrame, per_language: int = 1000) -> Model:
+    """A model from ``docs`` (text, lang): counts of every word and every n-gram of ``per_language``
+    distinct documents a language, read whole.  No labelled row: no language."""
     def count(batches):
+        def table(found: Counter) -> pa.RecordBatch:
+            keys = list(found)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+                 pa.array([k[2] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())],
+                ["lang", "kind", "gram", "n"])
         for batch in batches:
             found: Counter = Counter()
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -73,62 +111,67 @@ def train(docs: DataFrame, per_language: int = 1000, words: int = 20_000, ngrams
                     for n in range(1, LONGEST + 1):
                         for g in grams(word, n):
                             found[lang, n, g] += k
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                 pa.array([k[2] for k in keys], pa.string()), pa.array(list(found.values()), pa.int64())],
-                ["lang", "kind", "gram", "n"])
-
-    counts = (training_rows(docs, per_language).mapInArrow(count, "lang string, kind int, gram string, n long")
-              .groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n")))
-    top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
-    best = (counts.withColumn("all", F.sum("n").over(Window.partitionBy("lang", "kind")))
-            .withColumn("place", F.row_number().over(top))
-            .where(F.col("place") <= F.when(F.col("kind") == 0, words).otherwise(ngrams)).collect())
-    languages = sorted({r["lang"] for r in best})
+                    if len(found) >= HELD_GRAMS:
+                        yield table(found)
+                        found.clear()
+            yield table(found)
+
+    got = (training_rows(docs, per_language).mapInArrow(count, "lang string, kind int, gram string, n long")
+           .groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n")).toArrow())
+    languages = sorted(set(got["lang"].unique().to_pylist()))
     column = {lang: i for i, lang in enumerate(languages)}
-    totals = np.ones((LONGEST + 1, len(languages)))
     rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-    kinds: list[int] = []
-    for r in best:
-        totals[r["kind"], column[r["lang"]]] = r["all"]
-        if r["gram"] not in rows[r["kind"]]:
-            rows[r["kind"]][r["gram"]] = len(kinds)
-            kinds.append(r["kind"])
-    freq = np.full((len(kinds), len(languages)), 0.5)  # unseen in a language: half a count
-    for r in best:
-        freq[rows[r["kind"]][r["gram"]], column[r["lang"]]] = r["n"]
-    return Model(languages, rows, np.log(freq / totals[kinds]).astype(np.float32) if kinds else np.zeros((0, 0), np.float32))
+    row, lang, kinds = np.empty(len(got), np.int64), np.empty(len(got), np.int32), []
+    at = 0
+    for batch in got.to_batches():
+        for name, kind, gram in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found = rows[kind].setdefault(gram, len(kinds))
+            if found == len(kinds):
+                kinds.append(kind)
+            row[at], lang[at] = found, column[name]
+            at += 1
+    n, kind_of = got["n"].to_numpy().astype(float), got["kind"].to_numpy()
+    totals = np.ones((LONGEST + 1, len(languages)))
+    if len(got):
+        np.add.at(totals, (kind_of, lang), n)
+        totals -= totals > 1  # 1 only where a language has no gram of a length
+    return Model(languages, rows, Logs(row, lang, n, np.array(kinds, np.int8), totals))
 
 
 class Scorer:
-    """Scores texts in a task; remembers the rows of unseen words up to a bound."""
+    """Scores texts in a task; remembers the rows of words up to a bound."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.size = model, len(model.logs)
-        self.table = np.concatenate([model.logs, np.zeros((CACHED_WORDS, len(model.languages)), np.float32)])
-        self.known = model.rows[0]
+        self.model, self.known = model, model.rows[0]
+        self.table = np.zeros((CACHED_WORDS, len(model.languages)), np.float32)
         self.cache: dict[str, int] = {}
 
-    def row(self, word: str) -> int:
-        r = self.known.get(word)
-        if r is None:
-            r = self.cache.get(word)
-            if r is None:
-                r = self.cache[word] = self.size + len(self.cache)
-                self.table[r] = self.model.unseen(word)
-        return r
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of at most ``CACHED_WORDS`` words."""
+        if len(self.cache) + len(words) > CACHED_WORDS:
+            self.cache.clear()
+        seen, known = [], []
+        for word in words:
+            if word not in self.cache:
+                at = self.cache[word] = len(self.cache)
+                r = self.known.get(word)
+                if r is None:
+                    self.table[at] = self.model.unseen(word)
+                else:
+                    seen.append(at)
+                    known.append(r)
+        if known:
+            self.table[seen] = self.model.logs[known]
+        return self.table[[self.cache[w] for w in words]]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         found = Counter(LETTER_RUNS.findall(text.lower())) if text else None
         if not found or not self.model.languages:
             return UNKNOWN, 0.0
-        sums, words = np.zeros(len(self.model.languages)), list(found.items())
+        sums, words = np.zeros(len(self.model.languages)), list(found)
         for a in range(0, len(words), CACHED_WORDS):
             part = words[a:a + CACHED_WORDS]
-            if len(self.cache) + len(part) > CACHED_WORDS:
-                self.cache.clear()
-            sums += np.array([k for _, k in part]) @ self.table[[self.row(w) for w, _ in part]]
+            sums += np.array([found[w] for w in part]) @ self.rows(part)
         scaled = (sums - sums.max()) * min(1.0, SHARP / found.total())
         best = int(sums.argmax())
         return self.model.languages[best], float(1 / np.exp(scaled).sum())
