@@ -102,9 +102,20 @@ def extended(df: DataFrame, inputs: list[str], new: list[tuple[str, T.DataType]]
     return wide.mapInArrow(run, schema)
 
 
-def sampled_rows(df: DataFrame, key: str, about: int) -> DataFrame:
-    """About ``about`` rows of ``df`` (all of them if there are no more), picked by a hash of
-    ``key``: the same rows for the same table.  Rows without a key are not picked."""
-    n = df.where(F.col(key).isNotNull()).count()
-    rate = min(1.0, about / n) if n else 1.0
-    return df.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))))
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_docs: int, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` (the first is the text) and ``quality`` for ``max_docs`` labelled documents (all of
+    them if there are no more): one row for each of the doc_ids with the smallest hashes, the same for the same tables.
+
+    ``labels`` has doc_id and quality (0 or 1; other values and null ids are left out).  An id is labelled once,
+    with its smallest quality, and gives one document, that with the smallest text hash, however many rows repeat it.
+    """
+    ids = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    n = ids.count()
+    enough = max_docs + 10 * max_docs**0.5 + 100  # ten deviations more than are wanted, so that few rows are sorted
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    picked = (ids.where(place < F.lit(int(min(1.0, enough / max(n, 1)) * (1 << 30)))).orderBy(place, "doc_id").limit(max_docs)
+              .select(F.col("doc_id").alias("picked_id"), F.col("quality").alias("picked_quality")))
+    row = F.struct(F.xxhash64(F.col(f"`{columns[0]}`")), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    return (docs.select(F.col("doc_id").alias("id"), row.alias("row")).join(F.broadcast(picked), F.col("id") == F.col("picked_id"))
+            .groupBy("id", "picked_quality").agg(F.min("row").alias("row"))
+            .select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], F.col("picked_quality").alias("quality")))

@@ -4,8 +4,11 @@ Every line with a word is content or boilerplate.  A two-state CRF scores a line
 of its shape and neighbouring lines by a transition matrix; Viterbi decoding picks the best
 label sequence of each document, and the share of its words in content lines decides whether
 it is kept.  The CRF is trained here (maximum likelihood, forward-backward in numpy) on the
-lines of about ``max_docs`` labelled documents: lines of good documents as content, of bad
-ones as boilerplate.  Scoring is one pass over whole texts without a shuffle.
+lines of at most ``max_docs`` labelled documents: lines of good documents as content, of bad
+ones as boilerplate.  Documents have one label throughout, pages do not; so besides the documents
+themselves it learns from spliced ones, in which runs of lines of a good and a bad document take
+turns, and the transition weights come from chains that change label.  Scoring is one pass over
+whole texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,10 +16,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.llm.common import extended, sampled_rows, text_slices
+from starling.llm.common import extended, labelled_sample, text_slices
 from starling.llm.words import Words, byte_class, class_counts, distinct_sorted, span_hashes, windows
 
 SYMBOLS, PIPE, BANG, DIGITS = byte_class("#*$%&|<>"), byte_class("|"), byte_class("!"), byte_class("0123456789")
@@ -108,14 +110,16 @@ class Crf:
 
     def fit(self, features: np.ndarray, first: np.ndarray, labels: np.ndarray, steps: int = 150,
             rate: float = 0.1, l2: float = 1e-3) -> Crf:
-        """Maximum likelihood by forward-backward and Adam; sequences are padded together."""
+        """Maximum likelihood by forward-backward and Adam; all sequences with over t lines advance to line t together."""
         n = np.diff(first)
         rows = np.flatnonzero(n)
         if not len(rows) or len(np.unique(labels)) < 2:
             return self
+        rows = rows[np.argsort(-n[rows], kind="stable")]
         n, begin = n[rows], first[:-1][rows]
         steps_at = np.arange(n.max())
         mask = steps_at[None, :] < n[:, None]
+        active = np.searchsorted(-n, -steps_at)  # sequences with over t lines, the first ones
         at = np.where(mask, begin[:, None] + steps_at, 0)
         y, total = labels[at], len(features)
         seen_emit = features.T @ np.eye(2)[labels]
@@ -128,19 +132,19 @@ class Crf:
         v = [np.zeros_like(p) for p in params]
         for step in range(1, steps + 1):
             score = (features @ self.emit)[at]
-            ahead = np.empty_like(score)
+            ahead = np.zeros_like(score)
             ahead[:, 0] = self.start + score[:, 0]
             for t in range(1, score.shape[1]):
-                new = np.logaddexp.reduce(ahead[:, t - 1, :, None] + self.move, axis=1) + score[:, t]
-                ahead[:, t] = np.where(mask[:, t, None], new, ahead[:, t - 1])
-            log_z = np.logaddexp.reduce(ahead[:, -1], axis=1)
+                k = active[t]
+                ahead[:k, t] = np.logaddexp.reduce(ahead[:k, t - 1, :, None] + self.move, axis=1) + score[:k, t]
+            log_z = np.logaddexp.reduce(ahead[np.arange(len(n)), n - 1], axis=1)
             behind = np.zeros_like(score)
             for t in range(score.shape[1] - 2, -1, -1):
-                new = np.logaddexp.reduce(self.move + (score[:, t + 1] + behind[:, t + 1])[:, None, :], axis=2)
-                behind[:, t] = np.where(mask[:, t + 1, None], new, 0)
-            node = np.exp(ahead + behind - log_z[:, None, None]) * mask[:, :, None]
-            edge = np.exp(ahead[:, :-1, :, None] + self.move + (score + behind)[:, 1:, None, :]
-                          - log_z[:, None, None, None]) * pairs[:, :, None, None]
+                k = active[t + 1]
+                behind[:k, t] = np.logaddexp.reduce(self.move + (score[:k, t + 1] + behind[:k, t + 1])[:, None, :], axis=2)
+            node = np.exp(np.where(mask[:, :, None], ahead + behind - log_z[:, None, None], -np.inf))
+            edge = np.exp(np.where(pairs[:, :, None, None], ahead[:, :-1, :, None] + self.move
+                                   + (score + behind)[:, 1:, None, :] - log_z[:, None, None, None], -np.inf))
             flat = np.zeros((total, 2))
             flat[at[mask]] = node[mask]
             grads = [(features.T @ flat - seen_emit) / total + l2 * self.emit,
@@ -185,11 +189,31 @@ NEW = [(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_
     ("base_failed", T.BooleanType()), ("content_share", T.DoubleType()), ("kept", T.BooleanType())]
 
 
+def spliced(good: list[np.ndarray], bad: list[np.ndarray], seed: int = 1, longest_run: int = 8) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features, labels) of chains made from one good and one bad document each: runs of 1 to
+    ``longest_run`` of their lines take turns until both are used up.  The shorter list is gone through again
+    and again, so that every document is in a chain."""
+    rng, out = np.random.default_rng(seed), []
+    if not good or not bad:
+        return out
+    for i in range(max(len(good), len(bad))):
+        left = {CONTENT: good[i % len(good)], BOILERPLATE: bad[i % len(bad)]}
+        turn = int(rng.integers(2))
+        parts, labels = [], []
+        while any(len(lines) for lines in left.values()):
+            n = min(int(rng.integers(1, longest_run + 1)), len(left[turn]))
+            parts.append(left[turn][:n])
+            labels += [turn] * n
+            left[turn] = left[turn][n:]
+            turn = 1 - turn
+        out.append((np.concatenate(parts), np.array(labels)))
+    return out
+
+
 def fit_lines(docs: DataFrame, labels: DataFrame, max_docs: int = 1500) -> Crf:
-    """A CRF from about ``max_docs`` labelled documents (labels: doc_id, quality 0/1).
+    """A CRF from at most ``max_docs`` labelled documents (labels: doc_id, quality 0/1), one for each id.
     Long documents train as runs of 50 lines.  Without labels of both kinds it stays untrained."""
-    picked = F.broadcast(sampled_rows(labels.where("quality IN (0, 1)"), "doc_id", max_docs).select("doc_id", "quality"))
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(picked, "doc_id").select("text", "quality")
+    rows = labelled_sample(docs.where("text IS NOT NULL"), labels, max_docs, ["text"])
 
     def run(batches):
         for batch in batches:
@@ -205,17 +229,16 @@ def fit_lines(docs: DataFrame, labels: DataFrame, max_docs: int = 1500) -> Crf:
                                                   pa.array([r[1] for r in out], pa.int32())], ["features", "quality"])
 
     got = rows.mapInArrow(run, "features binary, quality int").collect()
-    got = sorted((bytes(r["features"]), r["quality"]) for r in got)
-    chunks, y, size = [], [], []
-    for raw, quality in got:
+    chunks: dict[int, list[np.ndarray]] = {CONTENT: [], BOILERPLATE: []}
+    for raw, quality in sorted((bytes(r["features"]), r["quality"]) for r in got):
         features = np.frombuffer(raw, np.uint8).reshape(-1, N_FEATURES)
-        for i in range(0, len(features), 50):
-            chunks.append(features[i:i + 50])
-            size.append(len(chunks[-1]))
-            y += [CONTENT if quality == 1 else BOILERPLATE] * size[-1]
-    if not chunks:
+        chunks[CONTENT if quality == 1 else BOILERPLATE] += [features[i:i + 50] for i in range(0, len(features), 50)]
+    chains = [(c, np.full(len(c), label)) for label, whole in chunks.items() for c in whole]
+    chains += spliced(chunks[CONTENT], chunks[BOILERPLATE])
+    if not chains:
         return Crf()
-    return Crf().fit(np.concatenate(chunks).astype(np.float32), np.concatenate([[0], np.cumsum(size)]), np.array(y))
+    first = np.concatenate([[0], np.cumsum([len(c) for c, _ in chains])])
+    return Crf().fit(np.concatenate([c for c, _ in chains]).astype(np.float32), first, np.concatenate([y for _, y in chains]))
 
 
 def label_documents(docs: DataFrame, crf: Crf, min_content: float = 0.5, drop: tuple[str, ...] = ()) -> DataFrame:

@@ -11,10 +11,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starling.llm.common import extended, sampled_rows, text_slices
+from starling.llm.common import extended, labelled_sample, text_slices
 from starling.llm.line_crf import BANG, DIGITS, LETTERS, PIPE, SYMBOLS, UPPER, Lines
 from starling.llm.words import Words, class_counts, distinct_sorted, span_hashes, windows
 
@@ -114,11 +113,10 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> Machine:
-    """A machine from about ``max_docs`` labelled documents (docs: doc_id, text, n_chars;
-    labels: doc_id, quality 0/1).  Only their hashed features reach the driver.  Without
+    """A machine from at most ``max_docs`` labelled documents (docs: doc_id, text, n_chars;
+    labels: doc_id, quality 0/1), one for each id.  Only their hashed features reach the driver.  Without
     labels every score is 0.5; with one kind of label it is near that label."""
-    picked = F.broadcast(sampled_rows(labels.where("quality IN (0, 1)"), "doc_id", max_docs).select("doc_id", "quality"))
-    rows = docs.select("doc_id", "text", "n_chars").join(picked, "doc_id").select("text", "n_chars", "quality")
+    rows = labelled_sample(docs, labels, max_docs, ["text", "n_chars"])
 
     def run(batches):
         for batch in batches:

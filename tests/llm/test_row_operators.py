@@ -1,5 +1,6 @@
 """Operators that add columns to every document: quality rules, language, quality score, licenses, LM."""
 
+import math
 import random
 from collections import Counter
 
@@ -7,8 +8,10 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 
 from starling.llm import lang_id, license_scan, line_crf, masked_lm, quality_fm
+from starling.llm.common import labelled_sample
 from starling.llm.queries import ORACLE, QUERIES
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.helpers import EDGE_ROWS, documents, invented, words_of
@@ -57,6 +60,51 @@ def test_lines_of_bad_documents_are_learnt(docs, labels):
     assert got[got.quality == 0].kept.mean() < 0.2
 
 
+def test_lines_of_spliced_documents_get_their_own_labels(docs, labels):
+    """Halves of held-out good and bad documents in one text: every line is told by itself and its neighbours."""
+    held = "pmod(crc32(cast(doc_id AS string)), 3) = 1"
+    crf = line_crf.fit_lines(docs, labels.where(f"NOT {held}"))
+    rows = docs.join(labels.where(held), "doc_id").where("text IS NOT NULL").orderBy("doc_id").select("text", "quality").collect()
+    by = {q: [x for r in rows if r["quality"] == q and len(x := [y for y in r["text"].split("\n") if words_of(y)]) >= 4] for q in (0, 1)}
+    texts, truth, mixed = [], [], 0
+    for i, (good, bad) in enumerate(zip(by[1], by[0], strict=False)):
+        halves = [(good[:len(good) // 2], 1), (bad[len(bad) // 2:], 0)][::1 if i % 2 else -1]
+        texts.append("\n".join(x for part, _ in halves for x in part))
+        truth += [label for part, label in halves for _ in part]
+    words = line_crf.Words(pa.array(texts))
+    lines = line_crf.Lines(words)
+    got = crf.viterbi(line_crf.line_features(words, lines, words.hashes()), lines.first)
+    assert len(texts) >= 5 and (got == np.array(truth)).mean() > 0.9
+    mixed = sum(0 < got[a:b].mean() < 1 for a, b in zip(lines.first[:-1], lines.first[1:], strict=True))
+    assert mixed >= 0.9 * len(texts)
+    assert crf.move[0, 0] + crf.move[1, 1] > crf.move[0, 1] + crf.move[1, 0]  # labels last, but not for ever
+
+
+def test_spliced_chains_hold_every_line_once():
+    lines = lambda n, x: np.full((n, 3), x, np.uint8)
+    good, bad = [lines(n, 1) for n in (3, 20, 1)], [lines(n, 0) for n in (7, 2)]
+    chains = line_crf.spliced(good, bad)
+    assert [len(y) for _, y in chains] == [10, 22, 8]  # the first bad document serves twice
+    assert all((features[:, 0] == labels).all() for features, labels in chains)
+    assert all(len(set(labels)) == 2 for _, labels in chains)
+    assert line_crf.spliced(good, []) == line_crf.spliced([], bad) == []
+
+
+def test_repeated_ids_neither_crowd_out_nor_break_the_bound(spark):
+    """One label id on most rows, and a document id on most rows: every id counts once."""
+    ids = list(range(1, 401))
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(7, 1)] * 5000 + [(7, 0), (None, 1), (8, None), (9, 5)],
+                                   "doc_id long, quality int")
+    docs = documents(spark, [(i, f"text {i}") for i in ids] + [(7, f"text {k % 50:02d} again") for k in range(3000)] + [(11, None)])
+    everything = labelled_sample(docs, labels, 1000, ["text"]).collect()
+    assert len(everything) == 400 and len({r["text"] for r in everything}) == 400
+    assert {r["text"].split()[1]: r["quality"] for r in everything if r["text"].split()[1] == "12"} == {"12": 0}
+    picked = labelled_sample(docs, labels, 150, ["text"]).collect()
+    assert len(picked) == 150 and sorted(picked) == sorted(labelled_sample(docs.repartition(3), labels, 150, ["text"]).collect())
+    assert labelled_sample(docs.limit(0), labels, 150, ["text"]).collect() == []
+    assert labelled_sample(docs, labels.limit(0), 150, ["text"]).collect() == []
+
+
 def test_viterbi_equals_brute_force():
     from itertools import product
     rng = np.random.default_rng(3)
@@ -122,6 +170,54 @@ def test_unseen_words_back_off_to_shorter_grams():
     assert model.unseen("zz").tolist() == [0, 0]
 
 
+def plain_language(training, text):
+    """(language, log sums by language) of a text by the definition, from (text, lang) rows."""
+    def pieces(word):
+        marked = f"_{word}_"
+        return [[word], list(word)] + [[marked[i:i + n] for i in range(len(marked) - n + 1)] for n in (2, 3, 4)]
+    split = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+    count = Counter((lang, n, g) for t, lang in training for w in split(t.lower()) for n, gs in enumerate(pieces(w)) for g in gs)
+    total = Counter()
+    for (lang, n, _), k in count.items():
+        total[lang, n] += k
+    languages = sorted({lang for _, lang in training})
+    sums = dict.fromkeys(languages, 0.0)
+    for w in split(text.lower()):
+        for n in (0, 4, 3, 2, 1):
+            known = [g for g in pieces(w)[n] if any((lang, n, g) in count for lang in languages)]
+            if known:
+                for lang in languages:
+                    sums[lang] += sum(math.log((count[lang, n, g] or 0.5) / total[lang, n]) for g in known) / len(known)
+                break
+    return max(languages, key=lambda lang: sums[lang]), sums
+
+
+def test_language_equals_the_plain_definition(spark):
+    """Every word of the training texts is known, however rare; the sums are those of the definition."""
+    rng = random.Random(21)
+    spoken = lambda letters, n: " ".join("".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(n))
+    alphabets = ("abcdefgh", "defghijk", "ghijklmé")
+    training = [(spoken(alphabet, 40), alphabet[:2]) for alphabet in alphabets for _ in range(30)]
+    training.append(("हिन्दी भाषा में कई शब्द", "hi"))
+    model = lang_id.train(spark.createDataFrame(training, "text string, lang string"))
+    assert set(model.rows[0]) == {w for t, _ in training for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", t.lower())}
+    texts = [spoken(a, 15) + " " + t.split()[0] for a in (*alphabets, "klxyz") for t, _ in training[::7]] + ["भाषा हिन्दीया", "x"]
+    got = {r["text"]: r for r in lang_id.identify(documents(spark, list(enumerate(texts))), model).collect()}
+    for t in texts:
+        lang, sums = plain_language(training, t)
+        n = len(regex.findall(r"\p{L}[\p{L}\p{M}]*", t))
+        share = 1 / sum(math.exp((s - max(sums.values())) * min(1, 20 / n)) for s in sums.values())
+        assert got[t]["lang_pred"] == lang and abs(got[t]["score"] - share) < 1e-3
+    assert got["भाषा हिन्दीया"]["lang_pred"] == "hi"
+
+
+def test_words_keep_their_combining_marks(spark):
+    assert lang_id.LETTER_RUNS.findall("हिन्दी भाषा, cafe\u0301 a\u00b2b ½ x_y") == ["हिन्दी", "भाषा", "cafe\u0301", "a", "b", "x", "y"]
+    model = lang_id.train(spark.createDataFrame([("word", "en")], "text string, lang string"))
+    got = lang_id.identify(documents(spark, [(1, "½ ² \u0301 7"), (2, "Word")]), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "und", 2: "en"}
+
+
 def test_quality_classifier_on_held_out_rows(spark, labels):
     got = QUERIES["op9_quality_classifier"](spark, SF_ORACLE).join(labels, "doc_id").toPandas()
     held = got[got.held_out]
