@@ -12,7 +12,7 @@ from starling.plans.bindings.common import (
     ALL_TABLES, DIRTY_EVENTS_SQL, TABLE_COLUMNS, all_tables, bind, dirty_events, table,
 )
 from starling.sources.files import (
-    csv_handoff, csv_to_table, quality_report_sink, read_files_glob, read_raw_table, table_dump, write_csv,
+    csv_handoff, csv_to_table, files_report, quality_report_sink, read_files_glob, read_raw_table, table_dump, write_csv,
 )
 from starling.sources.landing import (
     append_checked_records, json_landing_sink, read_json_landing, staging_refresh, type_landing,
@@ -60,6 +60,37 @@ def q_read_files_glob(spark, sf):
     return read_files_glob(spark, folder)
 
 
+def mixed_folder(spark, sf) -> str:
+    """CSV and Parquet files, a file of another extension, and text under a Parquet file's name."""
+    folder, aside = work_dir(spark, "mixed"), work_dir(spark, "aside")
+    write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name"), folder, "append")
+    table(spark, sf, "supplier").select("s_suppkey", "s_name").write.mode("append").parquet(folder)
+    region = table(spark, sf, "region").select("r_name").coalesce(1)
+    region.write.mode("append").text(folder)
+    region.write.text(aside)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(hadoop(f"{aside}/*.txt")):
+        fs.rename(status.getPath(), hadoop(f"{folder}/broken.parquet"))
+    return folder
+
+
+@bind("read_files_skip_bad", """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, NULL AS s_suppkey, NULL AS s_name
+  FROM nation UNION ALL SELECT NULL, NULL, s_suppkey, s_name FROM supplier""")
+def q_read_files_skip_bad(spark, sf):
+    """The readable files of a folder with a broken one."""
+    return read_files_glob(spark, mixed_folder(spark, sf), bad_files="skip")
+
+
+@bind("files_report", """SELECT 'csv' AS format, 'loaded' AS status, COUNT(*) AS "rows", FALSE AS has_error FROM nation
+UNION ALL SELECT 'parquet', 'loaded', COUNT(*), FALSE FROM supplier
+UNION ALL SELECT 'parquet', 'unreadable', 0, TRUE UNION ALL SELECT NULL, 'skipped', 0, FALSE""")
+def q_files_report(spark, sf):
+    """What became of the files of that folder, summed over files alike (their number is the writer's)."""
+    return (files_report(spark, mixed_folder(spark, sf)).groupBy("format", "status")
+            .agg(F.sum("rows").alias("rows"), F.max(F.col("error").isNotNull()).alias("has_error")))
+
+
 @bind("csv_to_table", "SELECT * FROM customer")
 def q_csv_to_table(spark, sf):
     c = table(spark, sf, "customer")

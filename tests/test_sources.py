@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,3 +161,32 @@ def test_read_files_glob_goes_by_each_files_header(spark, tmp_root):
     assert dict(typed.dtypes) == {"case_id": "bigint", "female_age": "int", "extra": "string"}
     with pytest.raises(NoInputFilesError):
         read_files_glob(spark, [tmp_root, os.path.join(tmp_root, "missing.parquet")])
+
+
+def test_unreadable_files_are_reported_beside_the_good_ones(spark, tmp_root):
+    from starling.sources.files import NoInputFilesError, files_report, read_files_glob
+    folder = os.path.join(tmp_root, "with space")
+    spark.range(3).write.parquet(os.path.join(folder, "good"))
+    spark.range(0).write.parquet(os.path.join(folder, "none"))
+    os.makedirs(os.path.join(folder, "other"))
+    good = next(f for f in os.listdir(os.path.join(folder, "good")) if f.endswith(".parquet"))
+    with open(os.path.join(folder, "good", good), "rb") as f:
+        whole = f.read()
+    for name, content in (("cut.parquet", whole[:len(whole) // 2]), ("a.csv", b"id\n7\n8\n"), ("b.csv", b""), ("c.txt", b"x")):
+        with open(os.path.join(folder, "other", name), "wb") as f:
+            f.write(content)
+    paths = os.path.join(folder, "*")
+    rows = files_report(spark, paths).collect()
+    by_name = {r["file"].rsplit("/", 1)[1]: (r["format"], r["status"], r["rows"]) for r in rows if "/other/" in r["file"]}
+    assert by_name == {"cut.parquet": ("parquet", "unreadable", 0), "a.csv": ("csv", "loaded", 2), "b.csv": ("csv", "empty", 0),
+                       "c.txt": (None, "skipped", 0)}
+    assert [r["error"] is not None for r in rows].count(True) == 1
+    assert sum(r["rows"] for r in rows if "/good/" in r["file"]) == 3
+    assert all(r["status"] == "loaded" and r["rows"] == 0 for r in rows if "/none/" in r["file"])
+    assert sorted(str(r["id"]) for r in read_files_glob(spark, paths, bad_files="skip").collect()) == ["0", "1", "2", "7", "8"]
+    with pytest.raises(Exception):
+        read_files_glob(spark, paths).collect()
+    with pytest.raises(NoInputFilesError):
+        read_files_glob(spark, os.path.join(folder, "other", "cut.parquet"), bad_files="skip")
+    with pytest.raises(NoInputFilesError):
+        files_report(spark, os.path.join(folder, "nothing-here"))
