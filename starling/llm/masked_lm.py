@@ -10,18 +10,25 @@ both sides.
   The counts stay a table, joined by word hash to the words of the documents.
 * Network: position-wise embeddings of the four neighbours are summed and squashed (tanh); the
   id is predicted in two softmax steps, its class (ids in blocks of ``WIDTH``) and its place in the class.
-* Training is data-parallel and meets every window once: in every round each task runs AdaGrad
-  over another share of the windows of its own documents, and the parameters are averaged over tasks in two aggregation levels, weighted by windows.  Only the averaged
-  parameters, whose size does not depend on the corpus, reach the driver.
+* Texts are turned into 16-bit ids once, in a stored table that training and scoring read.
+* Training is data-parallel and meets every window once, in rounds over a share of the texts each.  A
+  round's texts are dealt by their hash over shards of about ``SHARD_TOKENS`` words; AdaGrad runs over a
+  shard in hash order, and the shards' parameters are averaged, weighted by windows, in as many levels of 64 as
+  it takes.  Shards and their order follow from the texts alone, so the scores do not depend on how
+  the table is partitioned, and a shard meets as many words in a large corpus as in a small one.
+  Copies of a text are counted before they travel and spread over all shards.
+  Only the averaged parameters, whose size does not depend on the corpus, reach the driver.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +44,8 @@ EDGE = IDS - 1  # stands beyond the ends of a document
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
 CHUNK = 1 << 14  # parameters travel in pieces of so many numbers
 HELD_WORDS = 1 << 20  # a task merges its word counts whenever it holds so many
+SHARD_TOKENS = 1 << 21  # words one network is trained on before networks are averaged
+MOST_TASKS = 20_000  # of a round; beyond them a task trains several shards, one after the other
 NEW = [("n_tokens", T.LongType()), ("log_prob", T.DoubleType()), ("mean_log_prob", T.DoubleType())]
 
 
@@ -196,77 +205,162 @@ class Network:
         weights -= rate * grad / np.sqrt(squares)
 
 
-def token_windows(text: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Neighbour ids (one row per offset), target ids, ``first`` offsets by document and word hashes."""
-    words = Words(text, lower=True)
-    hashes = words.hashes()
-    ids = vocabulary.lookup(hashes)
-    n, at = len(ids), np.arange(len(ids))
-    doc = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    context = np.full((len(OFFSETS), n), EDGE, np.int32)
-    for row, o in zip(context, OFFSETS, strict=True):
-        inside = (at + o >= words.first[:-1][doc]) & (at + o < words.first[1:][doc])
-        row[inside] = ids[at[inside] + o]
-    return context, ids, words.first, hashes
+def neighbours(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Ids around each word of documents that begin and end at ``first``: one row per offset, EDGE
+    beyond the ends of a document."""
+    out = np.full((len(OFFSETS), len(ids)), EDGE, np.int32)
+    for row, o in zip(out, OFFSETS, strict=True):
+        if o > 0:
+            row[:-o] = ids[o:]
+        else:
+            row[-o:] = ids[:o]
+        for j in range(abs(o)):  # the last (first) words of a document look beyond it
+            at = first[1:] - 1 - j if o > 0 else first[:-1] + j
+            row[at[(at >= 0) & (at < len(ids))]] = EDGE
+    return out
+
+
+def joined_ids(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a slice of the ``ids`` column, and where each document's begin and end."""
+    first = np.concatenate([[0], np.cumsum(pc.binary_length(rows).to_numpy(zero_copy_only=False))]) // 2
+    return np.frombuffer(b"".join(rows.to_pylist()), np.uint16).astype(np.int32), first
+
+
+def encoded(docs: DataFrame, words: Vocabulary, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """A stored table: columns c0, c1 ... of ``docs`` (but those of ``drop`` and ``NEW``, whose names are
+    returned), ``row`` (an id of the row), ``ids`` (16-bit ids of all words of the whole text) and, of the words
+    with a shared id, the distinct hashes ``rare`` with their counts ``times``."""
+    gone = {n for n, _ in NEW} | {d.lower() for d in drop}
+    kept = [c for c in docs.columns if c.lower() not in gone]
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def encode(text: pa.Array) -> list:
+        found = Words(text, lower=True)
+        hashes, first = found.hashes(), found.first
+        ids = shared.value.lookup(hashes)
+        small = ids.astype(np.uint16).tobytes()
+        lone = np.flatnonzero((ids >= VOCABULARY) & (ids < VOCABULARY + BUCKETS))
+        doc, rare = np.searchsorted(first, lone, "right") - 1, hashes[lone]
+        order = np.lexsort((rare, doc))
+        doc, rare = doc[order], rare[order]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])])[:len(doc)])
+        times = np.diff(np.concatenate([new, [len(doc)]]))
+        begin = np.searchsorted(doc[new], np.arange(len(text) + 1)).astype(np.int32)
+        cuts = (2 * first).tolist()
+        return [[small[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)],
+                pa.ListArray.from_arrays(begin, rare[new].view(np.int64)), pa.ListArray.from_arrays(begin, times.astype(np.int32))]
+
+    wide = docs.select("text", *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    table = extended(wide, ["text"], [("ids", T.BinaryType()), ("rare", T.ArrayType(T.LongType())), ("times", T.ArrayType(T.IntegerType()))],
+                     encode, ("text",))
+    return stored(table.withColumn("row", F.monotonically_increasing_id()), "lm-ids"), kept
 
 
 def averaged(parts: DataFrame, size: int) -> np.ndarray | None:
-    """The mean of the tasks' parameters, weighted by their windows, in two levels of groups."""
+    """The mean of the shards' parameters, weighted by their windows, in levels of groups of 64."""
     def total(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("task")  # the same sum in every run
         weights = rows["weight"].to_numpy()
         summed = sum(w * np.frombuffer(v, np.float32).astype(np.float64) for w, v in zip(weights, rows["numbers"], strict=True))
         mean = (summed / weights.sum()).astype(np.float32)
-        return pd.DataFrame({"task": [0], "chunk": [rows["chunk"].iloc[0]], "weight": [float(weights.sum())], "numbers": [mean.tobytes()]})
+        return pd.DataFrame({"task": [rows["task"].iloc[0] // 64], "chunk": [rows["chunk"].iloc[0]],
+                             "weight": [float(weights.sum())], "numbers": [mean.tobytes()]})
 
-    schema = "task long, chunk int, weight double, numbers binary"
-    level = parts.groupBy("chunk", F.expr("task div 64").alias("part")).applyInPandas(lambda key, rows: total(rows), schema)
-    done = level.groupBy("chunk").applyInPandas(lambda key, rows: total(rows), schema).collect()
-    if not done:
+    level = stored(parts, "lm-parts")
+    last = level.agg(F.max("task").alias("last")).first()["last"]
+    if last is None:
         return None
-    flat = np.concatenate([np.frombuffer(r["numbers"], np.float32) for r in sorted(done, key=lambda r: r["chunk"])])
+    while True:
+        level = (level.groupBy("chunk", F.expr("task div 64").alias("part"))
+                 .applyInPandas(lambda key, rows: total(rows), "task long, chunk int, weight double, numbers binary"))
+        last //= 64
+        if last == 0:
+            break
+    flat = np.concatenate([np.frombuffer(r["numbers"], np.float32) for r in sorted(level.collect(), key=lambda r: r["chunk"])])
     return flat[:size]
 
 
 def train(docs: DataFrame, words: Vocabulary, every: int = 2, batch: int = 1024) -> Network:
-    """A network trained on every window once, in ``every`` rounds of averaging: round r trains on
-    the windows whose running number in their slice is r modulo ``every``."""
-    context, network = docs.sparkSession.sparkContext, Network()
+    """A network trained on every window of ``docs`` once, in ``every`` rounds of averaging: a text belongs
+    to the round that its hash modulo ``every`` names."""
+    return train_encoded(encoded(docs.select("text"), words, ("text",))[0], every, batch)
+
+
+def shards_of_round(table: DataFrame, r: int, every: int, shards: int) -> DataFrame:
+    """(shard, ids) of round ``r``, a row for each copy of a text, a shard's rows together and in hash order."""
+    texts = (table.where("length(ids) > 0").where(F.pmod(F.xxhash64("ids"), F.lit(every)) == r)
+             .groupBy("ids").agg(F.count(F.lit(1)).alias("n")))
+    # of n copies every shard gets its part; they multiply only there
+    spread = texts.withColumn("turns", F.least("n", F.lit(shards))).select("*", F.explode(F.expr("sequence(0L, turns - 1)")).alias("copy"))
+    dealt = spread.select("ids", "copy", F.expr("n div turns + int(copy < n % turns)").alias("times"),
+                          F.when(F.col("turns") == shards, F.col("copy")).otherwise(
+                              F.pmod(F.xxhash64("copy", "ids"), F.lit(shards))).alias("shard"))
+    tasks = min(shards, MOST_TASKS)
+    here = dealt.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+    turned = here.select("shard", "ids", "copy", F.explode(F.expr("sequence(1L, times)")).alias("turn"))
+    return (turned.withColumn("place", F.xxhash64("turn", "copy", "ids")).sortWithinPartitions("shard", "place", "ids", "copy", "turn")
+            .select("ids", "shard"))
+
+
+def train_encoded(table: DataFrame, every: int = 2, batch: int = 1024) -> Network:
+    """``train`` on a table with a column ``ids``."""
+    context, network = table.sparkSession.sparkContext, Network()
+    total = (table.agg(F.sum(F.length("ids")).alias("bytes")).first()["bytes"] or 0) // 2
+    shards = max(1, math.ceil(total / every / SHARD_TOKENS))
     for r in range(every):
-        shared = context.broadcast((words, network.flat))
+        shared = context.broadcast(network.flat)
 
-        def run(batches: Iterable[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-            known, flat = shared.value
-            local, past, seen = Network(flat), Network(np.full(len(flat), 1e-6, np.float32)), 0
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            shard, local, past, seen = None, None, None, 0
             waiting: list[tuple[np.ndarray, np.ndarray]] = []
             held = 0
-            for rows in batches:
-                for a, b in text_slices(rows.column(0)):
-                    sides, target, _, _ = token_windows(rows.column(0).slice(a, b - a), known)
-                    waiting.append((sides[:, r::every], target[r::every]))
-                    held += len(waiting[-1][1])
-                    while held >= batch:
-                        sides, target = np.concatenate([s for s, _ in waiting], 1), np.concatenate([t for _, t in waiting])
-                        for x in range(0, held - batch + 1, batch):
-                            local.train(sides[:, x:x + batch], target[x:x + batch], past)
-                            seen += batch
-                        rest = held // batch * batch
-                        waiting, held = [(sides[:, rest:], target[rest:])], held - rest
-            if held:
-                local.train(np.concatenate([s for s, _ in waiting], 1), np.concatenate([t for _, t in waiting]), past)
-                seen += held
-            if seen:
+
+            def learn(least: int) -> None:
+                """Trains on what waits, in mini-batches, until fewer than ``least`` windows are left."""
+                nonlocal waiting, held, seen
+                if held < least:
+                    return
+                sides, target = np.concatenate([s for s, _ in waiting], 1), np.concatenate([t for _, t in waiting])
+                done = 0
+                while held - done >= least:
+                    step = min(batch, held - done)
+                    local.train(sides[:, done:done + step], target[done:done + step], past)
+                    done += step
+                seen += done
+                waiting, held = [(sides[:, done:], target[done:])], held - done
+
+            def learnt() -> pa.RecordBatch:
+                learn(1)
                 pieces = [local.flat[i:i + CHUNK].tobytes() for i in range(0, len(local.flat), CHUNK)]
                 n = len(pieces)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.array(range(n), pa.int32()),
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([shard] * n, pa.int64()), pa.array(range(n), pa.int32()),
                      pa.array([float(seen)] * n), pa.array(pieces, pa.binary())], ["task", "chunk", "weight", "numbers"])
 
-        parts = docs.select("text").mapInArrow(run, "task long, chunk int, weight double, numbers binary")
+            for rows in batches:
+                of = rows.column(1).to_numpy()
+                cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+                for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                    if low == high:
+                        continue
+                    if of[low] != shard:
+                        if shard is not None:
+                            yield learnt()
+                        shard, local, past, seen = int(of[low]), Network(shared.value), Network(np.full(len(shared.value), 1e-6, np.float32)), 0
+                        waiting, held = [], 0
+                    mine = rows.column(0).slice(low, high - low)
+                    for a, b in text_slices(mine):
+                        ids, first = joined_ids(mine.slice(a, b - a))
+                        waiting.append((neighbours(ids, first), ids))
+                        held += len(ids)
+                        learn(batch)
+            if shard is not None:
+                yield learnt()
+
+        parts = shards_of_round(table, r, every, shards).mapInArrow(run, "task long, chunk int, weight double, numbers binary")
         flat = averaged(parts, len(network.flat))
-        if flat is None:  # a corpus without words
-            break
-        network = Network(flat)
+        if flat is not None:  # None: no words in this round
+            network = Network(flat)
     return network
 
 
@@ -276,36 +370,39 @@ def score_documents(docs: DataFrame, words: Vocabulary, network: Network, drop:
     Null and empty texts have 0 words, log_prob 0 and a null mean.  Repeated rows score alike;
     other columns pass through but for those of ``drop``; clashing names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((words, network.flat))
-    held: list[tuple[Vocabulary, Network]] = []
+    return score_encoded(*encoded(docs, words, drop), words, network)
+
 
-    def score(text: pa.Array) -> list:
+def score_encoded(table: DataFrame, names: list[str], words: Vocabulary, network: Network) -> DataFrame:
+    """``score_documents`` on the table and names that ``encoded`` gave."""
+    shared = table.sparkSession.sparkContext.broadcast((words.log_share, network.flat))
+    held: list[tuple[np.ndarray, Network]] = []
+
+    def score(rows: pa.Array) -> list:
         if not held:
             held.append((shared.value[0], Network(shared.value[1])))
-        known, model = held[0]
-        sides, target, first, hashes = token_windows(text, known)
-        each = np.zeros(len(target))
+        log_share, model = held[0]
+        target, first = joined_ids(rows)
+        sides, each = neighbours(target, first), np.zeros(len(target))
         for a in range(0, len(target), 8192):
             part = target[a:a + 8192]
-            each[a:a + 8192] = model.log_probs(sides[:, a:a + 8192], part) + known.log_share[part]
+            each[a:a + 8192] = model.log_probs(sides[:, a:a + 8192], part) + log_share[part]
         total = np.concatenate([[0.0], np.cumsum(each)])
-        n, sums = np.diff(first), total[first[1:]] - total[first[:-1]]
-        shared_id = (target >= VOCABULARY) & (target < VOCABULARY + BUCKETS)
-        begin = np.concatenate([[0], np.cumsum(shared_id)])[first].astype(np.int32)
-        return [n, sums, pa.nulls(len(n), pa.float64()), pa.ListArray.from_arrays(begin, hashes[shared_id].view(np.int64))]
-
-    found = extended(docs, ["text"], [*NEW, ("__words", T.ArrayType(T.LongType()))], score, drop)
-    columns = found.drop("__words").columns
-    found = stored(found.withColumn("__row", F.monotonically_increasing_id()), "lm-scores")
-    inside = (found.select("__row", F.explode("__words").alias("word")).join(words.counts, "word")
-              .groupBy("__row").agg(F.sum(F.log("n")).alias("__inside")))
-    log_prob = F.col("log_prob") + F.coalesce("__inside", F.lit(0.0))
-    return (found.drop("__words").join(inside, "__row", "left").withColumn("log_prob", log_prob)
-            .withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
-            .select(*[F.col(f"`{c}`") for c in columns]))
+        return [np.diff(first), total[first[1:]] - total[first[:-1]]]
+
+    columns = [f"c{i}" for i in range(len(names))]
+    found = extended(table.select("ids", "row", *columns), ["ids"], [("n_tokens", T.LongType()), ("own", T.DoubleType())], score, ("ids",))
+    inside = (table.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
+              .select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times")).join(words.counts, "word")
+              .groupBy("row").agg(F.sum(F.col("times") * F.log("n")).alias("inside")))
+    log_prob = F.col("own") + F.coalesce("inside", F.lit(0.0))
+    return (found.join(inside, "row", "left")
+            .select(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)], "n_tokens", log_prob.alias("log_prob"),
+                    F.when(F.col("n_tokens") > 0, log_prob / F.col("n_tokens")).alias("mean_log_prob")))
 
 
 def pseudo_likelihood(docs: DataFrame, drop: tuple[str, ...] = (), **options) -> DataFrame:
-    """Train on ``docs`` and score them."""
+    """Train on ``docs`` and score them; ``options`` go to ``train_encoded``."""
     words = vocabulary(docs)
-    return score_documents(docs, words, train(docs, words, **options), drop)
+    table, names = encoded(docs, words, drop)
+    return score_encoded(table, names, words, train_encoded(table, **options))

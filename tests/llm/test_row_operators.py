@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from starling.llm import lang_id, license_scan, line_crf, masked_lm, quality_fm
 from starling.llm.common import labelled_sample
@@ -348,3 +349,49 @@ def test_lm_counts_and_empty_corpus(spark):
     assert masked_lm.pseudo_likelihood(documents(spark, [])).collect() == []
     only = masked_lm.pseudo_likelihood(documents(spark, [(1, None), (2, "")])).collect()
     assert [(r["n_tokens"], r["mean_log_prob"]) for r in only] == [(0, None)] * 2
+
+
+def lm_corpus(spark, parts):
+    rng = random.Random(4)
+    rows = [(i, invented(rng, 30 + i % 90)) for i in range(300)] + [(1000 + i, "the same text in many rows " * 5) for i in range(150)]
+    return documents(spark, rows + EDGE_ROWS).withColumn("row", F.lit("clash")).withColumn("ids", F.lit("clash")).repartition(parts, "doc_id")
+
+
+def test_lm_scores_do_not_move_with_partitions(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "SHARD_TOKENS", 2000)
+    got = [sorted((str(r["doc_id"]), r["n_tokens"], round(r["log_prob"], 3), r["row"], r["ids"])
+                  for r in masked_lm.pseudo_likelihood(lm_corpus(spark, parts)).collect()) for parts in (1, 8)]
+    assert len(got[0]) == len(got[1]) == 450 + len(EDGE_ROWS)
+    for a, b in zip(*got, strict=True):
+        assert a[:2] == b[:2] and a[3:] == b[3:] == ("clash", "clash")
+        assert abs(a[2] - b[2]) <= 0.05 * max(1, a[1])
+
+
+def test_lm_copies_are_spread_over_the_shards(spark):
+    table = masked_lm.encoded(lm_corpus(spark, 3), masked_lm.vocabulary(lm_corpus(spark, 3)))[0]
+    rounds = [masked_lm.shards_of_round(table, r, 2, 7).collect() for r in range(2)]
+    assert sorted(bytes(r["ids"]) for rows in rounds for r in rows) == sorted(bytes(r["ids"]) for r in table.collect() if r["ids"])
+    hot = max(((bytes(r["ids"]) for rows in rounds for r in rows)), key=[bytes(r["ids"]) for rows in rounds for r in rows].count)
+    held = [sum(bytes(r["ids"]) == hot and r["shard"] == s for rows in rounds for r in rows) for s in range(7)]
+    assert sum(held) == 150 and max(held) - min(held) <= 1
+
+
+def test_lm_document_score_equals_the_plain_definition(spark):
+    rows = [(1, "a b c d a b"), (2, "B a c c e"), (3, "lonely"), (4, "x\ty z z z a"), (5, "c")]
+    df = documents(spark, rows)
+    words, network = masked_lm.vocabulary(df), masked_lm.Network(seed=5)
+    got = {r["doc_id"]: r["log_prob"] for r in masked_lm.score_documents(df, words, network).collect()}
+    soft = lambda v: np.exp(v) / np.exp(v).sum()
+    for d, text in rows:
+        tokens = text.lower().split()
+        ids = words.lookup(masked_lm.Words(pa.array(tokens)).hashes()).tolist()
+        expected = 0.0
+        for i, target in enumerate(ids):
+            h = np.zeros(masked_lm.DIM)
+            for table, o in zip(network.embed, (-2, -1, 1, 2), strict=True):
+                h = h + table[ids[i + o] if 0 <= i + o < len(ids) else masked_lm.EDGE]
+            h = np.tanh(h)
+            c, place = divmod(target, masked_lm.WIDTH)
+            expected += np.log(soft(h @ network.to_class + network.class_bias)[c])
+            expected += np.log(soft(h @ network.to_word[c] + network.word_bias[c])[place])
+        assert got[d] == pytest.approx(expected, rel=1e-4)
