@@ -17,8 +17,10 @@ floor(edit_rate * n) word edits of the whole item; under ``min_words`` words, if
 * Candidates are verified exactly: semi-global word edit distance of the whole item against the
   document around the window.
 
-Items are a stated query set: they are indexed in blocks of ``ITEM_BLOCK`` and every block meets
-all documents in one pass without a shuffle, so memory is bounded however many items there are.
+Items are a stated query set: they are indexed in blocks of ``ITEM_BLOCK``.  One pass without a shuffle
+searches all documents: a task cuts a slice of texts into words once and holds it against one block
+after the other, each read again from the executor's disk copy, so that a Python worker has one index in
+memory however many items there are.  The driver makes one index at a time.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,7 +187,10 @@ class Index:
 
     def leaks(self, text: pa.Array) -> list[list[dict]]:
         words = Words(text, lower=True, space=PUNCTUATION, alone=True)
-        hashes, out = words.hashes(), [[] for _ in range(len(text))]
+        return self.leaks_of(words, words.hashes())
+
+    def leaks_of(self, words: Words, hashes: np.ndarray) -> list[list[dict]]:
+        out = [[] for _ in range(len(words.first) - 1)]
         best: dict[tuple[int, int], tuple[int, int]] = {}
         checked: set[tuple[int, int, int]] = set()
         for doc, item, start in self.candidates(hashes, words.first).tolist():
@@ -254,21 +260,29 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.15, t
     """``docs`` plus ``leaks``: the items found in each whole text, with word position and edits.
 
     An item is reported once a document, at its fewest edits.  Null and empty texts, an empty
-    benchmark: empty lists.  Rows stay rows (repeated ones too); ``drop`` names columns left out.
+    benchmark: empty lists.  Rows stay rows (repeated ones too); ``drop`` names columns left out; a
+    column named ``leaks`` is replaced, any other name may occur.
     """
-    context, out = docs.sparkSession.sparkContext, docs.drop("leaks").withColumn("leaks", F.lit(None).cast(LEAK))
-    kept = [c for c in docs.columns if c.lower() not in {d.lower() for d in drop} and c.lower() != "leaks"]
-    for index in item_blocks(benchmark, min_words, edit_rate, target):
-        if not index.items:
-            continue
-        shared = context.broadcast(index)
-
-        def search(text: pa.Array, shared=shared) -> list:
-            return [shared.value.leaks(text)]
-
-        found = extended(out, ["text"], [("__found", LEAK)], search)
-        out = found.withColumn("leaks", F.concat(F.coalesce("leaks", F.array().cast(LEAK)), "__found")).drop("__found")
-    return out.select(*kept, F.coalesce("leaks", F.array().cast(LEAK)).alias("leaks"))
+    context = docs.sparkSession.sparkContext
+    blocks = [context.broadcast(index) for index in item_blocks(benchmark, min_words, edit_rate, target) if index.items]
+
+    def search(text: pa.Array) -> list:
+        words = Words(text, lower=True, space=PUNCTUATION, alone=True)
+        hashes, out = words.hashes(), [[] for _ in range(len(text))]
+        for block in blocks:
+            index = block.value if len(blocks) == 1 else read_again(block)
+            for all_leaks, more in zip(out, index.leaks_of(words, hashes), strict=True):
+                all_leaks += more
+        return [out]
+
+    found = extended(docs, ["text"], [("leaks", LEAK)], search, drop)
+    return found.select(*[c for c in found.columns if c != "leaks"], "leaks")
+
+
+def read_again(shared: Broadcast) -> Index:
+    """The value of a broadcast, which the worker does not keep: ``value`` would hold every block for good."""
+    path = getattr(shared, "_path", None)  # none where Spark encrypts the file
+    return shared.load_from_path(path) if path else shared.value
 
 
 def leak_pairs(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starling.llm import decontaminate, packing, sharding, tokens, warc
 from starling.llm.queries import ORACLE, QUERIES
@@ -117,6 +118,20 @@ def test_leaks_across_case_punctuation_and_copies(spark):
     assert decontaminate.find_leaks(documents(spark, []), bench).collect() == []
 
 
+def test_many_blocks_are_one_step_of_the_plan(spark, monkeypatch):
+    rng = random.Random(11)
+    items = [invented(rng, 9 + i % 30) for i in range(120)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"before {x} after") for i, x in enumerate(items)]
+    docs = documents(spark, rows + EDGE_ROWS).withColumn("__found", F.lit("clash"))
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 10)
+    df = decontaminate.find_leaks(docs, bench)
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = df.collect()
+    assert len(got) == len(rows) + len(EDGE_ROWS) and {r["__found"] for r in got} == {"clash"}
+    assert all([x["item_id"] for x in r["leaks"]] == [r["doc_id"]] for r in got if r["doc_id"] is not None and r["doc_id"] < 120)
+
+
 def test_items_in_several_blocks_give_the_same_leaks(spark, monkeypatch):
     bench = spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet")
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
