@@ -42,6 +42,7 @@ BUCKETS = 64
 VOCABULARY = IDS - BUCKETS - 1
 EDGE = IDS - 1  # stands beyond the ends of a document
 OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
+FARTHEST = np.float32(60)  # logits are held within it, so that sums of exponentials stay finite
 CHUNK = 1 << 14  # parameters travel in pieces of so many numbers
 HELD_WORDS = 1 << 20  # a task merges its word counts whenever it holds so many
 SHARD_TOKENS = 1 << 21  # words one network is trained on before networks are averaged
@@ -113,7 +114,10 @@ def vocabulary(docs: DataFrame) -> Vocabulary:
 
 
 class Network:
-    SHAPES = [(len(OFFSETS), IDS, DIM), (DIM, CLASSES), (CLASSES,), (CLASSES, DIM, WIDTH), (CLASSES, WIDTH)]
+    """Parameters: an embedding table for each offset; weights of the classes and of the places in each class, whose
+    last row is the bias (the squashed sum is followed by a 1)."""
+
+    SHAPES = [(len(OFFSETS), IDS, DIM), (DIM + 1, CLASSES), (CLASSES, DIM + 1, WIDTH)]
 
     def __init__(self, flat: np.ndarray | None = None, seed: int = 1) -> None:
         sizes = [int(np.prod(s)) for s in self.SHAPES]
@@ -121,88 +125,96 @@ class Network:
             flat = (np.random.default_rng(seed).standard_normal(sum(sizes)) * 0.1).astype(np.float32)
         self.flat = np.array(flat, np.float32)
         cuts = np.cumsum([0, *sizes])
-        self.embed, self.to_class, self.class_bias, self.to_word, self.word_bias = [
+        self.embed, self.classes, self.places = [
             self.flat[a:b].reshape(s) for a, b, s in zip(cuts[:-1], cuts[1:], self.SHAPES, strict=True)]
+        self.to_class, self.class_bias = self.classes[:DIM], self.classes[DIM]
+        self.to_word, self.word_bias = self.places[:, :DIM], self.places[:, DIM]
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        total = self.embed[0][context[0]]
+        out = np.ones((context.shape[1], DIM + 1), np.float32)
+        total = self.embed[0].take(context[0], 0)
         for table, ids in zip(self.embed[1:], context[1:], strict=True):
-            total += table[ids]
-        return np.tanh(total, out=total)
+            total += table.take(ids, 0)
+        np.tanh(total, out=out[:, :DIM])
+        return out
+
+    def _place_logits(self, sorted_h: np.ndarray, cuts: list[int]) -> np.ndarray:
+        """Logits of the places in the own class of each row; the rows are sorted by class."""
+        out = np.empty((len(sorted_h), WIDTH), np.float32)
+        for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if a < b:
+                np.matmul(sorted_h[a:b], self.places[c], out=out[a:b])
+        return out
 
     @staticmethod
-    def _log_softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    def _log_share(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """The log-softmax of one column of every row."""
+        np.clip(logits, -FARTHEST, FARTHEST, out=logits)
+        own = logits[np.arange(len(logits)), chosen]
+        np.exp(logits, out=logits)
+        return own - np.log(logits @ np.ones(logits.shape[1], np.float32))
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target | both sides) of every window."""
-        h, rows = self.hidden(context), np.arange(len(target))
+        h = self.hidden(context)
         which, place = target // WIDTH, target % WIDTH
-        out = self._log_softmax(h @ self.to_class + self.class_bias)[rows, which]
+        out = self._log_share(h @ self.classes, which)
         order, cuts = self._by_class(which)
-        for c in range(CLASSES):
-            at = order[cuts[c]:cuts[c + 1]]
-            if len(at):
-                inner = self._log_softmax(h[at] @ self.to_word[c] + self.word_bias[c])
-                out[at] += inner[np.arange(len(at)), place[at]]
+        out[order] += self._log_share(self._place_logits(h.take(order, 0), cuts), place[order])
         return out
 
     @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(1, keepdims=True)
+    def _errors(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Gradient of the mean loss by the logits: softmax less the chosen column, over the rows."""
+        n = len(logits)
+        np.clip(logits, -FARTHEST, FARTHEST, out=logits)
         np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
+        logits *= (1 / (n * (logits @ np.ones(logits.shape[1], np.float32))))[:, None]
+        logits[np.arange(n), chosen] -= np.float32(1 / n)
         return logits
 
     @staticmethod
-    def _by_class(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _by_class(which: np.ndarray) -> tuple[np.ndarray, list[int]]:
         order = np.argsort(which.astype(np.int16), kind="stable")
-        return order, np.searchsorted(which[order], np.arange(CLASSES + 1))
+        return order, np.searchsorted(which[order], np.arange(CLASSES + 1)).tolist()
 
     def train(self, context: np.ndarray, target: np.ndarray, past: Network, rate: float = 0.1) -> None:
         """One AdaGrad step on a mini-batch; ``past`` holds the sums of squared gradients."""
-        n, rows = len(target), np.arange(len(target))
         h = self.hidden(context)
         which, place = target // WIDTH, target % WIDTH
-        p = self._softmax(h @ self.to_class + self.class_bias)
-        p[rows, which] -= 1
-        p /= n
+        p = self._errors(h @ self.classes, which)
         back = p @ self.to_class.T
-        self._step(self.to_class, past.to_class, h.T @ p, rate)
-        self._step(self.class_bias, past.class_bias, p.sum(0), rate)
+        self._step(self.classes, past.classes, h.T @ p, rate)
         order, cuts = self._by_class(which)
-        sorted_h = h[order]
-        q = self.word_bias[which[order]]
-        for c in range(CLASSES):
-            if cuts[c] < cuts[c + 1]:
-                q[cuts[c]:cuts[c + 1]] += sorted_h[cuts[c]:cuts[c + 1]] @ self.to_word[c]
-        q = self._softmax(q)
-        q[rows, place[order]] -= 1
-        q /= n
-        inner, words, biases = np.empty_like(sorted_h), np.zeros_like(self.to_word), np.zeros_like(self.word_bias)
-        for c in range(CLASSES):
-            at = slice(cuts[c], cuts[c + 1])
-            if cuts[c] < cuts[c + 1]:
-                inner[at] = q[at] @ self.to_word[c].T
-                words[c] = sorted_h[at].T @ q[at]
-                biases[c] = q[at].sum(0)
+        sorted_h = h.take(order, 0)
+        q = self._errors(self._place_logits(sorted_h, cuts), place[order])
+        inner, words = np.empty((len(h), DIM), np.float32), np.zeros_like(self.places)
+        for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if a < b:
+                np.matmul(q[a:b], self.to_word[c].T, out=inner[a:b])
+                np.matmul(sorted_h[a:b].T, q[a:b], out=words[c])
         back[order] += inner
-        self._step(self.to_word, past.to_word, words, rate)
-        self._step(self.word_bias, past.word_bias, biases, rate)
+        self._step(self.places, past.places, words, rate)
+        h = h[:, :DIM]
         back *= 1 - h * h
         for table, squares, ids in zip(self.embed, past.embed, context, strict=True):
             order = np.argsort(ids.astype(np.int16), kind="stable")
             sorted_ids = ids[order]
             first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-            seen, grad = sorted_ids[first], np.add.reduceat(back[order], first, axis=0)
-            squares[seen] += grad * grad
-            table[seen] -= rate * grad / np.sqrt(squares[seen])
+            seen, grad = sorted_ids[first], np.add.reduceat(back.take(order, 0), first, axis=0)
+            total = squares.take(seen, 0)
+            total += grad * grad
+            squares[seen] = total
+            grad *= rate
+            grad /= np.sqrt(total, out=total)
+            table[seen] -= grad
 
     @staticmethod
     def _step(weights: np.ndarray, squares: np.ndarray, grad: np.ndarray, rate: float) -> None:
         squares += grad * grad
-        weights -= rate * grad / np.sqrt(squares)
+        grad *= rate
+        grad /= np.sqrt(squares)
+        weights -= grad
 
 
 def neighbours(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
