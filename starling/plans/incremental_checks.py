@@ -24,7 +24,7 @@ from starling.operators.aggregates import null_profile
 from starling.operators.joins import anti_join
 from starling.operators.load import rows_of_keys
 from starling.operators.quality import validation_status
-from starling.session import written
+from starling.session import working_tables, written
 
 ROWS, KEYS, ORPHANS, TOTALS = "check_rows", "check_keys", "check_orphans", "check_totals"
 TOTALS_SCHEMA = "sheet string, name string, column_name string, n long"
@@ -50,16 +50,19 @@ class IncrementalChecks:
         return None if held is None else held.where(F.col(column) == value)
 
     def _unseen(self, table: str, column: str, value: str, batch: DataFrame, key: str) -> DataFrame:
-        """Rows of ``batch`` whose key the state lacks."""
+        """Rows of ``batch`` whose key the state lacks.  The state is cut down to the keys of a batch much
+        smaller than it; for any other batch that would be a second join of the same size."""
         held = self._state(table, column, value)
-        return batch if held is None else anti_join(batch, rows_of_keys(held.select(key), batch, [key]), [(key, key)])
+        if held is None:
+            return batch
+        held = held.select(key)
+        return anti_join(batch, rows_of_keys(held, batch, [key]) if batch.count() * 8 < held.count() else held, [(key, key)])
 
     def _rows(self, table: str, df: DataFrame) -> list[tuple]:
         counted = written(df.groupBy(fingerprint(df).alias("row_id")).agg(F.count(F.lit(1)).alias("n")), "fingerprints")
-        new = written(self._unseen(ROWS, "table_name", table, counted, "row_id").select("row_id", F.lit(table).alias("table_name")), "new-fingerprints")
-        n, fresh = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], new.count()
-        if fresh:
-            self.store.append(ROWS, new, "table_name")
+        new = self._unseen(ROWS, "table_name", table, counted, "row_id").select("row_id", F.lit(table).alias("table_name"))
+        n = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        fresh = self.store.append_counted(ROWS, new, "table_name", value=table)
         nulls = [("nulls", table, r["column_name"], r["null_count"]) for r in null_profile(df, table).collect()]  # one row a column
         return [("rows", table, None, n), ("duplicates", table, None, n - fresh), *nulls]
 
@@ -70,7 +73,7 @@ class IncrementalChecks:
         new = written(self._unseen(KEYS, "parent", label, keys, "key").withColumn("parent", F.lit(label)), "new-parent-keys")
         if new.isEmpty():
             return []
-        self.store.append(KEYS, new, "parent")
+        self.store.append_counted(KEYS, new, "parent", value=label)
         out = []
         for check in self.fk_checks:
             waiting = self._state(ORPHANS, "check_id", self._id(check)) if check[2:] == (parent, pk) else None
@@ -91,7 +94,7 @@ class IncrementalChecks:
     def _orphans(self, check: Check, rows: DataFrame) -> tuple:
         n = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         if n:
-            self.store.append(ORPHANS, rows, "check_id")
+            self.store.append_counted(ORPHANS, rows, "check_id", value=self._id(check))
         return ("fk_checks", check_name(check), None, n)
 
     @staticmethod
@@ -102,7 +105,7 @@ class IncrementalChecks:
         """Checks one batch of rows of any tables; nothing if the batch is committed already."""
         if self.store.has_batch(self.name, batch_id):
             return
-        with self.store.transaction():
+        with working_tables(self.store.spark), self.store.transaction():
             totals = [t for table, df in batch.items() for t in self._rows(table, df)]
             for parent, pk in dict.fromkeys(c[2:] for c in self.fk_checks):
                 if parent in batch:
