@@ -41,6 +41,9 @@ def test_a_load_leaves_no_working_tables(spark, tmp_path, clean):
     cyc, tr = ({r["case_id"]: r[k] for r in store.read(t).collect()} for t, k in (("fact_ivf_cycle", "cycle_sk"), ("fact_transfer", "transfer_sk")))
     assert cyc == tr == {"1": 1, "2": 2, "3": 3, "4": 4, "5": 5}
     assert store.read("fact_transfer_embryo").count() == 5
+    cycles = store.read("fact_ivf_cycle")
+    for t, k in (("dim_outcome", "outcome_id"), ("dim_protocol", "protocol_id"), ("dim_female", "female_id"), ("dim_doctor", "doctor_id")):
+        assert cycles.join(store.read(t), k).count() == 5
 
 
 def test_rows_without_an_equal_are_not_shuffled(spark, tmp_path):
