@@ -33,15 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import stored, text_slices
+from starling.llm.common import small_batches, stored, text_slices
 from starling.llm.components import components
 from starling.llm.words import Words, distinct_sorted, mix64, windows
 
 MIN_HASHES = 3
 BLOCK, BLOCK_TOKENS = 256, 1 << 21
 SKETCH_BITS = 1024
+SKETCHED_BITS = 1 << 19  # sketches worked out at once (or one, if it is longer)
 BITMAP_BITS = 1 << 25  # 4 MB of flags, whatever the corpus
 COMMON_IN_TASK = 16  # a token of so many documents of one task is a candidate common token
+COUNTED_TOKENS = 3 << 20  # tokens a task holds until it counts them
 COMMON_TOKENS = 1 << 18  # at most so many (the commonest) are ordered last; the rest keeps hash order
 _SALTS = mix64(np.arange(1, MIN_HASHES + 1, dtype=np.uint64))
 _SKETCH_SALT = np.uint64(0x5851F42D4C957F2D)
@@ -60,10 +62,15 @@ def sketches(sets: np.ndarray, first: np.ndarray) -> list[bytes]:
     their sets hold enough bits to tell unlike sets apart."""
     n = np.diff(first)
     bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
-    begin = np.concatenate([[0], np.cumsum(bits)])
-    at = np.repeat(begin[:-1], n) + (mix64(sets ^ _SKETCH_SALT) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
-    packed = np.packbits((np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8))
-    return [packed[a:b].tobytes() for a, b in zip(begin[:-1] // 8, begin[1:] // 8, strict=True)]
+    begin, out, x = np.concatenate([[0], np.cumsum(bits)]), [], 0
+    while x < len(n):
+        y = max(x + 1, int(np.searchsorted(begin, begin[x] + SKETCHED_BITS, "right")) - 1)
+        held, edge = sets[first[x]:first[y]], begin[x:y + 1] - begin[x]
+        at = np.repeat(edge[:-1], n[x:y]) + (mix64(held ^ _SKETCH_SALT) & np.repeat(bits[x:y] - 1, n[x:y]).astype(np.uint64)).astype(np.int64)
+        packed = np.packbits((np.bincount(at, minlength=edge[-1]) & 1).astype(np.uint8))
+        out += [packed[a:b].tobytes() for a, b in zip(edge[:-1] // 8, edge[1:] // 8, strict=True)]
+        x = y
+    return out
 
 
 def differing_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,6 +101,17 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def repeated(held: list[np.ndarray], times: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values found ``times`` times or more in the arrays, which are given up, and their counts."""
+    if not held:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    values = np.concatenate(held)
+    held.clear()
+    values.sort()
+    found = np.unique(values[:len(values) - times + 1][values[times - 1:] == values[:len(values) - times + 1]]) if len(values) >= times else values[:0]
+    return found, np.searchsorted(values, found, "right") - np.searchsorted(values, found, "left")
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
     """Rows (doc_id, n, fp_hi, fp_lo, h0.., sketch) of all documents, and (token, df) rows of tokens
     that are common within a task (doc rows have a null token)."""
@@ -103,12 +121,20 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
+        held: list[np.ndarray] = []
+
+        def count() -> None:
+            tokens, counts = repeated(held, COMMON_IN_TASK)
+            for t, c in zip(tokens.tolist(), counts.tolist(), strict=True):
+                seen[t] = seen.get(t, 0) + c
+
         for batch in batches:
-            held = []
             for a, b in text_slices(batch.column(1)):
                 part = batch.slice(a, b - a)
                 sets, first = shingle_sets(part.column(1), k)
                 held.append(sets)
+                if sum(map(len, held)) >= COUNTED_TOKENS:
+                    count()
                 n = np.diff(first)
                 prints = [xxhash.xxh3_128_intdigest(sets[x:y].tobytes()) for x, y in zip(first[:-1], first[1:], strict=True)]
                 mins = []
@@ -123,10 +149,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                      _long(np.array([p >> 64 for p in prints], np.uint64)),
                      _long(np.array([p & (1 << 64) - 1 for p in prints], np.uint64)), *mins,
                      pa.array(sketches(sets, first), pa.binary()), none, none], names)
-            # one count a batch: a token common in the corpus is common in its batches
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0), np.zeros(0))
-            for t, c in zip(tokens[counts >= COMMON_IN_TASK].tolist(), counts[counts >= COMMON_IN_TASK].tolist(), strict=True):
-                seen[t] = seen.get(t, 0) + c
+        count()
         if seen:
             none = pa.nulls(len(seen), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -441,6 +464,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFr
     never name a component unless it has no other id.  Other columns are ignored; an empty
     table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = stored(signatures(docs, k), "jaccard-signatures")
     signed = rows.where("token IS NULL")

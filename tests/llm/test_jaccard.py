@@ -87,3 +87,23 @@ def test_sketch_bits_never_exceed_the_differing_tokens():
         assert differing_bits(x, x)[0, 0] == 0
         if n >= 900:  # unlike sets are told apart: over the bound of a link at 75 %
             assert 7 * differing_bits(x, z)[0, 0] > len(a) + len(c)
+
+
+def test_repeated_values_and_sketches_do_not_depend_on_the_cut(monkeypatch):
+    import numpy as np
+    from starling.llm import jaccard_groups as j
+    rng = np.random.default_rng(5)
+    parts = [rng.integers(0, 50, n, dtype=np.uint64) for n in (0, 3, 200, 400)]
+    values, counts = np.unique(np.concatenate(parts), return_counts=True)
+    for times in (1, 2, 12, 16, 700):
+        held = list(parts)
+        got = j.repeated(held, times)
+        assert not held
+        assert got[0].tolist() == values[counts >= times].tolist() and got[1].tolist() == counts[counts >= times].tolist()
+    assert [len(x) for x in j.repeated([], 1)] == [0, 0]
+    first = np.cumsum([0, 0, 5, 3000, 1, 0, 1500])
+    sets = rng.integers(0, 1 << 62, first[-1], dtype=np.uint64)
+    whole = j.sketches(sets, first)
+    monkeypatch.setattr(j, "SKETCHED_BITS", 2048)
+    assert j.sketches(sets, first) == whole and [8 * len(x) for x in whole] == [1024, 1024, 4096, 1024, 1024, 2048]
+    assert j.sketches(sets[:0], np.zeros(1, int)) == []
