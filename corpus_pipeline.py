@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm.common import delete_tables, settle, stored, working_tables
+from starling.llm.common import delete_tables, settle, small_batches, stored, working_tables
 from starling.operators.keys import dense_surrogate_key
 
 # SQL cannot express trained models, the banded search or the packing plan; tests/llm holds the
@@ -45,6 +45,7 @@ def stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Call
             delete_tables(spark, [p for p in _held if p not in kept])
             _held[:] = kept
         settle(spark)
+        small_batches(spark)
         with working_tables() as made:
             out = function(spark, docs, sf_dir)
         _held.extend(made)

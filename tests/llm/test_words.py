@@ -55,3 +55,24 @@ def test_windows_and_distinct_sets():
     assert values[first[0]] == values[first[4]]
     bare, first = windows(w.hashes(), w.first, 5)
     assert np.diff(first).tolist() == [6, 0, 0, 0, 1]
+
+
+def test_texts_travel_in_small_batches(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from starling.llm.common import _ARROW_BYTES, BATCH_BYTES, extended
+    docs = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 2000).alias("text"))  # 30 MB in one task
+
+    def batch_bytes(text):  # slices share the batch's buffer
+        return [[text.buffers()[2].size] * len(text)]
+
+    try:
+        for bound, most in ((None, 2 * BATCH_BYTES), ("1000000", 2_000_000)):  # a bound of the user's own holds
+            spark.conf.unset(_ARROW_BYTES)
+            if bound:
+                spark.conf.set(_ARROW_BYTES, bound)
+            rows = extended(docs, ["text"], [("size", T.LongType())], batch_bytes, drop=("text",))
+            assert rows.agg(F.count("size"), F.max("size") <= most).first() == (3000, True)
+    finally:
+        spark.conf.unset(_ARROW_BYTES)
