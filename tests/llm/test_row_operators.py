@@ -171,6 +171,43 @@ def test_unseen_words_back_off_to_shorter_grams():
     assert model.unseen("zz").tolist() == [0, 0]
 
 
+def test_unseen_words_of_a_text_are_looked_up_together():
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdé", k=rng.choice([1, 3, 6, 12]))) for _ in range(400)] + ["zz", "ab" * 300]
+    held = [sorted({g for w in words[::3] for g in lang_id.grams(w, n)}) for n in range(1, 5)]
+    edge, lookups = np.cumsum([0, *map(len, held)]), []
+
+    class Counted:
+        table = np.random.default_rng(4).normal(size=(edge[-1], 3)).astype(np.float32)
+
+        def __getitem__(self, rows):
+            lookups.append(len(rows))
+            return self.table[rows]
+
+    rows = [{}] + [dict(zip(g, range(a, a + len(g)), strict=True)) for a, g in zip(edge[:-1].tolist(), held, strict=True)]
+    model = lang_id.Model(["a", "b", "c"], rows, Counted())
+
+    def alone(word):
+        known = next((k for n in (4, 3, 2, 1) if (k := [rows[n][g] for g in lang_id.grams(word, n) if g in rows[n]])), None)
+        return model.logs.table[known].mean(0) if known else np.zeros(3, np.float32)
+
+    scorer, distinct = lang_id.Scorer(model), list(dict.fromkeys(words))
+    got = scorer.rows(distinct)
+    assert len(lookups) == 2  # all words but the longest, and that
+    assert (got == np.array([alone(w) for w in distinct])).all()
+    assert (scorer.rows(distinct[::-1]) == got[::-1]).all() and len(lookups) == 2  # remembered
+
+
+def test_both_word_patterns_find_the_same_words():
+    rng = random.Random(6)
+    for _ in range(60):
+        text = "".join(chr(rng.choice([rng.randrange(0x250), rng.randrange(0xD800), rng.randrange(0x300, 0x370), 0x200C, 32]))
+                       for _ in range(300))
+        assert lang_id.letter_runs(text) == lang_id.LETTER_RUNS.findall(text.lower())
+        text += " \U00010400x \U0001F600 " + text
+        assert lang_id.letter_runs(text) == lang_id.LETTER_RUNS.findall(text.lower())
+
+
 def plain_language(training, text):
     """(language, log sums by language) of a text by the definition, from (text, lang) rows."""
     def pieces(word):
