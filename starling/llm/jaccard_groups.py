@@ -9,10 +9,10 @@ counts, though none between documents already known to be connected is worked ou
 2. Similar classes are put into groups: classes that share a min-hash meet in blocks, and what
    links there forms the groups.
 3. The token-group matrix holds, for each group, the union of its members' prefix tokens.  If
-   A and B link, the first |A| - ceil(p|A|) + 1 tokens of A in any fixed order hit the same
-   prefix of B, so only classes whose prefix meets another group's union become its queries.
-   Tokens that many documents hold come last in the order, so common passages rarely are
-   in a prefix.
+   A and B link, the first |A| - ceil(p|A|) + m tokens of A in any fixed order share m tokens (all
+   they share, if that is less) with the same prefix of B, so only classes whose prefix meets another
+   group's union in m = ``SHARED`` tokens become its queries.  Tokens that many documents hold come
+   last in the order, so common passages rarely are in a prefix.
 4. Groups are opened in blocks of at most ``BLOCK`` members.  The overlap of a query and a member is
    bounded from their sketches: each bit is the parity of the tokens that hash to it, so differing
    bits never outnumber the differing tokens.  Only classes whose bound allows a link
@@ -33,11 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import small_batches, stored, text_slices
+from starling.llm.common import settle, small_batches, stored, text_slices
 from starling.llm.components import components
 from starling.llm.words import Words, distinct_sorted, mix64, windows
 
 MIN_HASHES = 3
+SHARED = 4  # tokens that the prefixes of linked sets share: more of them, fewer chance meetings and longer prefixes
 BLOCK, BLOCK_TOKENS = 256, 1 << 21
 SKETCH_BITS = 1024
 SKETCHED_BITS = 1 << 19  # sketches worked out at once (or one, if it is longer)
@@ -167,8 +168,8 @@ def common_tokens(rows: DataFrame) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """The first |set| - ceil(p|set|) + 1 tokens: rare ones in hash order, then common ones by rank."""
-    size = len(tokens) - int(_least(len(tokens), percent)) + 1 if len(tokens) else 0
+    """The first |set| - ceil(p|set|) + ``SHARED`` tokens: rare ones in hash order, then common ones by rank."""
+    size = len(tokens) - int(_least(len(tokens), percent)) + SHARED if len(tokens) else 0
     if len(common):
         at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
         hit = common[at] == tokens
@@ -181,8 +182,8 @@ def prefix(tokens: np.ndarray, common: np.ndarray, rank: np.ndarray, percent: in
 def prefix_tokens(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
     """(token, fp_lo, early, often): prefix tokens of all documents, one copy of each set per task.
 
-    ``early``: it is among the first |set| - ceil(2p/(1+p) |set|) + 1; of two sets that link, some
-    shared prefix token is early in the shorter one, as they share p/(1+p) of their added sizes.
+    ``early``: it is among the first |set| - ceil(2p/(1+p) |set|) + ``SHARED``; of two sets that link, the
+    first ``SHARED`` shared tokens are early in the shorter one, as they share p/(1+p) of their added sizes.
     ``often``: it is on the common list."""
     order = np.argsort(common, kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
@@ -204,7 +205,7 @@ def prefix_tokens(docs: DataFrame, k: int, percent: int, common: np.ndarray) ->
                 if tokens:
                     token = np.concatenate(tokens)
                     owner = np.repeat(np.array(owners, np.uint64), [len(t) for t in tokens])
-                    early = np.concatenate([np.arange(len(t)) <= n + (-2 * percent * n // (100 + percent))
+                    early = np.concatenate([np.arange(len(t)) < n + (-2 * percent * n // (100 + percent)) + SHARED
                                             for t, n in zip(tokens, sizes, strict=True)])
                     yield pa.RecordBatch.from_arrays([_long(token), _long(owner), pa.array(early), pa.array(np.isin(token, listed))],
                                                      ["token", "fp_lo", "early", "often"])
@@ -315,7 +316,8 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
 def promising_seats(seats: DataFrame, classes: DataFrame, percent: int, mutual: bool) -> DataFrame:
     """The seats whose class may link with another of its block, by their sketches.  ``seats``: (block,
     salt, role, cls).  Either all members of a block meet each other (``mutual``), or its queries
-    (role 1) stream past its members (role 0); a block has at most about ``BLOCK`` members."""
+    (role 1) stream past its members (role 0); a block has at most about ``BLOCK`` members.  Blocks are
+    renamed by what is left of their members if they are ``mutual``, so that equal blocks are one."""
     rows = (seats.join(classes.select("cls", "n", "sketch"), "cls").repartition("block", "salt")
             .sortWithinPartitions("block", "salt", "role").select("block", "salt", "role", "cls", "n", "sketch"))
 
@@ -324,7 +326,8 @@ def promising_seats(seats: DataFrame, classes: DataFrame, percent: int, mutual:
 
         def out(role: int, picked: np.ndarray) -> pa.RecordBatch:
             k = len(picked)
-            return pa.RecordBatch.from_arrays([pa.array([v] * k, t) for v, t in ((key[0], pa.int64()), (key[1], pa.int64()), (role, pa.int32()))]
+            block, salt = (xxhash.xxh3_64_intdigest(np.sort(picked).tobytes()) - (1 << 63), 0) if mutual else key
+            return pa.RecordBatch.from_arrays([pa.array([v] * k, t) for v, t in ((block, pa.int64()), (salt, pa.int64()), (role, pa.int32()))]
                                               + [pa.array(picked, pa.int64())], ["block", "salt", "role", "cls"])
 
         def members() -> np.ndarray:
@@ -350,17 +353,18 @@ def promising_seats(seats: DataFrame, classes: DataFrame, percent: int, mutual:
         if key is not None:
             yield out(0, members())
 
-    return rows.mapInArrow(run, "block long, salt long, role int, cls long")
+    found = rows.mapInArrow(run, "block long, salt long, role int, cls long")
+    return found.distinct() if mutual else found
 
 
 def links_in_blocks(seats: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, mutual: bool) -> DataFrame:
     """Links (a, b) by whole sets, nearest pairs first, none between classes that the block has connected
     already: as many as connect what is connected in the block (``mutual``), or one a query."""
     seats = stored(promising_seats(seats, classes, percent, mutual), "jaccard-seats")
-    wanted = stored(classes.join(seats.select("cls").distinct(), "cls").select("cls", "fp_hi", "fp_lo", "n", "rep"), "jaccard-wanted")
-    sets = fetched_sets(docs, wanted, k).join(wanted, ["fp_hi", "fp_lo"]).select("cls", "n", "tokens")
-    rows = (seats.join(sets, "cls").repartition("block", "salt").sortWithinPartitions("block", "salt", "role", "cls")
-            .select("block", "salt", "role", "cls", "n", "tokens"))
+    settle(docs.sparkSession)
+    wanted = stored(seats.join(classes.select("cls", "fp_hi", "fp_lo", "n", "rep"), "cls"), "jaccard-wanted")
+    rows = (fetched_sets(docs, wanted, k).join(wanted, ["fp_hi", "fp_lo"]).repartition("block", "salt")
+            .sortWithinPartitions("block", "salt", "role", "cls").select("block", "salt", "role", "cls", "n", "tokens"))
 
     def parts(sets: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
         n = np.array([len(t) for t in sets], np.int64)
@@ -428,24 +432,31 @@ def star_seats(classes: DataFrame) -> DataFrame:
 def cross_seats(tokens: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Blocks that hold a group's members against the queries from other groups.
 
-    A class queries a group if its prefix meets the group's union of prefixes in a token whose
-    holders' sizes fit, early in the shorter set; of two groups the smaller one's classes are the queries.
+    A class queries a group if its prefix meets the group's union of prefixes in ``SHARED`` tokens (or as many
+    as a link takes, if fewer) with holders whose sizes fit, early in the shorter set; of two groups the smaller
+    one's classes are the queries.
     """
+    spark = classes.sparkSession
     owners = classes.join(groups, "cls").select("cls", "n", "fp_lo", "grp")
     owners = owners.join(owners.groupBy("grp").agg(F.count(F.lit(1)).alias("members")), "grp")
-    held = stored(tokens.join(owners, "fp_lo").select("token", "early", "cls", "n", "grp", "members"), "jaccard-held")
+    # each token of a class once, though several tasks hold copies
+    held = stored(tokens.join(owners, "fp_lo").select("fp_lo", "token", "early", "cls", "n", "grp", "members").distinct().drop("fp_lo"), "jaccard-held")
+    settle(spark)
     # the token-group matrix, with the sizes of the members that hold the token
-    matrix = held.groupBy("token", "grp", "members").agg(
+    several = held.groupBy("token").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("token")
+    matrix = held.join(several, "token").groupBy("token", "grp", "members").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min(F.when(F.col("early"), F.col("n"))).alias("n_early"))
-    several = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    matrix = stored(matrix.join(several, "token"), "jaccard-matrix")
-    queries = held.join(several, "token").withColumnsRenamed({"grp": "own", "members": "own_members"})
+    matrix = stored(matrix, "jaccard-matrix")
+    settle(spark)
+    queries = held.withColumnsRenamed({"grp": "own", "members": "own_members"})
     meets = (queries.join(matrix, "token").where("own <> grp")
              .where("own_members < members OR (own_members = members AND own < grp)")
              .where((F.lit(100) * F.col("n") >= F.lit(percent) * F.col("n_min")) & (F.lit(100) * F.col("n_max") >= F.lit(percent) * F.col("n")))
              .where("(early AND n_max >= n) OR n_early <= n")
-             .select("cls", "n", "grp").distinct())
+             .groupBy("cls", "n", "grp").agg(F.count(F.lit(1)).alias("shared"))
+             .where(F.col("shared") >= F.least(F.lit(SHARED), F.ceil(F.lit(percent) * F.col("n") / F.lit(100)))).drop("shared"))
     meets = stored(meets, "jaccard-meets")
+    settle(spark)
     inside = (_salted(owners.join(meets.select("grp").distinct(), "grp").select("cls", "n", "grp"), ["grp"], BLOCK)
               .drop("__n").withColumnRenamed("salt", "part"))
     parts = inside.select("grp", "part").distinct()

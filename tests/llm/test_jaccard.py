@@ -107,3 +107,51 @@ def test_repeated_values_and_sketches_do_not_depend_on_the_cut(monkeypatch):
     monkeypatch.setattr(j, "SKETCHED_BITS", 2048)
     assert j.sketches(sets, first) == whole and [8 * len(x) for x in whole] == [1024, 1024, 4096, 1024, 1024, 2048]
     assert j.sketches(sets[:0], np.zeros(1, int)) == []
+
+
+def test_texts_that_share_one_phrase_are_no_candidates(spark, monkeypatch):
+    """A chance meeting in a token or two costs no seat, whichever task holds copies; linked texts keep theirs."""
+    from starling.llm import jaccard_groups as j
+    rng = random.Random(9)
+    phrases = [" ".join(f"q{i}w{x}" for x in range(5)) for i in range(20)]
+    rows = [(i, invented(rng, 40, f"a{i}x") + " " + phrases[i % 20]) for i in range(80)]
+    rows += [(1000 + i, t) for i, t in rows[:10]]  # copies, in other partitions
+    seats, original = [], j.cross_seats
+
+    def counted(*args):
+        found = original(*args)
+        seats.append(found.count())
+        return found
+
+    monkeypatch.setattr(j, "cross_seats", counted)
+    got = jaccard_components(documents(spark, rows).repartition(5)).collect()
+    assert sorted((repr(r[0]), r[1], repr(r[2])) for r in got) == brute(rows)
+    assert seats == [0]
+
+
+@pytest.mark.parametrize("percent", [30, 75, 100])
+def test_links_of_small_sets_need_no_more_tokens_than_they_share(spark, percent, monkeypatch):
+    """Without blocks of equal min-hashes every link rests on the prefixes; sets of 1 to 12 shingles."""
+    from starling.llm import jaccard_groups as j
+    rng = random.Random(percent)
+    rows = []
+    for i in range(60):
+        words = [f"w{i}x{x}" for x in range(rng.randrange(1, 17))]
+        a, b = rng.randrange(3), rng.randrange(3)
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words[a:])), (3 * i + 2, " ".join([*words, *(f"v{i}x{x}" for x in range(b))]))]
+    monkeypatch.setattr(j, "star_seats", lambda classes, seats=j.star_seats: seats(classes).where("false"))
+    got = jaccard_components(documents(spark, rows).repartition(3), percent=percent).collect()
+    assert sorted((repr(r[0]), r[1], repr(r[2])) for r in got) == brute(rows, percent)
+
+
+def test_equal_blocks_are_worked_off_once(spark, monkeypatch):
+    """Near copies that share all min-hashes meet in one block of whole sets, not in one for each min-hash."""
+    from starling.llm import jaccard_groups as j
+    rng = random.Random(12)
+    text = invented(rng, 300)
+    rows = [(i, text + f" end{i}") for i in range(3)]
+    classes = j.signatures(documents(spark, rows), 5).selectExpr("doc_id AS cls", "*").cache()
+    seats = j.star_seats(classes)
+    shared = seats.count()
+    got = j.promising_seats(seats, classes, 75, True).collect()
+    assert shared == 9 and len(got) == 3 and len({(r["block"], r["salt"]) for r in got}) == 1
