@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from starling.plans import warehouse
+from starling.plans import landing_job, warehouse
 from starling.session import COMPILED, METHOD_LIMIT, compiled_methods
 from starling.sources.store import TableStore
 
@@ -77,3 +79,17 @@ def test_derived_ids_are_looked_up_only_where_the_dimension_has_others(spark, tm
     assert asked == ["dim_embryo"]
     new = store.read("fact_transfer").where("case_id = '3'").join(store.read("fact_transfer_embryo"), "transfer_sk")
     assert [r["embryo_id"] for r in new.collect()] == ["E-1"] and store.read("dim_embryo").count() == 1
+
+
+def test_records_are_typed_as_they_are_parsed(spark, tmp_path):
+    landing, schema = tmp_path / "landing", rows(spark, []).schema
+    landing.mkdir()
+    good = {"case_id": " 1 ", "female_id": "f1", "female_age": "30", "e2_on_trigger": 1.5, "ward": "B"}
+    (landing / "a.json").write_text("\n".join([json.dumps(good), "17", '{"case_id":', json.dumps([good | {"case_id": 2}, good | {"case_id": ""}])]) + "\n")
+    store = TableStore(spark, str(tmp_path / "star"))
+    records = landing_job._records(spark, str(landing), landing_job.new_files(spark, str(landing), store), schema, False)
+    assert {f.name: f.dataType for f in schema}.items() <= {f.name: f.dataType for f in records.schema}.items()
+    taken = landing_job.run_landing_job(spark, str(landing), store, schema, ["case_id"], "day-1").first()
+    assert (taken["staged"], taken["corrupt"], taken["undeclared"]) == (3, 2, ["ward"])
+    staged = {r["case_id"]: (r["female_age"], r["e2_on_trigger"], r["source_file"]) for r in store.read(landing_job.STAGING).collect()}
+    assert staged == {c: (30, 1.5, "a.json") for c in ("1", "2", None)} and store.read(landing_job.STAGING).columns == [*schema.fieldNames(), "source_file"]
