@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starling.plans import landing_job, warehouse
 from starling.session import COMPILED, METHOD_LIMIT, compiled_methods
 from starling.sources.store import TableStore
+from starling.streaming.landing_stream import stream_star_load
 
 SCHEMA = ("case_id string, female_id string, female_age int, male_id string, protocol_type string, risk_level string, response_type string, "
           "fresh_et_stage string, grading string, et_date string, e2_on_trigger double, embryos_transferred int, good_embryos int")
@@ -93,3 +94,14 @@ def test_records_are_typed_as_they_are_parsed(spark, tmp_path):
     assert (taken["staged"], taken["corrupt"], taken["undeclared"]) == (3, 2, ["ward"])
     staged = {r["case_id"]: (r["female_age"], r["e2_on_trigger"], r["source_file"]) for r in store.read(landing_job.STAGING).collect()}
     assert staged == {c: (30, 1.5, "a.json") for c in ("1", "2", None)} and store.read(landing_job.STAGING).columns == [*schema.fieldNames(), "source_file"]
+
+
+def test_a_stream_is_loaded_by_compiled_code(spark, tmp_path, monkeypatch):
+    from starling.streaming import landing_stream
+    found = {}
+    monkeypatch.setattr(landing_stream, "written", lambda df, name, real=landing_stream.written: (
+        found.update({name: df.sparkSession.conf.get(METHOD_LIMIT)}) or real(df, name)))
+    rows(spark, [("1", "f1", 30), ("2", "f2", 31)]).write.json(str(tmp_path / "landing"))
+    store = stream_star_load(spark, str(tmp_path / "landing"), rows(spark, []).schema, TableStore(spark, str(tmp_path / "star")), ["case_id"],
+                             str(tmp_path / "ckpt"), partitioned=False)
+    assert found == {"micro-batch": COMPILED} and store.read("fact_ivf_cycle").count() == 2
